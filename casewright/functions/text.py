@@ -65,11 +65,6 @@ def tokens(text: Column) -> Column:
 
 def unigrams_and_bigrams(words: Column) -> Column:
     """The words, then each adjacent pair joined by a space."""
-    pairs = F.transform(
-        F.arrays_zip(
-            F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))).alias("a"),
-            F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))).alias("b"),
-        ),
-        lambda pair: F.concat_ws(" ", pair["a"], pair["b"]),
-    )
-    return F.concat(words, pairs)
+    pairs = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.concat(words, F.zip_with(
+        F.slice(words, F.lit(1), pairs), F.slice(words, F.lit(2), pairs), lambda a, b: F.concat_ws(" ", a, b)))

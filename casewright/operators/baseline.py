@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
-    IDF, CountVectorizerModel, ElementwiseProduct, IndexToString, Normalizer, RegexTokenizer, SQLTransformer,
-    StringIndexer,
+    IDF, CountVectorizerModel, ElementwiseProduct, IndexToString, NGram, Normalizer, RegexTokenizer,
+    SQLTransformer, StringIndexer,
 )
 from pyspark.sql import DataFrame, functions as F
 
@@ -15,10 +15,6 @@ from casewright.operators.labels import class_weights
 from casewright.operators.positions import shuffled_rank
 
 MAX_FEATURES = 20_000
-_BIGRAMS = (
-    "transform(arrays_zip(slice(words, 1, greatest(size(words) - 1, 0)) as a,"
-    " slice(words, 2, greatest(size(words) - 1, 0)) as b), p -> concat_ws(' ', p.a, p.b))"
-)
 
 
 # ---- terms -------------------------------------------------------------------------------
@@ -51,15 +47,16 @@ def tfidf_stages(train: DataFrame, key: str, text: str, max_features: int = MAX_
     terms = sorted(r["term"] for r in vocabulary(train, key, text, max_features).collect())  # <= max_features
     filled = SQLTransformer(statement=f"SELECT *, coalesce({text}, '') AS filled_text FROM __THIS__")
     words = RegexTokenizer(inputCol="filled_text", outputCol="words", pattern=TOKEN_PATTERN, gaps=False)
-    grams = SQLTransformer(statement=f"SELECT *, concat(words, {_BIGRAMS}) AS terms FROM __THIS__")
+    pairs = NGram(n=2, inputCol="words", outputCol="pairs")
+    grams = SQLTransformer(statement="SELECT *, concat(words, pairs) AS terms FROM __THIS__")
     counter = CountVectorizerModel.from_vocabulary(terms or [""], inputCol="terms", outputCol="counts")
-    counted = PipelineModel([filled, words, grams, counter])
+    counted = PipelineModel([filled, words, pairs, grams, counter])
     idf = IDF(inputCol="counts", outputCol="ignored").fit(counted.transform(train))
     smoothed = ElementwiseProduct(
         scalingVec=[w + 1.0 for w in idf.idf.toArray()], inputCol="counts", outputCol="weighted")
     unit = Normalizer(p=2.0, inputCol="weighted", outputCol="features")
-    tidy = SQLTransformer(statement="SELECT * EXCEPT (filled_text, words, terms, counts, weighted) FROM __THIS__")
-    return PipelineModel([filled, words, grams, counter, smoothed, unit, tidy])
+    tidy = SQLTransformer(statement="SELECT * EXCEPT (filled_text, words, pairs, terms, counts, weighted) FROM __THIS__")
+    return PipelineModel([filled, words, pairs, grams, counter, smoothed, unit, tidy])
 
 
 def logreg_fit(
