@@ -38,14 +38,14 @@ def shared_dir(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``. Only a local-mode session
     may go without; it gets a folder of its own.
     """
-    folder = spark.conf.get(_CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(_CHECKPOINT_CONF)
+    context = spark.sparkContext
+    folder = spark.conf.get(_CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {_CHECKPOINT_CONF} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="casewright-")
-    spark.conf.set(_CHECKPOINT_CONF, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="casewright-"))
+    return context.getCheckpointDir()
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

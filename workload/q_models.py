@@ -10,7 +10,7 @@ from casewright.functions.models import keyword_call_responder, keyword_text_res
 from casewright.functions.text import strip
 from casewright.operators import baseline, vectors
 from casewright.plans import flows
-from casewright.session import fresh_path
+from casewright.session import fresh_path, stage
 from casewright.streaming.resume import resume_incremental as run_stream
 from workload import roles
 from workload.registry import query
@@ -118,7 +118,7 @@ _GRAMS_SQL = rf"""(SELECT doc_id, unnest(list_concat(w, list_transform(range(1,
     u AS (SELECT doc_id, term, x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)) AS x FROM w)
   SELECT doc_id, count(*) AS n_terms, round(sum(x), 6) AS total, round(max(x), 6) AS top FROM u GROUP BY doc_id""")
 def tfidf(spark: SparkSession, d: str) -> DataFrame:
-    rows = roles.gold_texts(spark, d)
+    rows = stage(roles.gold_texts(spark, d), "tfidf-rows")
     model = baseline.tfidf_stages(rows, "doc_id", "clean_text")
     weights = F.filter(vector_to_array("features"), lambda w: w != 0)
     summed = F.aggregate("w", F.lit(0.0), lambda total, w: total + w)
@@ -127,9 +127,12 @@ def tfidf(spark: SparkSession, d: str) -> DataFrame:
         F.round(F.array_max("w"), 6).alias("top"))
 
 
+_MAX_ITER = 100  # enough for a trial run; the library default is 2000
+
+
 def _trained(spark: SparkSession, d: str):
     rows = roles.gold_texts(spark, d)
-    return rows, baseline.logreg_fit(rows, "doc_id", "clean_text", "label_complaint_type")
+    return rows, baseline.logreg_fit(rows, "doc_id", "clean_text", "label_complaint_type", max_iter=_MAX_ITER)
 
 
 @query()
@@ -142,7 +145,8 @@ def logreg_fit(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def cross_val_predict(spark: SparkSession, d: str) -> DataFrame:
-    return baseline.cross_val_predict(roles.gold_texts(spark, d), "doc_id", "clean_text", "label_complaint_type", 3)
+    rows = roles.gold_texts(spark, d)
+    return baseline.cross_val_predict(rows, "doc_id", "clean_text", "label_complaint_type", 3, max_iter=_MAX_ITER)
 
 
 @query()
