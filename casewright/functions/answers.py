@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F, types as T
 
 from casewright import fixed_values as fv
+from casewright.functions.binding import let
 from casewright.functions.rules import canonicalize_simple
 
 ANSWER = T.StructType([T.StructField(name, T.StringType()) for name in fv.RESPONSE_FIELDS])
@@ -23,7 +24,8 @@ def _one_value(text: Column, single_quotes: bool = False) -> Column:
     """
     wrapped = F.concat(F.lit('{"v":['), text, F.lit('],"end":1}'))
     parsed = F.from_json(wrapped, _WRAPPED, {"allowSingleQuotes": str(single_quotes).lower()})
-    return F.when((parsed["end"] == 1) & (F.size(parsed["v"]) == 1), F.coalesce(parsed["v"][0], F.lit("null")))
+    return let(parsed, lambda p: F.when(
+        (p["end"] == 1) & (F.size(p["v"]) == 1), F.coalesce(p["v"][0], F.lit("null"))))
 
 
 def _as_answer(value: Column, text: Column) -> Column:
@@ -36,23 +38,32 @@ def safe_parse_json(text: Column) -> Column:
 
     Valid JSON that is no object gives null.
     """
-    value = _one_value(text)
-    braces = F.regexp_extract(text, r"(?s)(\{.*\})", 1)
-    return F.when(value.isNotNull(), _as_answer(value, text)).otherwise(_as_answer(_one_value(braces), braces))
+
+    def by_braces(t: Column) -> Column:
+        braces = F.regexp_extract(t, r"(?s)(\{.*\})", 1)
+        return _as_answer(_one_value(braces), braces)
+
+    return let(text, lambda t: let(
+        _one_value(t), lambda value: F.when(value.isNotNull(), _as_answer(value, t)).otherwise(by_braces(t))))
 
 
 def extract_function_args(response: Column) -> Column:
     """Arguments of the first choice's function call, given as JSON text, an object or a Python literal."""
-    arguments = F.get_json_object(response, _ARGUMENTS_PATH)
-    python_words = arguments
-    for word, plain in (("None", "null"), ("True", "true"), ("False", "false")):
-        python_words = F.regexp_replace(python_words, rf"([:,\[]\s*){word}(?=\s*[,}}\]])", f"$1{plain}")
-    value = F.coalesce(
-        _one_value(arguments),
-        _one_value(arguments, single_quotes=True),
-        _one_value(python_words, single_quotes=True),
-    )
-    return _as_answer(value, arguments)
+
+    def plain_words(t: Column) -> Column:
+        for word, plain in (("None", "null"), ("True", "true"), ("False", "false")):
+            t = F.regexp_replace(t, rf"([:,\[]\s*){word}(?=\s*[,}}\]])", f"$1{plain}")
+        return t
+
+    def read(arguments: Column) -> Column:
+        value = F.coalesce(
+            _one_value(arguments),
+            _one_value(arguments, single_quotes=True),
+            _one_value(plain_words(arguments), single_quotes=True),
+        )
+        return _as_answer(value, arguments)
+
+    return let(F.get_json_object(response, _ARGUMENTS_PATH), read)
 
 
 def parsed_to_columns(parsed: Column) -> list[Column]:

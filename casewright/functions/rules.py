@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from casewright import fixed_values as fv
+from casewright.functions.binding import let
 from casewright.functions.text import strip, word_count
 
 
@@ -21,27 +22,32 @@ def _words(words: Sequence[str]) -> Column:
 
 def contains_any(text: Column, words: Sequence[str]) -> Column:
     """True if any of the (lower-case) words is a substring of the text."""
-    return F.exists(_words(words), lambda word: text.contains(word))
+    return let(text, lambda t: F.exists(_words(words), lambda word: t.contains(word)))
 
 
 def count_occurrences(text: Column, words: Sequence[str]) -> Column:
     """Non-overlapping occurrences of each word, summed over the list."""
-    size = F.octet_length(text)
 
-    def add(total: Column, word: Column) -> Column:
-        gone = size - F.octet_length(F.replace(text, word, F.lit("")))
-        return total + (gone / F.octet_length(word)).cast("long")
+    def count(t: Column, word: Column) -> Column:
+        gone = F.octet_length(t) - F.octet_length(F.replace(t, word, F.lit("")))
+        return (gone / F.octet_length(word)).cast("long")
 
-    return F.aggregate(_words(words), F.lit(0).cast("long"), add)
+    return let(text, lambda t: F.aggregate(
+        _words(words), F.lit(0).cast("long"), lambda total, word: total + count(t, word)))
 
 
 def first_rule(text: Column, rules: Sequence[tuple[str, Sequence[str]]]) -> Column:
     """Label of the first rule with a word in the text, else ``Other``; null gives ``Other``."""
-    lowered = F.lower(text)
-    chain = F.when(F.lit(False), F.lit("Other"))
-    for label, words in rules:
-        chain = chain.when(contains_any(lowered, words), F.lit(label))
-    return chain.otherwise(F.lit("Other"))
+
+    def chain(t: Column) -> Column:
+        labels = F.when(t.isNull(), F.lit("Other"))
+        for label, words in rules:
+            labels = labels.when(F.exists(_words(words), lambda word: t.contains(word)), F.lit(label))
+        return labels.otherwise(F.lit("Other"))
+
+    # The outer default tells the optimizer that there is never a null. Otherwise a later null
+    # filter would be pushed below, and evaluate the whole chain a second time.
+    return F.coalesce(let(F.lower(text), chain), F.lit("Other"))
 
 
 def collapse_label(label: Column) -> Column:
@@ -64,7 +70,8 @@ def canonicalize_simple(value: Column, allowed: Sequence[str]) -> Column:
 
 def sentiment_rule(text: Column, positive: Column, neutral: Column, negative: Column) -> Column:
     """Sentiment from the three word counts; ``text`` is lower-case."""
-    asks_for_help = (word_count(text) <= fv.SHORT_HELP_MAX_WORDS) & contains_any(text, fv.SHORT_HELP_WORDS)
+    # The cheap test first; few texts get as far as the word count.
+    asks_for_help = contains_any(text, fv.SHORT_HELP_WORDS) & (word_count(text) <= fv.SHORT_HELP_MAX_WORDS)
     return (
         F.when(positive > F.greatest(negative, neutral), F.lit("Positive"))
         .when((neutral > F.greatest(positive, negative)) & (negative == 0), F.lit("Neutral"))

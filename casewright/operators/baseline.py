@@ -26,31 +26,56 @@ ROWS_PER_PARTITION = 2_000
 # ---- terms -------------------------------------------------------------------------------
 
 
-def explode_terms(df: DataFrame, key: str, text: str) -> DataFrame:
-    """One row per (key, term) occurrence, unigrams and bigrams."""
+def explode_terms(df: DataFrame, text: str) -> DataFrame:
+    """One row per occurrence of a term, unigrams and bigrams."""
     words = tokens(F.coalesce(F.col(text), F.lit("")))
-    return df.select(key, words.alias("__words")).select(
-        key, F.explode(unigrams_and_bigrams(F.col("__words"))).alias("term"))
+    return df.select(words.alias("words")).select(F.explode(unigrams_and_bigrams(F.col("words"))).alias("term"))
 
 
-def term_statistics(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(term, tf, df): corpus and document frequency, merged map-side per document first."""
-    per_row = explode_terms(df, key, text).groupBy("term", key).agg(F.count(F.lit(1)).alias("c"))
-    return per_row.groupBy("term").agg(F.sum("c").alias("tf"), F.count(F.lit(1)).alias("df"))
+def term_statistics(terms: DataFrame) -> DataFrame:
+    """(term, tf, df) of a column ``terms`` of term arrays: corpus and document frequency.
+
+    Each document adds its terms once more without repeats, so one aggregation
+    gives both counts, and only one row per term and task is shuffled.
+    """
+    counted = F.concat(
+        F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df"))),
+        F.transform(F.array_distinct("terms"),
+                    lambda t: F.struct(t.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df"))),
+    )
+    return terms.select(F.explode(counted).alias("c")).groupBy("c.term").agg(
+        F.sum("c.tf").alias("tf"), F.sum("c.df").alias("df"))
 
 
-def vocabulary(df: DataFrame, key: str, text: str, max_features: int = MAX_FEATURES) -> DataFrame:
+def vocabulary(df: DataFrame, text: str, max_features: int = MAX_FEATURES) -> DataFrame:
     """The most frequent terms of the corpus; ties go to the alphabetically first."""
-    counts = explode_terms(df, key, text).groupBy("term").agg(F.count(F.lit(1)).alias("tf"))
-    return counts.orderBy(F.desc("tf"), "term").limit(max_features)
+    counts = explode_terms(df, text).groupBy("term").agg(F.count(F.lit(1)).alias("tf"))
+    return top_terms(counts, max_features)
+
+
+def top_terms(counts: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
+    """The first ``max_features`` rows by (tf descending, term).
+
+    The frequency at the cut is found first, from the number of terms per
+    frequency, so that the final sort sees the chosen terms and the ties at the
+    cut, not the candidates of every partition.
+    """
+    counts = stage(counts, "term-counts")
+    levels = counts.groupBy("tf").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("tf")).limit(max_features).collect()
+    cut, total = 0, 0
+    for level in levels:
+        cut, total = level["tf"], total + level["n"]
+        if total >= max_features:
+            break
+    return counts.filter(F.col("tf") >= cut).orderBy(F.desc("tf"), "term").limit(max_features)
 
 
 # ---- pipeline ----------------------------------------------------------------------------
 
 
-def tfidf_stages(train: DataFrame, key: str, text: str, max_features: int = MAX_FEATURES) -> PipelineModel:
+def tfidf_stages(train: DataFrame, text: str, max_features: int = MAX_FEATURES) -> PipelineModel:
     """Fitted stages text -> L2-normalised tf * (ln((1 + n) / (1 + df)) + 1) over the training rows."""
-    chosen = vocabulary(train, key, text, max_features).select(F.array("term").alias("terms"))
+    chosen = vocabulary(train, text, max_features).select(F.array("term").alias("terms"))
     counter = CountVectorizer(vocabSize=max_features, inputCol="terms", outputCol="counts").fit(chosen)
     filled = SQLTransformer(statement=f"SELECT *, coalesce({text}, '') AS filled_text FROM __THIS__")
     words = RegexTokenizer(inputCol="filled_text", outputCol="words", pattern=TOKEN_PATTERN, gaps=False)
@@ -76,7 +101,7 @@ def logreg_fit(
     """
     # Staged once: the vocabulary, the IDF, the weights and the features all read these rows.
     train = stage(train.select(key, target, text), "train-rows")
-    featurizer = featurizer or tfidf_stages(train, key, text, max_features)
+    featurizer = featurizer or tfidf_stages(train, text, max_features)
     rows = featurizer.transform(class_weights(train, target)).select(key, target, "class_weight", "features").persist()
     try:
         n = rows.count()
@@ -126,7 +151,7 @@ def cross_val_predict(
     included, which is how the published baseline figures were made.
     """
     folds = stage(stratified_folds(labels.select(key, text, target), target, key, k, seed), "folds")
-    shared = None if refit_features else tfidf_stages(folds, key, text)
+    shared = None if refit_features else tfidf_stages(folds, text)
     present = [r["fold"] for r in folds.select("fold").distinct().orderBy("fold").collect()]  # at most k
 
     def predict_fold(fold: int) -> DataFrame:

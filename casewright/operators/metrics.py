@@ -24,15 +24,20 @@ def pair_counts(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def crosstab(df: DataFrame, rows: str, columns: str) -> DataFrame:
-    """Contingency table in long form; pairs with a null are left out."""
-    kept = df.filter(F.col(rows).isNotNull() & F.col(columns).isNotNull())
-    return kept.groupBy(rows, columns).agg(F.count(F.lit(1)).alias("n"))
+    """Contingency table in long form; pairs with a null are left out.
+
+    The nulls go after the aggregation: a filter on the inputs would be pushed
+    down and evaluate computed columns a second time.
+    """
+    both = F.col(rows).isNotNull() & F.col(columns).isNotNull()
+    return df.groupBy(rows, columns).agg(F.count_if(both).alias("n")).filter(F.col("n") > 0)
 
 
 def crosstab_wide(df: DataFrame, rows: str, columns: str, values: Sequence[str]) -> DataFrame:
     """Contingency table with one column per value; pass the domain to spare the extra job."""
-    kept = df.filter(F.col(rows).isNotNull() & F.col(columns).isNotNull())
-    return kept.groupBy(rows).pivot(columns, list(values)).count().na.fill(0, list(values))
+    cells = [F.count_if(F.col(columns) == value).alias(value) for value in values]
+    known = F.count_if(F.col(rows).isNotNull() & F.col(columns).isNotNull()).alias("__known")
+    return df.groupBy(rows).agg(known, *cells).filter(F.col("__known") > 0).drop("__known")
 
 
 def accuracy(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -136,7 +141,7 @@ def confusion_matrix(pairs: DataFrame) -> DataFrame:
 
     The class list is one row of K names; the result itself has K * K rows.
     """
-    counts = pair_counts(pairs.filter(F.col("true").isNotNull()))
+    counts = pair_counts(pairs)
     classes = counts.agg(F.array_sort(F.collect_set("true")).alias("classes"))
     cells = classes.select("classes", F.explode("classes").alias("true")).select(
         "true", F.explode("classes").alias("pred"))

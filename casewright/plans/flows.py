@@ -89,8 +89,10 @@ def classify_rag(
     canonicalize = rules.canonicalize_complaint_rag if mode == "rag" else rules.canonicalize_complaint_infer
     prompted = fewshot_prompts(tickets, index, k, mode, key, exclude_self, **search_options)
     failed = F.col("embedding_error") if "embedding_error" in tickets.columns else F.lit(None).cast("string")
-    asked = prompted.withColumn("__failed", failed).withColumn(
-        "__reply", F.when(F.col("__failed").isNull(), models.respond(F.col("prompt"), responder, batch_size)))
+    asked = prompted.withColumn("__failed", failed)
+    # A UDF inside a condition runs for every row all the same; what must not be sent is made null.
+    sendable = F.when(F.col("__failed").isNull(), F.col("prompt"))
+    asked = asked.withColumn("__reply", models.respond(sendable, responder, batch_size))
     read = asked.withColumns({
         "raw_response": F.col("__reply.raw"),
         "error": F.coalesce("__failed", "__reply.error"),

@@ -165,7 +165,7 @@ def test_stream_resumes(spark, tickets, tmp_path):
 
 def test_tfidf_by_hand(spark):
     rows = spark.createDataFrame([(1, "red red blue"), (2, "blue green"), (3, "")], "id int, t string")
-    model = baseline.tfidf_stages(rows, "id", "t", max_features=3)  # blue 2, red 2, then "blue green" before others
+    model = baseline.tfidf_stages(rows, "t", max_features=3)  # blue 2, red 2, then "blue green" before others
     out = {r.id: sorted(x for x in r.v if x)
            for r in model.transform(rows).select("id", vector_to_array("features").alias("v")).collect()}
     idf = lambda df: math.log((1 + 3) / (1 + df)) + 1

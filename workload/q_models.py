@@ -73,10 +73,10 @@ _ENRICHED_SQL = f"""SELECT ticket_id, md5(clean_text) AS text_md5, md5(clean_tex
 def enrich_tickets(spark: SparkSession, d: str) -> DataFrame:
     """A first run over the odd tickets, then a run over all: each ticket is classified once."""
     path = fresh_path(spark, "enrich-partials")
-    tickets, index = _embedded(roles.tickets(spark, d)), _labelled_index(spark, d)
+    tickets, index = roles.tickets(spark, d), _labelled_index(spark, d)
 
     def classify(pending: DataFrame) -> DataFrame:
-        return flows.classify_rag(pending, index, keyword_call_responder, k=5, mode="cheap")
+        return flows.classify_rag(_embedded(pending), index, keyword_call_responder, k=5, mode="cheap")
 
     flows.enrich_pending(tickets.filter(F.col("ticket_id") % 2 == 1), path, classify)
     enriched = flows.enrich_tickets(tickets, path, classify)
@@ -119,7 +119,7 @@ _GRAMS_SQL = rf"""(SELECT doc_id, unnest(list_concat(w, list_transform(range(1,
   SELECT doc_id, count(*) AS n_terms, round(sum(x), 6) AS total, round(max(x), 6) AS top FROM u GROUP BY doc_id""")
 def tfidf(spark: SparkSession, d: str) -> DataFrame:
     rows = stage(roles.gold_texts(spark, d), "tfidf-rows")
-    model = baseline.tfidf_stages(rows, "doc_id", "clean_text")
+    model = baseline.tfidf_stages(rows, "clean_text")
     weights = F.filter(vector_to_array("features"), lambda w: w != 0)
     summed = F.aggregate("w", F.lit(0.0), lambda total, w: total + w)
     return model.transform(rows).select("doc_id", weights.alias("w")).filter(F.size("w") > 0).select(

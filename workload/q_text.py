@@ -299,9 +299,8 @@ _WORDS_SQL = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')"
 @query(rf"""SELECT term, count(*) AS n, count(DISTINCT doc_id) AS n_docs
   FROM (SELECT doc_id, unnest({_WORDS_SQL}) AS term FROM documents) GROUP BY term""")
 def tokenize(spark: SparkSession, d: str) -> DataFrame:
-    per_doc = _documents(spark, d).select("doc_id", F.explode(tx.tokens(F.col("text"))).alias("term")).groupBy(
-        "term", "doc_id").agg(F.count(F.lit(1)).alias("c"))
-    return per_doc.groupBy("term").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("n_docs"))
+    terms = _documents(spark, d).select(tx.tokens(F.col("text")).alias("terms"))
+    return baseline.term_statistics(terms).withColumnsRenamed({"tf": "n", "df": "n_docs"})
 
 
 _NGRAMS_SQL = rf"""(SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: concat(w[i], ' ', w[i + 1])))) AS term
@@ -321,5 +320,6 @@ def ngrams_1_2(spark: SparkSession, d: str) -> DataFrame:
   ORDER BY tf DESC, term LIMIT 20000""")
 def count_vectorize(spark: SparkSession, d: str) -> DataFrame:
     """The vocabulary: top 20,000 terms by corpus frequency, with their document frequency."""
-    stats = baseline.term_statistics(_documents(spark, d), "doc_id", "text")
-    return stats.orderBy(F.desc("tf"), "term").limit(baseline.MAX_FEATURES)
+    words = _documents(spark, d).select(tx.tokens(F.col("text")).alias("words"))
+    stats = baseline.term_statistics(words.select(tx.unigrams_and_bigrams(F.col("words")).alias("terms")))
+    return baseline.top_terms(stats)

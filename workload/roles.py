@@ -91,7 +91,7 @@ TICKETS_SQL = f"(SELECT doc_id AS ticket_id, {clean_sql('text')} AS clean_text F
 
 def phrase_tickets(spark: SparkSession, folder: str) -> DataFrame:
     """One enriched ticket per event: phrase, raw labels, and three predictions with nulls among them."""
-    events = table(spark, folder, "events").select("event_id", "user_id", "event_type")
+    events = spread(table(spark, folder, "events").select("event_id", "user_id", "event_type"), "event_id")
     number, user = F.col("event_id"), F.col("user_id")
     sentiment = F.when(F.lit(False), F.lit(""))
     for event_type, value in SENTIMENT_OF_EVENT.items():
@@ -218,7 +218,7 @@ def answers(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("\n  "), whole, F.lit("\n")),
         F.lit("{}"),
     ]
-    events = table(spark, folder, "events").select("event_id", "user_id", "event_type")
+    events = spread(table(spark, folder, "events").select("event_id", "user_id", "event_type"), "event_id")
     raw = F.element_at(F.array(*forms), (number % ANSWER_FORMS).cast("int") + 1)
     return events.select(F.col("event_id").alias("row_index"), raw.alias("raw"))
 
