@@ -11,6 +11,7 @@ from casewright.functions.text import strip
 from casewright.operators import baseline, vectors
 from casewright.plans import flows
 from casewright.session import fresh_path, stage
+from casewright.sources import readers
 from casewright.streaming.resume import resume_incremental as run_stream
 from workload import roles
 from workload.registry import query
@@ -49,9 +50,9 @@ def _embedded(tickets: DataFrame) -> DataFrame:
 
 
 def _labelled_index(spark: SparkSession, d: str) -> DataFrame:
-    index = _embedded(roles.gold_texts(spark, d))
-    return index.select(F.col("doc_id").alias("row_index"), "embedding", F.col("clean_text").alias("text"),
-                        "label_complaint_type")
+    path = fresh_path(spark, "labelled-index")
+    vectors.build_vector_index(_embedded(roles.gold_texts(spark, d)), path, "doc_id")
+    return readers.read_vector_index(spark, path)
 
 
 @query(f"""SELECT ticket_id, md5(clean_text) AS text_md5, complaint AS complaint_pred_raw,

@@ -93,7 +93,8 @@ _BUCKETS_SQL = r"""(SELECT doc_id, CAST(('0x' || md5(token)[1:4]) AS INTEGER) %
 def embed_text(spark: SparkSession, d: str) -> DataFrame:
     docs = roles.spread(roles.table(spark, d, "documents").select("doc_id", "text"), "doc_id")
     embedded = vectors.hashed_embedding(docs, "text")
-    return embedded.select("doc_id", F.posexplode("embedding").alias("dim", "weight")).filter(
+    # The outer form: for the inner one the optimizer adds a filter that computes the embedding twice.
+    return embedded.select("doc_id", F.posexplode_outer("embedding").alias("dim", "weight")).filter(
         F.col("weight") > 0).withColumn("weight", F.round("weight", 6))
 
 
