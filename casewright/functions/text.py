@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from casewright.fixed_values import EMAIL_MARK, PHONE_MARK
+from casewright.functions.binding import let
 
 _SPACE = r"(?U)[\s\x1c-\x1f]+"
 _EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
@@ -65,6 +66,10 @@ def tokens(text: Column) -> Column:
 
 def unigrams_and_bigrams(words: Column) -> Column:
     """The words, then each adjacent pair joined by a space."""
-    pairs = F.greatest(F.size(words) - 1, F.lit(0))
-    return F.concat(words, F.zip_with(
-        F.slice(words, F.lit(1), pairs), F.slice(words, F.lit(2), pairs), lambda a, b: F.concat_ws(" ", a, b)))
+
+    def both(w: Column) -> Column:
+        pairs = F.greatest(F.size(w) - 1, F.lit(0))
+        return F.concat(w, F.zip_with(
+            F.slice(w, F.lit(1), pairs), F.slice(w, F.lit(2), pairs), lambda a, b: F.concat_ws(" ", a, b)))
+
+    return let(words, both)

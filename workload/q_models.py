@@ -72,14 +72,14 @@ _ENRICHED_SQL = f"""SELECT ticket_id, md5(clean_text) AS text_md5, md5(clean_tex
 
 @query(_ENRICHED_SQL)
 def enrich_tickets(spark: SparkSession, d: str) -> DataFrame:
-    """A first run over the odd tickets, then a run over all: each ticket is classified once."""
+    """A first run in two slices, then a run that finds nothing left to do."""
     path = fresh_path(spark, "enrich-partials")
     tickets, index = roles.tickets(spark, d), _labelled_index(spark, d)
 
     def classify(pending: DataFrame) -> DataFrame:
         return flows.classify_rag(_embedded(pending), index, keyword_call_responder, k=5, mode="cheap")
 
-    flows.enrich_pending(tickets.filter(F.col("ticket_id") % 2 == 1), path, classify)
+    flows.enrich_pending(tickets, path, classify, slices=2)
     enriched = flows.enrich_tickets(tickets, path, classify)
     return enriched.select(
         "ticket_id", F.md5("clean_text").alias("text_md5"), F.md5("input_text").alias("input_md5"), "pred_complaint_raw",
@@ -97,7 +97,8 @@ def resume_incremental(spark: SparkSession, d: str) -> DataFrame:
         found = flows.classify_zero_shot(rows, fv.ZERO_SHOT_TEMPLATE, keyword_text_responder)
         return found.select("ticket_id", "complaint_type_pred", "severity_pred")
 
-    for drop in (tickets.filter(F.col("ticket_id") % 3 == 0), tickets.filter(F.col("ticket_id") % 3 != 0), None):
+    short = F.length("clean_text") < 500
+    for drop in (tickets.filter(short), tickets.filter(~short), None):
         if drop is not None:
             drop.write.mode("append").parquet(f"{base}/tickets")
         run_stream(spark, f"{base}/tickets", tickets.schema, f"{base}/out", f"{base}/checkpoint", classify,
@@ -117,13 +118,14 @@ _GRAMS_SQL = rf"""(SELECT doc_id, unnest(list_concat(w, list_transform(range(1,
     n AS (SELECT count(*) AS n FROM {roles.GOLD_TEXTS_SQL}),
     w AS (SELECT doc_id, g.term, c * (ln((1.0::DOUBLE + n) / (1 + df)) + 1) AS x FROM g JOIN v ON v.term = g.term, n),
     u AS (SELECT doc_id, term, x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)) AS x FROM w)
-  SELECT doc_id, count(*) AS n_terms, round(sum(x), 6) AS total, round(max(x), 6) AS top FROM u GROUP BY doc_id""")
+  SELECT d.doc_id, count(u.term) AS n_terms, coalesce(round(sum(x), 6), 0.0::DOUBLE) AS total, round(max(x), 6) AS top
+  FROM {roles.GOLD_TEXTS_SQL} d LEFT JOIN u ON u.doc_id = d.doc_id GROUP BY d.doc_id""")
 def tfidf(spark: SparkSession, d: str) -> DataFrame:
     rows = stage(roles.gold_texts(spark, d), "tfidf-rows")
     model = baseline.tfidf_stages(rows, "clean_text")
     weights = F.filter(vector_to_array("features"), lambda w: w != 0)
     summed = F.aggregate("w", F.lit(0.0), lambda total, w: total + w)
-    return model.transform(rows).select("doc_id", weights.alias("w")).filter(F.size("w") > 0).select(
+    return model.transform(rows).select("doc_id", weights.alias("w")).select(
         "doc_id", F.size("w").cast("long").alias("n_terms"), F.round(summed, 6).alias("total"),
         F.round(F.array_max("w"), 6).alias("top"))
 

@@ -62,36 +62,38 @@ def read_vector_index(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _partials(spark: SparkSession, d: str) -> str:
-    """Three appended batches: one without an error column, one with errors, and retries of those."""
+    """Three appended batches: one without an error column, one in which urgent rows fail, and some retries."""
     path = fresh_path(spark, "partials")
-    rows = roles.phrase_tickets(spark, d).select("ticket_id", F.col("pred_raw").alias("complaint_pred"))
-    failed = F.col("ticket_id") % 5 == 0
-    writers.write_partial(rows.filter(F.col("ticket_id") % 2 == 0), path)
-    writers.write_partial(rows.filter(F.col("ticket_id") % 2 == 1).select(
+    rows = roles.phrase_tickets(spark, d).select(
+        "ticket_id", F.col("pred_raw").alias("complaint_pred"), "pred_severity", "pred_sentiment", "pred_complaint_type")
+    first = F.col("pred_sentiment").isNull()
+    failed = ~first & F.col("pred_severity").eqNullSafe("Urgent")
+    retried = failed & F.col("pred_complaint_type").eqNullSafe("Billing")
+    extra = ("pred_severity", "pred_sentiment", "pred_complaint_type")
+    writers.write_partial(rows.filter(first).drop(*extra), path)
+    writers.write_partial(rows.filter(~first).select(
         "ticket_id", F.when(failed, "Other").otherwise(F.col("complaint_pred")).alias("complaint_pred"),
         F.when(failed, "timeout").alias("error")), path)
-    retried = rows.filter((F.col("ticket_id") % 2 == 1) & failed & (F.col("ticket_id") % 3 == 0))
-    writers.write_partial(retried.withColumn("error", F.lit(None).cast("string")), path)
+    writers.write_partial(rows.filter(retried).drop(*extra).withColumn("error", F.lit(None).cast("string")), path)
     return path
 
 
+_FAILED_SQL = "(pred_sentiment IS NOT NULL AND pred_severity IS NOT DISTINCT FROM 'Urgent')"
+_RETRIED_SQL = f"({_FAILED_SQL} AND pred_complaint_type IS NOT DISTINCT FROM 'Billing')"
+
+
 @query(f"""SELECT ticket_id, CASE WHEN failed THEN 'Other' ELSE pred_raw END AS complaint_pred,
     CASE WHEN failed THEN 'timeout' END AS error
-  FROM (SELECT ticket_id, pred_raw, ticket_id % 2 = 1 AND ticket_id % 5 = 0 AND ticket_id % 3 <> 0 AS failed
-        FROM {roles.PHRASE_TICKETS_SQL})""")
+  FROM (SELECT ticket_id, pred_raw, {_FAILED_SQL} AND NOT {_RETRIED_SQL} AS failed FROM {roles.PHRASE_TICKETS_SQL})""")
 def read_partials(spark: SparkSession, d: str) -> DataFrame:
     return readers.read_partials(spark, _partials(spark, d)).select("ticket_id", "complaint_pred", "error")
 
 
-@query(f"""SELECT ticket_id % 2 = 0 AS even, ticket_id % 2 = 1 AND ticket_id % 5 = 0 AS failed_once,
-    CAST(sum(CASE WHEN ticket_id % 2 = 1 AND ticket_id % 5 = 0 AND ticket_id % 3 = 0 THEN 2 ELSE 1 END) AS BIGINT)
-      AS n_rows
-  FROM {roles.PHRASE_TICKETS_SQL} GROUP BY 1, 2""")
+@query(f"""SELECT ticket_id, CASE WHEN {_RETRIED_SQL} THEN 2 ELSE 1 END::BIGINT AS n_rows,
+    CASE WHEN {_FAILED_SQL} THEN 1 ELSE 0 END::BIGINT AS n_errors FROM {roles.PHRASE_TICKETS_SQL}""")
 def write_partial(spark: SparkSession, d: str) -> DataFrame:
     rows = readers.read_partials(spark, _partials(spark, d), latest=False)
-    odd = F.col("ticket_id") % 2 == 1
-    return rows.groupBy((~odd).alias("even"), (odd & (F.col("ticket_id") % 5 == 0)).alias("failed_once")).agg(
-        F.count(F.lit(1)).alias("n_rows"))
+    return rows.groupBy("ticket_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count("error").alias("n_errors"))
 
 
 def _mapping_values() -> str:

@@ -307,10 +307,11 @@ _NGRAMS_SQL = rf"""(SELECT doc_id, unnest(list_concat(w, list_transform(range(1,
   FROM (SELECT doc_id, {_WORDS_SQL} AS w FROM documents))"""
 
 
-@query(f"SELECT doc_id, count(*) AS n_terms, count(DISTINCT term) AS n_distinct FROM {_NGRAMS_SQL} GROUP BY doc_id")
+@query(f"""SELECT d.doc_id, count(term) AS n_terms, count(DISTINCT term) AS n_distinct
+  FROM documents d LEFT JOIN {_NGRAMS_SQL} g ON g.doc_id = d.doc_id GROUP BY d.doc_id""")
 def ngrams_1_2(spark: SparkSession, d: str) -> DataFrame:
     terms = _documents(spark, d).select("doc_id", tx.unigrams_and_bigrams(tx.tokens(F.col("text"))).alias("t"))
-    return terms.filter(F.size("t") > 0).select(
+    return terms.select(
         "doc_id", F.size("t").cast("long").alias("n_terms"),
         F.size(F.array_distinct("t")).cast("long").alias("n_distinct"))
 

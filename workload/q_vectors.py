@@ -63,8 +63,10 @@ def _prompt_sql(header: str, root_cause: str, action: str) -> str:
 
 
 def _prompted(spark: SparkSession, d: str, mode: str, **options) -> DataFrame:
-    index = roles.vector_index(spark, d)
-    tickets = index.select(F.col("row_index").alias("ticket_id"), "embedding", F.col("text").alias("clean_text"))
+    path = fresh_path(spark, "prompt-index")
+    vectors.build_vector_index(roles.vector_index(spark, d), path, "row_index", "text")
+    index = readers.read_vector_index(spark, path)
+    tickets = roles.spread(index, "row_index").select(F.col("row_index").alias("ticket_id"), "embedding", F.col("text").alias("clean_text"))
     return flows.fewshot_prompts(tickets, index, 3, mode, **options).select(
         "ticket_id", F.md5("prompt").alias("prompt_md5"))
 
@@ -103,7 +105,7 @@ def embed_text(spark: SparkSession, d: str) -> DataFrame:
   FROM (SELECT doc_id AS row_index, label_complaint_type, md5(clean_text) AS text_md5 FROM {roles.GOLD_TEXTS_SQL})""")
 def build_vector_index(spark: SparkSession, d: str) -> DataFrame:
     path = fresh_path(spark, "built-index")
-    docs = roles.table(spark, d, "documents").select("doc_id", "text")
+    docs = roles.spread(roles.table(spark, d, "documents").select("doc_id", "text"), "doc_id")
     labelled = roles.gold_texts(spark, d).join(vectors.hashed_embedding(docs, "text").drop("text"), "doc_id")
     vectors.build_vector_index(labelled, path, "doc_id")
     used = F.size(F.filter("embedding", lambda w: w > 0)).cast("long")
