@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from casewright.operators.positions import key_position
+from casewright.operators.positions import key_position, small_side
 
 ENRICHED_NAMES = {
     "complaint_pred": "pred_complaint_type",
@@ -72,6 +72,22 @@ def latest_by_key(partials: DataFrame, key: str = "ticket_id", written: str = "w
     return partials.groupBy(key).agg(best).select(key, "__row.*")
 
 
+def salted_join(left: DataFrame, right: DataFrame, key: str, spread_by: str, rows_per_task: int = 1_000_000) -> DataFrame:
+    """Inner join of a table with hot keys to one with a row per key.
+
+    Rows of a key that has more than ``rows_per_task`` of them are spread by hash over
+    several tasks, and only that key's row of ``right`` is copied to each. ``left``
+    is read twice, so stage it if it is costly.
+    """
+    parts = F.ceil(F.col("n") / rows_per_task).cast("int").alias("__parts")
+    hot = small_side(
+        left.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows_per_task).select(key, parts))
+    shares = F.coalesce("__parts", F.lit(1))
+    salted = left.join(hot, key, "left").withColumn("__salt", F.pmod(F.xxhash64(spread_by), shares).cast("int"))
+    copies = right.join(hot, key, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), shares - 1)))
+    return salted.drop("__parts").join(copies.drop("__parts"), [key, "__salt"]).drop("__salt")
+
+
 def union_partials(*parts: DataFrame) -> DataFrame:
     """Concatenate tables whose columns drifted; missing columns become null."""
     whole = parts[0]

@@ -19,16 +19,25 @@ def resolve_pred_col(df: DataFrame) -> DataFrame:
 
     By name from the fixed list; a JSON answer column is replaced by its
     complaint_type first. Else the first column whose first values look like
-    complaint types; else, if there is one, the stored response.
+    complaint types. Where that gives no value, the stored response is read.
     """
+    stored = dict(df.dtypes).get("raw_response") == "string"
+    named = _named_prediction(df, stored)
+    if not stored:
+        return named
+    from_response = extract_function_args(F.col("raw_response"))["complaint_type"]
+    return named.withColumn("complaint_pred_raw", F.coalesce(F.col("complaint_pred_raw").cast("string"), from_response))
+
+
+def _named_prediction(df: DataFrame, stored: bool) -> DataFrame:
     names = [*fv.PREDICTION_COLUMN_NAMES, "complaint_pred", "label_complaint_type"]
     found = next((c for c in names if c in df.columns), None)
     if found in ("llm_parsed", "llm_parsed_json"):
         is_text = dict(df.dtypes)[found] == "string"
         kind = safe_parse_json(F.col(found))["complaint_type"] if is_text else F.col(f"{found}.complaint_type")
         return df.withColumn(found, kind).withColumnRenamed(found, "complaint_pred_raw")
-    if found is None and "raw_response" in df.columns:
-        return df.withColumn("complaint_pred_raw", extract_function_args(F.col("raw_response"))["complaint_type"])
+    if found is None and stored:
+        return df.withColumn("complaint_pred_raw", F.lit(None).cast("string"))
     if found is None:
         found = next((c for c, kind in df.dtypes if kind == "string" and _looks_like_labels(df, c)), None)
     if found is None:

@@ -31,10 +31,6 @@ def _rows(frame: pd.DataFrame) -> list[tuple]:
     return sorted(zip(*plain), key=repr)
 
 
-def _close(a, b) -> bool:
-    return a == b
-
-
 def difference(got: pd.DataFrame, expected: pd.DataFrame) -> str | None:
     if sorted(got.columns) != sorted(expected.columns):
         return f"columns {sorted(got.columns)} != {sorted(expected.columns)}"

@@ -131,6 +131,8 @@ def test_eval_runs_reads_every_prediction_form(spark):
     response = '{"choices":[{"message":{"function_call":{"arguments":"{\\"complaint_type\\":\\"Login\\"}"}}}]}'
     stored = spark.createDataFrame([(0, response)], "row_index int, raw_response string")
     assert columns.resolve_pred_col(stored).first().complaint_pred_raw == "Login"
+    empty = stored.withColumn("complaint_pred_raw", F.lit(None).cast("string"))
+    assert columns.resolve_pred_col(empty).first().complaint_pred_raw == "Login"
 
 
 def test_multi_task_null_rules(spark):

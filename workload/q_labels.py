@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casewright.operators import joins, labels, positions
+from casewright.fixed_values import LABEL_DICTIONARY
+from casewright.operators import baseline, joins, labels, positions
 from casewright.sources import readers
 from workload import roles
 from workload.registry import query
@@ -99,7 +100,6 @@ def resume_anti_join(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _dictionary_sql() -> str:
-    from casewright.fixed_values import LABEL_DICTIONARY
     pairs = {v.strip(): c for v, c in LABEL_DICTIONARY["complaint_mapping"].items()}
     return ", ".join(f"({roles.text_sql(v)}, {roles.text_sql(c)})" for v, c in pairs.items())
 
@@ -148,12 +148,10 @@ _RANKED_SQL = f"""(SELECT *, row_number() OVER (PARTITION BY label_complaint_typ
 
 @query(f"SELECT doc_id, label_complaint_type, CAST((rank - 1) % 3 AS INTEGER) AS fold FROM {_RANKED_SQL}")
 def stratified_folds(spark: SparkSession, d: str) -> DataFrame:
-    from casewright.operators.baseline import stratified_folds as folds
-    return folds(roles.gold(spark, d), "label_complaint_type", "doc_id", 3, 42)
+    return baseline.stratified_folds(roles.gold(spark, d), "label_complaint_type", "doc_id", 3, 42)
 
 
 @query(f"""SELECT doc_id, label_complaint_type,
     CASE WHEN rank <= floor(n * 0.2::DOUBLE + 0.5) THEN 'test' ELSE 'train' END AS split FROM {_RANKED_SQL}""")
 def stratified_split(spark: SparkSession, d: str) -> DataFrame:
-    from casewright.operators.baseline import stratified_split as split
-    return split(roles.gold(spark, d), "label_complaint_type", "doc_id", 0.2, 42)
+    return baseline.stratified_split(roles.gold(spark, d), "label_complaint_type", "doc_id", 0.2, 42)

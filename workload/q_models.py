@@ -6,9 +6,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casewright import fixed_values as fv
+from casewright.functions import rules
 from casewright.functions.models import keyword_call_responder, keyword_text_responder
 from casewright.functions.text import strip
-from casewright.operators import baseline, vectors
+from casewright.operators import baseline, metrics, vectors
 from casewright.plans import flows
 from casewright.session import fresh_path, stage
 from casewright.sources import readers
@@ -175,8 +176,6 @@ def save_model(spark: SparkSession, d: str) -> DataFrame:
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
-    from casewright.functions import rules
-    from casewright.operators import metrics
     labelled = roles.tickets(spark, d).withColumn(
         "pred_complaint_type", rules.canonicalize_complaint_rag(strip(F.col("clean_text"))))
     scored = rules.with_calib_severity(rules.with_calib_sentiment(labelled))
