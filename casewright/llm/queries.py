@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casewright.llm import line_dedup, quality
+from casewright.llm import line_dedup, quality, simhash
 from casewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,11 @@ FROM ruled r JOIN verdicts v ON r.source IS NOT DISTINCT FROM v.source""")
 def op5_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     judged = quality.judge(table(spark, d, "documents"))
     return judged.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+# ---- 9: SimHash near-dedup (no SQL: DuckDB has no seeded XXH64) ---------------------------------
+
+@query()
+def op9_simhash(spark: SparkSession, d: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, d, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
