@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casewright.llm import line_dedup, quality, simhash
+from casewright.llm import line_dedup, mixing, packing, quality, simhash
 from casewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,20 @@ def query(sql: str | None = None):
     return register
 
 
+def tokenizer_path() -> str:
+    """The byte-level vocabulary that op1 fixes; the operator takes any path."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+# ---- 1: packing (no SQL: DuckDB has no tokenizer) -----------------------------------------------
+
+@query()
+def op1_packing(spark: SparkSession, d: str) -> DataFrame:
+    packed = packing.pack(table(spark, d, "documents"), tokenizer_path())
+    return packed.select(F.col("id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 # ---- 2: line dedup -----------------------------------------------------------------------------
 
 @query(f"""
@@ -46,6 +60,13 @@ def op2_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+# ---- 4: mixing (no SQL: the rates are found by iteration) ---------------------------------------
+
+@query()
+def op4_mixing(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(table(spark, d, "documents")).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 # ---- 5: quality rules --------------------------------------------------------------------------
 
 @query(rf"""
