@@ -117,3 +117,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     passed = F.floor((upto + half) / _UNIT) - F.floor((upto - F.col("rate") + half) / _UNIT)
     return (rated.withColumn("copies", F.least(passed, F.lit(most)).cast("long"))
             .select("id", "version", "source_key", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")))
+
+
+def repeat(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    """Every row of ``docs`` as often as the mix takes it, with its columns. Rows alike in id and text are told apart by number."""
+    def nth(*keys: Column) -> Column:
+        return F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
+
+    taken = (mix(docs, id_col, text_col, source_col, **how).withColumn("__nth", nth(F.col("id"), F.col("version"), F.col("source_key")))
+             .select(F.col("id").alias("__id"), F.col("version").alias("__version"), F.col("source_key").alias("__source"), "__nth", F.col("copies").cast("int").alias("__copies")))
+    keyed = (docs.withColumn("__v", F.xxhash64(text_col)).withColumn("__s", nullable_key(F.col(source_col)))
+             .withColumn("__n", nth(F.col(id_col), F.col("__v"), F.col("__s"))))
+    joined = keyed.join(taken.filter("__copies > 0"), F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__v") == F.col("__version"))
+                        & (F.col("__s") == F.col("__source")) & (F.col("__n") == F.col("__nth")))
+    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)

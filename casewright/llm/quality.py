@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from casewright.llm import bloom
 from casewright.llm.common import as_bytes, join_unique, nullable_key, slices
 from casewright.session import stage
 
@@ -83,6 +85,10 @@ def failures() -> dict[str, Column]:
     }
 
 
+def _any(rules: dict[str, Column]) -> Column:
+    return reduce(Column.__or__, rules.values())
+
+
 def _prior(n: int, bad: int, n_hosts: int, squares: float) -> tuple[float, float]:
     """Mean and weight (in documents) of the beta prior; ``squares`` is the sum of bad^2 / n over the hosts."""
     mean = bad / n
@@ -116,11 +122,39 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     table gives an empty table. Only the three named columns are read.
     """
     rules = failures()
-    bad = F.lit(False)
-    for failed in rules.values():
-        bad = bad | failed
     counted = stage(text_counts(docs, id_col, text_col, host_col).withColumn("base_failed", rules["too_short"] | rules["repetitive"])
-                    .withColumn("bad", bad).withColumn("host_key", nullable_key(F.col("host"))), "quality-counts")
+                    .withColumn("bad", _any(rules)).withColumn("host_key", nullable_key(F.col("host"))), "quality-counts")
     hosts = stage(host_rates(counted, max_rate), "quality-hosts")
     return (join_unique(counted, hosts, "host_key", "host_docs", counted.count()).drop("host_key", "host")
             .withColumn("kept", ~F.col("base_failed") & F.col("host_kept")))
+
+
+def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_rate: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with all their columns.
+
+    The rules on a document are judged where its text is read, so texts are not shuffled. Rejected hosts are handed out
+    as a Bloom filter; only documents whose host may be among them are joined to the exact list.
+    """
+    counted = stage(text_counts(docs, id_col, text_col, host_col).withColumn("host_key", nullable_key(F.col("host")))
+                    .select("host_key", _any(failures()).alias("bad")), "quality-counts")
+    rejected = stage(host_rates(counted, max_rate).filter(~F.col("host_kept")).select("host_key"), "quality-rejected")
+    n = rejected.count()
+    hashed = rejected.select(F.xxhash64("host_key").alias("h"))
+    words = bloom.build(hashed, lambda b: b.column("h").to_numpy().view(np.uint64), bloom.bits_for(n), "quality-filter")[0] if n else np.zeros(1, np.uint64)
+    shared = bloom.share(docs, words)
+    names, at = docs.columns, docs.columns.index(text_col)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text_col):
+            rows = np.array([measure(t) for t in as_bytes(batch.column(at))], np.int64).reshape(-1, len(_COUNTS))
+            good = (rows[:, 0] >= 10) & (100 * rows[:, 4] <= 20 * rows[:, 0])
+            maybe = bloom.holds(shared.value, batch.column(len(names)).to_numpy().view(np.uint64))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(names)], pa.array(maybe)], names=[*names, "__maybe"]).filter(pa.array(good))
+
+    passed = docs.withColumn("__h", F.xxhash64(nullable_key(F.col(host_col)))).mapInArrow(run, f"{kinds}, __maybe boolean")
+    if not n:
+        return passed.drop("__maybe")
+    doubtful = (passed.filter("__maybe").drop("__maybe").withColumn("__host", nullable_key(F.col(host_col)))
+                .join(rejected.withColumnRenamed("host_key", "__host"), "__host", "left_anti").select(*names))
+    return passed.filter("NOT __maybe").drop("__maybe").unionByName(doubtful)

@@ -104,5 +104,5 @@ def op5_quality_rules(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def op9_simhash(spark: SparkSession, d: str) -> DataFrame:
-    found = simhash.near_duplicates(table(spark, d, "documents"))
-    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    found = simhash.near_duplicates(table(spark, d, "documents"), words_per_shingle=4, n_parts=1, probe_bits=4, max_bits=4)
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("part0"), 16, "0")).alias("fingerprint"), "component_id")

@@ -23,36 +23,47 @@ _SIDE = 8192
 _STEP = 1 << 16
 
 
-def fingerprint(text: bytes, words_per_shingle: int) -> int:
-    """64-bit SimHash of a text's shingles, A-Z lower-cased; 0 without words."""
+def fingerprint(text: bytes, words_per_shingle: int, n_parts: int = 1) -> list[int]:
+    """SimHash of a text's shingles, A-Z lower-cased, in parts of 64 bits; all 0 without words.
+
+    The first part is that of the shingles' XXH64 (seed 42); the others are those of hashes mixed from it.
+    """
     words = text.lower().split()
     if not words:
-        return 0
+        return [0] * n_parts
     joined = b" ".join(words)
-    if len(words) <= words_per_shingle:
-        return xxhash.xxh64_intdigest(joined, 42)
+    n = max(1, len(words) - words_per_shingle + 1)
     lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
     ends = np.cumsum(lengths)
-    starts = ends - lengths
-    n = len(words) - words_per_shingle + 1
-    first, last = starts[:n].tolist(), (ends[words_per_shingle - 1:] - 1).tolist()
-    ones = np.zeros(64, np.int64)
+    first, last = (ends - lengths)[:n].tolist(), (ends[-n:] - 1).tolist()
+    ones = np.zeros((n_parts, 64), np.int64)
     for at in range(0, n, _STEP):
         hashes = np.fromiter((xxhash.xxh64_intdigest(joined[a:b], 42) for a, b in zip(first[at:at + _STEP], last[at:at + _STEP])), np.uint64)
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int((np.uint64(1) << np.flatnonzero(2 * ones > n).astype(np.uint64)).sum(dtype=np.uint64)) if (2 * ones > n).any() else 0
+        for part in range(n_parts):
+            if part:
+                hashes = (hashes ^ (hashes >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+                hashes ^= hashes >> np.uint64(29)
+            ones[part] += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    bits = np.packbits(2 * ones > n, axis=1, bitorder="little")
+    return bits.view(np.uint64)[:, 0].tolist()
+
 
+def _parts(n_parts: int) -> list[str]:
+    return [f"part{i}" for i in range(n_parts)]
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 4) -> DataFrame:
-    """(id, version, fp): version is a hash of the text, fp the fingerprint as a signed long. A null text has no words."""
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 4, n_parts: int = 1) -> DataFrame:
+    """(id, version, part0, ...): version is a hash of the text, the parts are signed longs. A null text has no words."""
     narrow = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text"))
+    names = _parts(n_parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            fps = np.fromiter((fingerprint(t, words_per_shingle) for t in as_bytes(batch.column("text"))), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("version"), pa.array(fps.view(np.int64))], names=["id", "version", "fp"])
+            found = np.array([fingerprint(t, words_per_shingle, n_parts) for t in as_bytes(batch.column("text"))], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("version"), *(pa.array(found[:, i]) for i in range(n_parts))],
+                                             names=["id", "version", *names])
 
-    return narrow.mapInArrow(run, f"id {narrow.schema['id'].dataType.simpleString()}, version long, fp long")
+    return narrow.mapInArrow(run, f"id {narrow.schema['id'].dataType.simpleString()}, version long, " + ", ".join(f"{c} long" for c in names))
 
 
 @dataclass
@@ -113,108 +124,147 @@ def _tree(weight: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.n
     return starts, at_leaf, homes, np.bincount(at_leaf, weights=weight[values], minlength=leaf).astype(np.int64)
 
 
-def plant(fps: DataFrame, max_bits: int) -> Forest:
-    """Trees for the blocks of the distinct fingerprints ``fp``, from the counts of at most 4 x 65,536 block values.
+def plant(fps: DataFrame, probe_bits: int) -> Forest:
+    """Trees for the blocks of all parts of the distinct fingerprints, from the counts of at most 65,536 values a block.
 
-    Of two fingerprints at ``max_bits`` or fewer bits, some block differs in at most a quarter of them: the radius.
+    Of two parts at ``probe_bits`` or fewer bits, some block differs in at most a quarter of them: the radius.
     """
-    blocks = F.explode(F.array(*[F.struct(F.lit(b).alias("block"), F.shiftright("fp", b * _BLOCK_BITS).bitwiseAND((1 << _BLOCK_BITS) - 1).alias("value")) for b in range(_BLOCKS)]))
+    parts = [c for c in fps.columns if c.startswith("part")]
+    blocks = F.explode(F.array(*[
+        F.struct(F.lit(p * _BLOCKS + b).alias("block"), F.shiftright(c, b * _BLOCK_BITS).bitwiseAND((1 << _BLOCK_BITS) - 1).alias("value"))
+        for p, c in enumerate(parts) for b in range(_BLOCKS)]))
     counts = fps.select(blocks.alias("x")).groupBy("x.block", "x.value").count().toPandas()
     trees = []
-    for b in range(_BLOCKS):
+    for b in range(_BLOCKS * len(parts)):
         own = counts[counts["block"] == b]
         weight = np.zeros(1 << _BLOCK_BITS, np.int64)
         weight[own["value"].to_numpy(np.int64)] = own["count"].to_numpy(np.int64)
-        trees.append(_tree(weight, max_bits // _BLOCKS))
+        trees.append(_tree(weight, probe_bits // _BLOCKS))
     return Forest(*map(list, zip(*trees)))
 
 
-def _links(base: np.ndarray, asking: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs that connect all fingerprints linked here: one for each, not one for each link."""
+def _links(base: np.ndarray, asking: np.ndarray, part: int, probe_bits: int, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (asking, base) that connect all fingerprints linked here: one for each, not one for each link.
+
+    ``base`` and ``asking`` have a row for each fingerprint and a column for each part; two link at ``probe_bits`` or
+    fewer in ``part`` and ``max_bits`` or fewer in all. Numbers of the base follow those of the asking.
+    """
     group = np.arange(len(base))
     asked, answer = [], []
     step = max(1, (1 << 21) // max(len(base), 1))
+    own, others = base[:, part].copy(), asking[:, part].copy()
     for at in range(0, len(asking), step):
-        part = asking[at:at + step]
-        close = np.bitwise_count(part[:, None] ^ base[None, :]) <= max_bits
+        close = np.bitwise_count(others[at:at + step, None] ^ own[None, :]) <= probe_bits
         for i in np.flatnonzero(close.any(axis=1)):
             hits = np.flatnonzero(close[i])
-            asked.append(at + i)
-            answer.append(hits[0])
-            if len(hits) > 1:
+            if base.shape[1] > 1:
+                hits = hits[np.bitwise_count(base[hits] ^ asking[at + i]).sum(axis=1, dtype=np.int64) <= max_bits]
+            if len(hits):
+                asked.append(at + i)
+                answer.append(hits[0])
                 labels = np.unique(group[hits])
                 if len(labels) > 1:
                     group[np.isin(group, labels[1:])] = labels[0]
-    a = np.concatenate([asking[np.array(asked, int)], base])
-    b = np.concatenate([base[np.array(answer, int)], base[group]])
-    return a[a != b], b[a != b]
+    n = len(asking)
+    return (np.concatenate([np.array(asked, int), n + np.arange(len(base))]), np.concatenate([n + np.array(answer, int), n + group]))
 
 
-def link(fps: DataFrame, max_bits: int) -> DataFrame:
-    """(a, b): links between the distinct fingerprints ``fp`` that make the same components as all pairs at ``max_bits`` or fewer.
+def link(fps: DataFrame, probe_bits: int, max_bits: int) -> DataFrame:
+    """(a, b): links between the distinct fingerprints (``node``, parts) that make the same components as all links.
 
-    Every fingerprint goes to its home leaf in each of the four trees and, as a question, to the leaves its ball reaches
-    into. Leaves that are too large for one task are cut on both sides, and every piece meets every other.
+    Two link at ``probe_bits`` or fewer in some part and ``max_bits`` or fewer in all. Every fingerprint goes to its home
+    leaf in each tree and, as a question, to the leaves its ball reaches into. Leaves that are too large for one task are
+    cut on both sides, and every piece meets every other.
     """
-    forest = plant(fps, max_bits)
+    parts = [c for c in fps.columns if c.startswith("part")]
+    context = fps.sparkSession.sparkContext
+    shared = context.broadcast(plant(fps, probe_bits))  # four arrays of at most 65,536 values' leaves for each block
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = shared.value
         for batch in batches:
-            fp = batch.column("fp").to_numpy()
-            bits = fp.view(np.uint64)
-            for b in range(_BLOCKS):
-                value = ((bits >> np.uint64(b * _BLOCK_BITS)) & np.uint64((1 << _BLOCK_BITS) - 1)).astype(np.int64)
+            node = batch.column("node").to_numpy()
+            fp = np.stack([batch.column(c).to_numpy() for c in parts], axis=1)
+            mixed = ((node.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64)
+            for b in range(_BLOCKS * len(parts)):
+                value = ((fp[:, b // _BLOCKS].view(np.uint64) if len(parts) == 1 else fp[:, b // _BLOCKS].copy().view(np.uint64))
+                         >> np.uint64(b % _BLOCKS * _BLOCK_BITS)).astype(np.int64) & ((1 << _BLOCK_BITS) - 1)
                 starts, leaves = forest.starts[b], forest.leaves[b]
                 many = starts[value + 1] - starts[value]
-                row = np.repeat(np.arange(len(fp)), many)
+                row = np.repeat(np.arange(len(node)), many)
                 nth = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
                 leaf = leaves[starts[value][row] + nth]
                 bases, askers = -(-forest.homes[b] // _SIDE), -(-forest.visits[b] // _SIDE)
-                mixed = ((bits * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64)
                 for asking in (False, True):
                     # A fingerprint is a base at home, and asks at home and where it visits; each copy meets all pieces of the other side.
                     chosen = slice(None) if asking else nth == 0
+                    if not asking:
+                        chosen = (nth == 0) & ((askers[leaf] > 1) | (bases[leaf] > 1))  # in an uncut leaf the base is among those that ask
                     r, k = row[chosen], leaf[chosen]
+                    home = (nth == 0)[chosen]
                     other = (bases if asking else askers)[k]
                     r2 = np.repeat(np.arange(len(r)), other)
                     piece = np.arange(len(r2)) - np.repeat(np.cumsum(other) - other, other)
-                    mine = mixed[r[r2]] % (askers if asking else bases)[k[r2]]
+                    mine = mixed[r[r2]] % np.maximum((askers if asking else bases)[k[r2]], 1)
                     base_piece, ask_piece = (piece, mine) if asking else (mine, piece)
+                    uncut = (askers[k[r2]] == 1) & (bases[k[r2]] == 1)
+                    role = np.where(uncut & home[r2], 2, int(asking)).astype(np.int8)  # 0 base, 1 asking, 2 both
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(r2), b, np.int32)), pa.array(k[r2].astype(np.int32)), pa.array(base_piece.astype(np.int32)), pa.array(ask_piece.astype(np.int32)),
-                         pa.array(np.full(len(r2), asking)), pa.array(fp[r[r2]])], names=["block", "leaf", "base", "ask", "asking", "fp"])
+                         pa.array(role), pa.array(node[r[r2]]), *(pa.array(fp[r[r2], i]) for i in range(len(parts)))],
+                        names=["block", "leaf", "base", "ask", "role", "node", *parts])
 
     def meet(rows: pd.DataFrame) -> pd.DataFrame:
-        fp, asking = rows["fp"].to_numpy(np.int64).view(np.uint64), rows["asking"].to_numpy(bool)
-        a, b = _links(np.sort(fp[~asking]), np.sort(fp[asking]), max_bits)
-        return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
-
-    sent = fps.select("fp").mapInArrow(send, "block int, leaf int, base int, ask int, asking boolean, fp long")
+        role, node, fp = rows["role"].to_numpy(), rows["node"].to_numpy(np.int64), rows[parts].to_numpy(np.int64).view(np.uint64)
+        base, asking = np.flatnonzero(role != 1), np.flatnonzero(role != 0)
+        a, b = _links(np.ascontiguousarray(fp[base]), np.ascontiguousarray(fp[asking]), int(rows["block"].iloc[0]) // _BLOCKS, probe_bits, max_bits)
+        both = np.concatenate([node[asking], node[base]])
+        a, b = both[a], both[b]
+        return pd.DataFrame({"a": a[a != b], "b": b[a != b]})
+
+    kinds = ", ".join(f"{c} long" for c in parts)
+    sent = fps.select("node", *parts).mapInArrow(send, f"block int, leaf int, base int, ask int, role byte, node long, {kinds}")
     return sent.groupBy("block", "leaf", "base", "ask").applyInPandas(meet, "a long, b long").distinct()
 
 
-def classes(marked: DataFrame, max_bits: int = 4) -> DataFrame:
-    """``marked`` (id, version, fp) with ``component_id`` and ``keeper_version``: the smallest id in reach, and a text of it.
+def classes(marked: DataFrame, probe_bits: int, max_bits: int) -> DataFrame:
+    """``marked`` (id, version, parts) with ``component_id`` and ``keeper_version``: the smallest id in reach, and a text of it.
 
     Rows whose fingerprints are equal are one node, so a group of copies of any size costs one row. Ids that are null come
     after all others; a component of null ids has a null component_id.
     """
-    marked = stage(marked, "simhash-rows")
+    parts = [c for c in marked.columns if c.startswith("part")]
+    node = F.col(parts[0]) if len(parts) == 1 else F.xxhash64(*parts)
+    marked = stage(marked.withColumn("node", node), "simhash-rows")
     total = marked.count()
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "version")).alias("first")
-    fps = stage(marked.groupBy("fp").agg(F.count("*").alias("n"), first), "simhash-fps")
-    found = stage(components(link(fps, max_bits), "simhash-links"), "simhash-components")
-    grouped = stage(fps.join(found, F.col("fp") == F.col("node"), "left").select("fp", "n", "first", F.coalesce("root", "fp").alias("root")), "simhash-roots")
+    fps = stage(marked.groupBy("node", *parts).agg(F.count("*").alias("n"), first), "simhash-fps")
+    found = stage(components(link(fps, probe_bits, max_bits), "simhash-links"), "simhash-components")
+    grouped = stage(fps.select("node", "n", "first").join(found, "node", "left").select("node", "n", "first", F.coalesce("root", "node").alias("root")), "simhash-roots")
     heads = grouped.groupBy("root").agg(F.count("*").alias("members"), F.min("first").alias("head"))
-    named = stage(join_unique(grouped.select("root", "fp", "n"), heads, "root", "members", grouped.count(), "inner")
-                  .select("fp", "n", F.col("head.id").alias("component_id"), F.col("head.version").alias("keeper_version")), "simhash-heads")
-    return join_unique(marked, named, "fp", "n", total, "inner").drop("n")
+    named = stage(join_unique(grouped.select("root", "node", "n"), heads, "root", "members", grouped.count(), "inner")
+                  .select("node", "n", F.col("head.id").alias("component_id"), F.col("head.version").alias("keeper_version")), "simhash-heads")
+    return join_unique(marked, named, "node", "n", total, "inner").drop("n", "node")
+
 
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 5, n_parts: int = 4,
+                    probe_bits: int = 7, max_bits: int = 38) -> DataFrame:
+    """id, version, parts, component_id and keeper_version for every row of ``docs``.
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """id, version, fp, component_id and keeper_version for every row of ``docs``.
+    By default fingerprints of five-word shingles have four parts, 256 bits; two texts link if they differ in 38 bits or
+    fewer, which is where a Jaccard similarity of 0.8 is expected, and in 7 or fewer of some part. One part and 4 bits
+    are the classic form.
 
     Texts without words, null ones included, have fingerprint zero and are linked like any other. Repeated rows stay
     repeated. An empty table gives an empty one. Only the two named columns are read.
     """
-    return classes(fingerprints(docs, id_col, text_col, words_per_shingle), max_bits)
+    return classes(fingerprints(docs, id_col, text_col, words_per_shingle, n_parts), probe_bits, max_bits)
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """``docs`` with one row of every component: the first by id (nulls last), then by the hash of its text."""
+    found = near_duplicates(docs, id_col, text_col, **how)
+    keeps = (found.filter(F.col("id").eqNullSafe(F.col("component_id")) & F.col("version").eqNullSafe(F.col("keeper_version")))
+             .select(F.col("id").alias("__id"), F.col("version").alias("__version")).distinct())
+    kept = docs.withColumn("__v", F.xxhash64(text_col)).join(keeps, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__v") == F.col("__version")))
+    return kept.dropDuplicates(["__id", "__version"]).select(*docs.columns)

@@ -4,8 +4,11 @@ import xxhash
 from pyspark.sql import functions as F
 
 from casewright.llm import simhash
+from casewright.llm.common import table
 from casewright.llm.queries import QUERIES
 
+CLASSIC = {"words_per_shingle": 4, "n_parts": 1, "probe_bits": 4, "max_bits": 4}
+
 
 def plain_fingerprint(text, k):
     lower = (text or "").translate({c: c + 32 for c in range(65, 91)})
@@ -65,15 +68,64 @@ def test_links_on_dense_and_sparse_fingerprints(spark, monkeypatch, leaf, side):
     monkeypatch.setattr(simhash, "_LEAF", leaf)
     monkeypatch.setattr(simhash, "_SIDE", side)
     signed = [int(np.uint64(f).astype(np.int64)) for f in fps]
-    forest_rows = spark.createDataFrame([(i, 0, f) for i, f in enumerate(signed)], "id long, version long, fp long")
-    got = {r.id: r.component_id for r in simhash.classes(forest_rows, 4).collect()}
+    forest_rows = spark.createDataFrame([(i, 0, f) for i, f in enumerate(signed)], "id long, version long, part0 long")
+    got = {r.id: r.component_id for r in simhash.classes(forest_rows, 4, 4).collect()}
     assert got == dict(zip(range(len(fps)), smallest(range(len(fps)), plain_components(fps, 4))))
 
 
 def test_odd_rows(spark):
     rows = [(1, "one two three four five six", "x"), (2, "ONE  two\tthree four five six", None), (2, "ONE  two\tthree four five six", None),
             (3, None, "x"), (4, "", "x"), (5, " \n ", "x"), (None, "one two three four five six", "x"), (None, "alone here", "x"), (6, "w " * 200_000, "x")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, fp string")
-    got = sorted(((r.id, r.component_id) for r in simhash.near_duplicates(docs).collect()), key=repr)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, part0 string")
+    got = sorted(((r.id, r.component_id) for r in simhash.near_duplicates(docs, **CLASSIC).collect()), key=repr)
     assert got == sorted([(1, 1), (2, 1), (2, 1), (None, 1), (3, 3), (4, 3), (5, 3), (None, None), (6, 6)], key=repr)
-    assert simhash.near_duplicates(docs.limit(0)).count() == 0
+    assert simhash.near_duplicates(docs.limit(0), **CLASSIC).count() == 0
+
+
+def shingles(text, k=5):
+    words = text.lower().split()
+    return {" ".join(words[i:i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
+
+
+def test_near_copies(spark, sf):
+    """Of the pairs whose five-word shingles have a Jaccard similarity of 0.85 or more, most are linked; of those under 0.6 none."""
+    docs = table(spark, sf, "documents")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    sets = {i: shingles(t) for i, t in texts.items()}
+    by_gram = {}
+    for i, s in sets.items():
+        for g in s:
+            by_gram.setdefault(g, []).append(i)
+    shared = {}
+    for ids in by_gram.values():
+        for x in range(len(ids)):
+            for y in ids[:x]:
+                shared[y, ids[x]] = shared.get((y, ids[x]), 0) + 1
+    near = {p: n / (len(sets[p[0]]) + len(sets[p[1]]) - n) for p, n in shared.items()}
+    component = {r.id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    alike = [p for p, j in near.items() if j >= 0.85 and min(len(sets[p[0]]), len(sets[p[1]])) > 20]
+    assert len(alike) > 20
+    assert sum(component[a] == component[b] for a, b in alike) >= 0.95 * len(alike)
+    close = plain_components_by(near, texts, 0.6)
+    assert all(close[i] == close[c] for i, c in component.items() if len(sets[i]) > 20)
+    kept = {r.doc_id for r in simhash.keep_one(docs).collect()}
+    assert kept == set(component.values())
+
+
+def plain_components_by(near, ids, least):
+    parent = {i: i for i in ids}
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+    for (a, b), j in near.items():
+        if j >= least:
+            parent[find(a)] = find(b)
+    return {i: find(i) for i in ids}
+
+
+def test_keep_one_of_repeated_rows(spark):
+    rows = [(1, "a b c d e f", "x"), (1, "a b c d e f", "x"), (1, "A b c d e f", "y"), (None, None, "z"), (None, "", "z"), (None, None, "z"), (2, "q", "x")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, __note string")).collect()
+    assert sorted((r.doc_id or 0) for r in kept) == [0, 1, 2]
