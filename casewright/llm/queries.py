@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casewright.llm import line_dedup, mixing, packing, quality, simhash
+from casewright.llm import html_text, line_dedup, mixing, packing, quality, secrets, simhash, url_filter
 from casewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,9 +100,56 @@ def op5_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return judged.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+# ---- 6: URL filters ----------------------------------------------------------------------------
+
+RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"), url_filter.Rule("block", "example.com", "/de/"),
+         url_filter.Rule("allow", "org", "/fr/")]
+#: Words in the host of a reported page. The list of the query is made of the canonical URLs of all pages on such hosts.
+REPORTED = "casino|pills|bets|spam|ads-track"
+
+
+def _fits(host: str, path: str) -> str:
+    return f"(host = '{host}' OR suffix(host, '.{host}')) AND prefix(path, '{path}')"
+
+
+@query(rf"""
+WITH split AS (SELECT page_id, url, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), {_LOWER}), '') AS host,
+                      coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+                      list_sort(list_filter(string_split(coalesce(regexp_extract(url, '(?s)^.*?://[^?#]*\?([^#]*)', 1), ''), '&'),
+                        lambda p: p <> '' AND NOT regexp_matches(p, '{url_filter.TRACKING}'))) AS parameters
+               FROM pages),
+canonical AS (SELECT *, CASE WHEN bare = '' THEN '' ELSE bare || regexp_replace(path, '/$', '') ||
+                CASE WHEN len(parameters) > 0 THEN '?' || array_to_string(parameters, '&') ELSE '' END END AS key
+              FROM (SELECT *, regexp_replace(regexp_replace(host, '^www\.', ''), ':(80|443)$', '') AS bare FROM split)),
+listed AS (SELECT DISTINCT key FROM canonical WHERE regexp_matches(host, '{REPORTED}') AND key <> ''),
+ruled AS (SELECT *, CASE WHEN {_fits('example.net', '/en/')} THEN 'example.net/en/' WHEN {_fits('example.com', '/de/')} THEN 'example.com/de/'
+                         WHEN {_fits('org', '/fr/')} THEN 'org/fr/' WHEN {_fits('net', '/')} THEN 'net/' END AS rule FROM canonical)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+         WHEN key IN (SELECT key FROM listed) THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled""")
+def op6_url_filter(spark: SparkSession, d: str) -> DataFrame:
+    pages = table(spark, d, "pages").select("page_id", "url")
+    reported = pages.filter(url_filter.host_of(F.col("url")).rlike(REPORTED)).select("url")
+    return url_filter.judge(pages, reported, RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+# ---- 8: HTML extraction (no SQL: it would need an HTML parser) -----------------------------------
+
+@query()
+def op8_html_extraction(spark: SparkSession, d: str) -> DataFrame:
+    return html_text.extract(table(spark, d, "pages").select("page_id", "url", "html"))
+
+
 # ---- 9: SimHash near-dedup (no SQL: DuckDB has no seeded XXH64) ---------------------------------
 
 @query()
 def op9_simhash(spark: SparkSession, d: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, d, "documents"), words_per_shingle=4, n_parts=1, probe_bits=4, max_bits=4)
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("part0"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# ---- 10: secret scans (no SQL: DuckDB gives no places of matches) --------------------------------
+
+@query()
+def op10_secret_scan(spark: SparkSession, d: str) -> DataFrame:
+    return secrets.scan(table(spark, d, "documents")).select(F.col("id").alias("doc_id"), "n_assign", "n_access", "n_hex", "base_sha256", "spans")
