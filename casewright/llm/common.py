@@ -44,14 +44,15 @@ def nullable_key(column: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), column.cast("string")), F.lit(""))
 
 
-def join_unique(rows: DataFrame, unique: DataFrame, key: str, count: str, total: int, how: str = "left") -> DataFrame:
+def join_unique(rows: DataFrame, unique: DataFrame, key: str | list[str], count: str, total: int, how: str = "left") -> DataFrame:
     """Join ``unique`` (one row per key, ``count`` = rows of the key among ``total``) to ``rows``.
 
     The keys that hold 1/256 of the rows or more are at most 256; they are broadcast and never meet in one task.
     The others go through an ordinary join. ``key`` must not be null. ``rows`` is read twice, so stage it first.
     """
+    key = [key] if isinstance(key, str) else key
     hot = unique.filter(F.col(count) * HOT_SHARE >= F.lit(total))
-    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(
+    rest = rows.join(F.broadcast(hot.select(*key)), key, "left_anti").join(
         unique.filter(F.col(count) * HOT_SHARE < F.lit(total)), key, how)
     return rows.join(F.broadcast(hot), key).unionByName(rest)
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casewright.llm import html_text, line_dedup, mixing, packing, quality, secrets, simhash, url_filter
+from casewright.llm import html_text, line_dedup, mixing, packing, quality, secrets, simhash, substring_dedup, url_filter
 from casewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +60,14 @@ def op2_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+# ---- 3: suffix-array dedup (no SQL: all windows of all texts would be too many rows) --------------
+
+@query()
+def op3_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    kept = substring_dedup.dedup_substrings(table(spark, d, "documents"))
+    return kept.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 # ---- 4: mixing (no SQL: the rates are found by iteration) ---------------------------------------
 
 @query()
