@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casewright.llm import html_text, line_dedup, mixing, packing, quality, secrets, simhash, substring_dedup, url_filter
+from casewright.llm import ann, html_text, line_dedup, mixing, packing, quality, secrets, simhash, substring_dedup, url_filter
 from casewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,6 +141,13 @@ def op6_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return url_filter.judge(pages, reported, RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+# ---- 7: approximate nearest neighbours (no SQL: approximate) -------------------------------------
+
+@query()
+def op7_nearest(spark: SparkSession, d: str) -> DataFrame:
+    return ann.search(table(spark, d, "embeddings"), lambda vec_id: vec_id % 100 == 0).select("query_id", "rank", "vec_id", "score")
+
+
 # ---- 8: HTML extraction (no SQL: it would need an HTML parser) -----------------------------------
 
 @query()
