@@ -18,9 +18,11 @@ from casewright.session import stage
 
 MAX_LENGTH = 2048
 #: Pieces of one length numbered together, about.
-_BUCKET = 20_000
-#: Words whose ids a worker remembers, and the longest such word.
-_REMEMBERED, _LONGEST = 300_000, 48
+_BUCKET = 500
+#: Words whose ids a task remembers, and the longest such word.
+_REMEMBERED, _LONGEST = 500_000, 32
+#: Words encoded as one text.
+_TOGETHER = 512
 
 
 class _Encoder:
@@ -36,26 +38,46 @@ class _Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
         self._known: dict[str, bytes] = {}
+        #: Ids whose token starts with a space.
+        self._spaced = np.array([(self._tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(self._tokenizer.get_vocab_size())])
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word with a space before it; the words have no space in them, so only their first tokens start with one."""
+        out = []
+        for at in range(0, len(words), _TOGETHER):
+            part = words[at:at + _TOGETHER]
+            found = self._encode([" " + " ".join(part)])[0]
+            starts = np.flatnonzero(self._spaced[np.frombuffer(found, "<u4")]) * 4
+            if len(starts) != len(part):
+                out += self._encode([" " + p for p in part])
+            else:
+                out += [found[a:b] for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(found)])]
+        return out
 
     def _encode(self, parts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self._tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
+    def forget(self) -> None:
+        self._known = {}
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self._known) > _REMEMBERED:
             self._known = {}
         known, cut = self._known, []
         for text in texts:
             first, *rest = text.split(" ")
-            if rest and (first[-1:] in ("", *" \n") or not all(map(self._plain, {p for p in rest if p not in known}))):
+            if rest and (first == "" or first[-1].isspace() or not all(map(self._plain, {p for p in rest if p not in known}))):
                 first, rest = self._joined(first, rest)
             cut.append((first, rest))
-        new = list({p for _, rest in cut for p in rest if p not in known})
-        fresh = dict(zip(new, self._encode([" " + p for p in new])))
+        new = {p for _, rest in cut for p in rest if p not in known}
+        plain = [p for p in new if " " not in p]
+        others = [p for p in new if " " in p]
+        fresh = dict(zip(plain, self._words(plain))) | dict(zip(others, self._encode([" " + p for p in others])))
         starts = self._encode([first for first, _ in cut])
         out = []
         for (_, rest), start in zip(cut, starts):
             out.append(start + b"".join([known[p] if p in known else fresh[p] for p in rest]))
-        known.update((p, ids) for p, ids in fresh.items() if len(p) <= _LONGEST and self._plain(p))
+        known.update((p, fresh[p]) for p in plain if len(p) <= _LONGEST and self._plain(p))
         return out
 
     @staticmethod
@@ -104,6 +126,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
                         ids.append(part)
             columns = [batch.column("id").take(pa.array(rows, pa.int64())), *(pa.array(x, pa.int64()) for x in (start, length, crc, whole))]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(ids, pa.binary())] * keep_ids, names=names)
+        _encoder(tokenizer).forget()  # workers outlive their tasks
 
     kind = narrow.schema["id"].dataType.simpleString()
     return narrow.mapInArrow(run, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * keep_ids)
