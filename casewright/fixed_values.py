@@ -20,7 +20,7 @@ ID_COLUMN_NAMES = ["ticket_id", "id", "ticketid", "ticket_id_raw", "ticketid_raw
 TEXT_COLUMN_NAMES = ["subject", "description", "body", "text", "input_text"]
 PREDICTION_COLUMN_NAMES = [
     "llm_parsed", "llm_parsed_json", "complaint_type_pred", "complaint_pred_raw",
-    "complaint_pred", "pred_complaint_type", "prediction",
+    "complaint_pred", "pred_complaint_type", "prediction", "pred_complaint", "label_complaint_type", "llm_raw", "raw_pred",
 ]
 PREDICTION_SNIFF_WORDS = [
     "product", "login", "bill", "payment", "customer", "deliver", "perf", "latency", "bug", "issue",
@@ -151,6 +151,8 @@ LABEL_DICTIONARY = {
 }
 
 # ---- redaction marks -----------------------------------------------------------------------
+EMAIL_PATTERN = r"\b[\w\.-]+@[\w\.-]+\.\w{2,}\b"
+PHONE_PATTERN = r"\b\d{3}[-.\s]?\d{3}[-.\s]?\d{4}\b"
 EMAIL_MARK = "[REDACTED_EMAIL]"
 PHONE_MARK = "[REDACTED_PHONE]"
 

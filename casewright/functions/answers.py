@@ -9,10 +9,6 @@ from casewright.functions.binding import let
 from casewright.functions.rules import canonicalize_simple
 
 ANSWER = T.StructType([T.StructField(name, T.StringType()) for name in fv.RESPONSE_FIELDS])
-_WRAPPED = T.StructType([
-    T.StructField("v", T.ArrayType(T.StringType())),
-    T.StructField("end", T.IntegerType()),
-])
 _ARGUMENTS_PATH = "$.choices[0].message.function_call.arguments"
 
 
@@ -21,11 +17,18 @@ def _one_value(text: Column, single_quotes: bool = False) -> Column:
 
     ``from_json`` stops after the first value. With the text placed inside a
     larger object that must itself parse to its end, trailing text makes it fail.
+    The names in that object are made from a hash of the text, so no text can
+    contain them and close the object early.
     """
-    wrapped = F.concat(F.lit('{"v":['), text, F.lit('],"end":1}'))
-    parsed = F.from_json(wrapped, _WRAPPED, {"allowSingleQuotes": str(single_quotes).lower()})
-    return let(parsed, lambda p: F.when(
-        (p["end"] == 1) & (F.size(p["v"]) == 1), F.coalesce(p["v"][0], F.lit("null"))))
+    def read(name: Column) -> Column:
+        wrapped = F.concat(F.lit('{"'), name, F.lit('v":['), text, F.lit('],"'), name, F.lit('end":1}'))
+        whole = F.from_json(wrapped, "map<string,string>", {"allowSingleQuotes": str(single_quotes).lower()})
+        return let(whole, lambda m: F.when(
+            (F.size(m) == 2) & F.map_contains_key(m, F.concat(name, F.lit("v"))) & (F.element_at(m, F.concat(name, F.lit("end"))) == "1"),
+            let(F.from_json(F.element_at(m, F.concat(name, F.lit("v"))), "array<string>"),
+                lambda values: F.when(F.size(values) == 1, F.coalesce(values[0], F.lit("null"))))))
+
+    return let(F.md5(text), read)
 
 
 def _as_answer(value: Column, text: Column) -> Column:

@@ -92,7 +92,7 @@ def tfidf_stages(train: DataFrame, text: str, max_features: int = MAX_FEATURES)
 
 def logreg_fit(
     train: DataFrame, key: str, text: str, target: str, max_features: int = MAX_FEATURES,
-    max_iter: int = 2000, tol: float = 1e-4, featurizer: PipelineModel | None = None,
+    max_iter: int = 2000, tol: float = 1e-6, featurizer: PipelineModel | None = None,
 ) -> PipelineModel:
     """TF-IDF and balanced logistic regression with an L2 penalty of strength C = 1.
 

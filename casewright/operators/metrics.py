@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from casewright.functions.rules import collapse_label
+from casewright.session import stage
 
 REPORT_COLUMNS = ["class", "precision", "recall", "f1", "support"]
 
@@ -20,6 +21,9 @@ def as_pairs(df: DataFrame, true: Column, pred: Column, *by: Column | str) -> Da
 
 
 def pair_counts(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by, true, pred, n). A table that has ``n`` already is added up, so counts can stand for pairs everywhere."""
+    if "n" in pairs.columns:
+        return pairs.groupBy(*by, "true", "pred").agg(F.sum("n").alias("n"))
     return pairs.groupBy(*by, "true", "pred").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -141,7 +145,7 @@ def confusion_matrix(pairs: DataFrame) -> DataFrame:
 
     The class list is one row of K names; the result itself has K * K rows.
     """
-    counts = pair_counts(pairs)
+    counts = stage(pair_counts(pairs), "pair-counts")
     classes = counts.agg(F.array_sort(F.collect_set("true")).alias("classes"))
     cells = classes.select("classes", F.explode("classes").alias("true")).select(
         "true", F.explode("classes").alias("pred"))

@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-ROWS_PER_BUCKET = 1_000_000
+ROWS_PER_BUCKET = 100_000
 SMALL_ROWS = 100_000
 _EXACT_DOUBLE = 2**53
 
@@ -61,17 +61,22 @@ def file_position(df: DataFrame, name: str = "row_position") -> DataFrame:
     )
 
 
+def _by_key(df: DataFrame, key: str) -> list[Column]:
+    """Order by the key, nulls last, then by the content; ``__tie`` is the content hash."""
+    return [F.col(key).asc_nulls_last(), F.col("__tie"), *[F.col(c) for c in df.columns if c != key]]
+
+
 def key_position(
     df: DataFrame, key: str, name: str = "row_position", rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """0-based position in the order of a numeric key; rows with equal keys are ordered by their content.
+    """0-based position in the order of a numeric key; nulls come last, rows with equal keys are ordered by their content.
 
     Bucket edges are approximate quantiles. A value that fills several quantiles
-    is a hot key: it gets a bucket of its own, split further by the content hash.
+    is a hot key: it gets a bucket of its own, split further by the content hash;
+    so do the nulls.
     """
-    tie = F.xxhash64(*df.columns)
-    order = [F.col(key), F.col("__tie"), *[F.col(c) for c in df.columns if c != key]]
-    tagged = df.filter(F.col(key).isNotNull()).withColumn("__tie", tie)
+    order = _by_key(df, key)
+    tagged = df.withColumn("__tie", F.xxhash64(*df.columns))
     n, top = tagged.agg(F.count(F.lit(1)), F.max(F.abs(F.col(key).cast("double")))).first()
     buckets = math.ceil(n / rows_per_bucket)
     if buckets <= 1:
@@ -80,14 +85,18 @@ def key_position(
 
     buckets = min(buckets, 10_000)
     shares = [i / buckets for i in range(1, buckets)]
-    cuts = tagged.agg(F.percentile_approx(F.col(key).cast("double"), shares, buckets * 10)).first()[0]
+    cuts = tagged.agg(F.percentile_approx(F.col(key).cast("double"), shares, buckets * 10)).first()[0] or []
     hot = {v for v, nxt in zip(cuts, cuts[1:]) if v == nxt}
     edges = sorted({-math.inf, math.inf, *cuts, *[float(np.nextafter(v, math.inf)) for v in hot]})
-    hot_buckets = [i for i, edge in enumerate(edges[:-1]) if edge in hot] if top < _EXACT_DOUBLE else []
-    bucketed = Bucketizer(splits=edges, inputCol="__key", outputCol="__bucket").transform(
-        tagged.withColumn("__key", F.col(key).cast("double")))
+    if len(edges) < 3:  # no key but nulls
+        edges = [-math.inf, 0.0, math.inf]
+    hot_buckets = [i for i, edge in enumerate(edges[:-1]) if edge in hot] if (top or 0) < _EXACT_DOUBLE else []
+    hot_buckets.append(len(edges) - 1)  # "keep" puts nulls and values that are no numbers there
+    bucketed = Bucketizer(splits=edges, inputCol="__key", outputCol="__bucket", handleInvalid="keep").transform(
+        tagged.withColumn("__key", F.coalesce(F.col(key).cast("double"), F.lit(math.nan))))
     bits = max(1, math.ceil(math.log2(buckets)))
     part = F.when(F.col("__bucket").isin(hot_buckets), F.shiftright("__tie", 64 - bits)).otherwise(F.lit(0))
+    part = part + F.when(F.col(key).isNull(), F.lit(1 << 40)).otherwise(F.lit(0))
     ranked = _add_offsets(
         bucketed.withColumn("__part", part), [], ["__bucket", "__part"], order, "__rank")
     return ranked.withColumn(name, F.col("__rank") - 1).drop("__tie", "__key", "__bucket", "__part", "__rank")
@@ -115,7 +124,10 @@ def shuffled_rank(
 
 
 def limit_rows(df: DataFrame, n: int, key: str, heap_rows: int = 10_000) -> DataFrame:
-    """The first ``n`` rows by key. Small limits use a heap per task, large ones the distributed position."""
+    """The first ``n`` rows by key, nulls last, equal keys by content.
+
+    Small limits use a heap per task, large ones the distributed position; the rows are the same.
+    """
     if n <= heap_rows:
-        return df.orderBy(key).limit(n)
+        return df.withColumn("__tie", F.xxhash64(*df.columns)).orderBy(*_by_key(df, key)).limit(n).drop("__tie")
     return key_position(df, key, "__position").filter(F.col("__position") < n).drop("__position")

@@ -31,11 +31,12 @@ def _whole_number(raw: Column, strict: bool) -> Column:
 def assign_ticket_id(raw: DataFrame, order_key: str | None = None, strict: bool = True) -> DataFrame:
     """Add ``ticket_id`` (bigint) and ``orig_ticket_id`` (string).
 
-    The id column is used if there is one. Otherwise rows are numbered from 1 in
+    The id column is used if there is one, ``ticket_id`` before any other. Otherwise rows are numbered from 1 in
     file order, or in the order of ``order_key`` for data that no longer knows
     its file. With ``strict=False`` a bad id gives a null to quarantine.
     """
-    found = detect_id_col(raw.columns)
+    named = next((c for c in raw.columns if c.lower() == "ticket_id"), None)  # before any other id column
+    found = named or detect_id_col(raw.columns)
     if found:
         text = F.col(found).cast("string")
         as_number = text.try_cast("long")
@@ -63,13 +64,17 @@ def select_text_cols(df: DataFrame) -> list[str]:
     return [c for c in strings if c not in ("ticket_id", "orig_ticket_id")][:2]
 
 
-def concat_text(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
-    """Text columns joined by one space, nulls as empty; with no text column, the row as text, 1000 characters."""
+def concat_text(df: DataFrame, columns: Sequence[str] | None = None, row_chars: int | None = None) -> Column:
+    """Text columns joined by one space, nulls as empty; with no text column, the row as text.
+
+    ``row_chars`` cuts that row text; 1000 gives the results of the original, which cuts it there.
+    """
     columns = select_text_cols(df) if columns is None else columns
     if columns:
         return F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
     cells = [F.coalesce(F.col(c).cast("string"), F.lit("nan")) for c in df.columns]
-    return F.substring(F.concat_ws(" ", *cells), 1, 1000)
+    whole = F.concat_ws(" ", *cells)
+    return whole if row_chars is None else F.substring(whole, 1, row_chars)
 
 
 def project_clean(df: DataFrame) -> DataFrame:

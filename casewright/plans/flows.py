@@ -10,6 +10,7 @@ from casewright import fixed_values as fv
 from casewright.functions import answers, models, prompts, rules
 from casewright.operators import joins, metrics
 from casewright.operators.vectors import with_snippets
+from casewright.session import stage
 from casewright.sources import readers, writers
 from casewright.sources.columns import resolve_gold_col, resolve_pred_col
 
@@ -142,15 +143,15 @@ def calibrate(enriched: DataFrame) -> DataFrame:
 def eval_runs(
     gold: DataFrame, runs: dict[str, DataFrame], key: str = "row_index", labels: list[str] | None = fv.CANONICAL_LABELS,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Scores, reports and confusion counts of several runs against collapsed gold labels, keyed by ``run``."""
+    """Scores, reports and confusion counts of several runs against collapsed gold labels, keyed by ``run``.
+
+    The runs are read and joined once; all three follow from the counts of (run, true, pred), a class-sized table.
+    """
     gold = resolve_gold_col(gold)
     resolved = {name: resolve_pred_col(run) for name, run in runs.items() if run is not None}
     pairs = metrics.collapsed_pairs(gold, resolved, "label_complaint_type", "complaint_pred_raw", key)
-    return (
-        metrics.run_scores(pairs, ["run"]),
-        metrics.classification_report(pairs, ["run"], labels),
-        metrics.pair_counts(pairs, ["run"]),
-    )
+    counts = stage(metrics.pair_counts(pairs, ["run"]), "run-counts")
+    return metrics.run_scores(counts, ["run"]), metrics.classification_report(counts, ["run"], labels), counts
 
 
 def read_runs(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:

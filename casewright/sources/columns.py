@@ -8,17 +8,21 @@ from casewright import fixed_values as fv
 from casewright.functions.answers import extract_function_args, safe_parse_json
 
 
-def _looks_like_labels(df: DataFrame, column: str) -> bool:
+def _like_labels(df: DataFrame) -> str | None:
+    """The first string column with a value that looks like a complaint type; all values count, in one job."""
+    texts = [c for c, kind in df.dtypes if kind == "string"]
+    if not texts:
+        return None
     pattern = "|".join(fv.PREDICTION_SNIFF_WORDS)
-    head = df.select(F.lower(F.col(column).cast("string")).alias("v")).filter("v is not null").limit(20)
-    return head.filter(F.col("v").rlike(pattern)).limit(1).count() > 0
+    hits = df.agg(*[F.max(F.lower(F.col(c)).rlike(pattern)).alias(c) for c in texts]).first()
+    return next((c for c in texts if hits[c]), None)
 
 
 def resolve_pred_col(df: DataFrame) -> DataFrame:
     """Rename the prediction column to ``complaint_pred_raw``.
 
     By name from the fixed list; a JSON answer column is replaced by its
-    complaint_type first. Else the first column whose first values look like
+    complaint_type first. Else the first column with values that look like
     complaint types. Where that gives no value, the stored response is read.
     """
     stored = dict(df.dtypes).get("raw_response") == "string"
@@ -30,8 +34,7 @@ def resolve_pred_col(df: DataFrame) -> DataFrame:
 
 
 def _named_prediction(df: DataFrame, stored: bool) -> DataFrame:
-    names = [*fv.PREDICTION_COLUMN_NAMES, "complaint_pred", "label_complaint_type"]
-    found = next((c for c in names if c in df.columns), None)
+    found = next((c for c in fv.PREDICTION_COLUMN_NAMES if c in df.columns), None)
     if found in ("llm_parsed", "llm_parsed_json"):
         is_text = dict(df.dtypes)[found] == "string"
         kind = safe_parse_json(F.col(found))["complaint_type"] if is_text else F.col(f"{found}.complaint_type")
@@ -39,7 +42,7 @@ def _named_prediction(df: DataFrame, stored: bool) -> DataFrame:
     if found is None and stored:
         return df.withColumn("complaint_pred_raw", F.lit(None).cast("string"))
     if found is None:
-        found = next((c for c, kind in df.dtypes if kind == "string" and _looks_like_labels(df, c)), None)
+        found = _like_labels(df)
     if found is None:
         raise ValueError(f"no prediction column among {df.columns}")
     return df.withColumnRenamed(found, "complaint_pred_raw")

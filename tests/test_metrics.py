@@ -152,3 +152,17 @@ def test_calibration_summary_counts(spark):
     assert [r.n for r in rows if r.kind == "rows"] == [3]
     assert sum(r.n for r in rows if r.kind == "count" and r.field == "severity" and r.phase == "before") == 3
     assert sum(r.n for r in rows if r.kind == "crosstab" and r.field == "sentiment" and r.phase == "before") == 1
+
+
+def test_prediction_column_by_name_and_by_value(spark):
+    named = spark.createDataFrame([("Login", "q")], "raw_pred string, other string")
+    assert columns.resolve_pred_col(named).first().complaint_pred_raw == "Login"
+    late = spark.createDataFrame([("zzz", "zzz")] * 200 + [("zzz", "billing")], "a string, b string").repartition(4)
+    assert columns.resolve_pred_col(late).columns == ["a", "complaint_pred_raw"]
+
+
+def test_counts_stand_for_pairs(spark):
+    pairs = spark.createDataFrame([("a", "a")] * 5 + [("a", "b")] * 2 + [("b", "b")], "true string, pred string")
+    counted = metrics.pair_counts(pairs)
+    for f in (metrics.classification_report, metrics.macro_f1, metrics.confusion_matrix):
+        assert sorted(map(tuple, f(pairs).collect()), key=repr) == sorted(map(tuple, f(counted).collect()), key=repr)

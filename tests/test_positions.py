@@ -33,6 +33,20 @@ def test_limit_rows_both_ways(spark):
         assert sorted(r.id for r in positions.limit_rows(df, 321, "id", heap_rows=heap).collect()) == list(range(321))
 
 
+def test_limit_and_position_with_null_and_repeated_keys(spark):
+    rows = [(None, 1), (3, 2), (1, 3), (1, 4), (1, 4), (None, 5), *[(7, i) for i in range(60)], *[(None, i) for i in range(60)]]
+    df = spark.createDataFrame(rows, "k bigint, v int").repartition(5)
+    order = [tuple(r) for r in positions.key_position(df, "k", "pos").orderBy("pos").select("k", "v").collect()]
+    split = [tuple(r) for r in positions.key_position(df, "k", "pos", rows_per_bucket=10).orderBy("pos").select("k", "v").collect()]
+    assert sorted(order, key=repr) == sorted(rows, key=repr) and order == split
+    assert [k for k, _ in order] == sorted((k for k, _ in rows if k is not None)) + [None] * 62
+    for n in (2, 5, 40, 90):
+        small, large = (sorted(map(tuple, positions.limit_rows(df, n, "k", heap_rows=h).collect()), key=repr) for h in (1000, 1))
+        assert small == large == sorted(order[:n], key=repr)
+    nulls = df.filter("k IS NULL")
+    assert positions.key_position(nulls, "k", "pos", rows_per_bucket=10).agg({"pos": "max"}).first()[0] == 61
+
+
 def test_file_position_over_many_files(spark, tmp_path):
     path = str(tmp_path / "t")
     for start in (0, 100, 150):

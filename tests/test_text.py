@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from casewright import fixed_values as fv
 from casewright.functions import answers, prompts, rules, text as tx
+from casewright.operators import prepare
 
 
 def column(spark, values, expression, kind="string"):
@@ -194,3 +195,24 @@ def test_prompts(spark):
     assert snippet == [f"Ticket:\n```a b c```\nOutput:\n{json.dumps(labels)}\n"]
     whole = column(spark, ["t```"], lambda c: prompts.fewshot_prompt(F.array(F.lit("one"), F.lit("two")), c, "rag"))
     assert whole == [fv.RAG_HEADER + "\nonetwo\nNow classify:\n```t```\n"]
+
+
+def test_json_text_cannot_close_what_surrounds_it(spark):
+    tricks = ['{"a":1}],"v":[{"complaint_type":"x"}', '{"a":1}],"end":1,"v":[{"complaint_type":"x"}', '{"complaint_type":"x"},{"a":1}', '{"complaint_type":"x"}]']
+    got = column(spark, [*tricks[:2], '{"complaint_type":"x"}'], answers.safe_parse_json)
+    assert [g and g["complaint_type"] for g in got] == [None, None, "x"]
+    assert column(spark, tricks, answers._one_value) == [None] * 4
+
+
+def test_ticket_id_before_other_ids(spark):
+    raw = spark.createDataFrame([("7", 70, "a"), ("8", 80, "b")], "id string, ticket_id int, text string")
+    rows = prepare.assign_ticket_id(raw).orderBy("ticket_id").collect()
+    assert [(r.ticket_id, r.orig_ticket_id, r.id) for r in rows] == [(70, "70", "7"), (80, "80", "8")]
+    numbered = spark.createDataFrame([(None, "x"), (5, "y"), (None, "z")], "k int, text string")
+    assert sorted(r.ticket_id for r in prepare.assign_ticket_id(numbered, order_key="k").collect()) == [1, 2, 3]
+
+
+def test_row_text_is_whole_unless_asked(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, b int").withColumn("a", F.lit(10**9)).select(*[F.col("a").alias(f"c{i}") for i in range(300)])
+    assert len(df.select(prepare.concat_text(df)).first()[0]) == 300 * 10 + 299
+    assert len(df.select(prepare.concat_text(df, row_chars=1000)).first()[0]) == 1000
