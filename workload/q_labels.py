@@ -32,7 +32,7 @@ def limit_rows(spark: SparkSession, d: str) -> DataFrame:
 def sort_results(spark: SparkSession, d: str) -> DataFrame:
     rows = roles.phrase_tickets(spark, d).select(
         F.col("ticket_id").alias("index"), F.col("pred_raw").alias("complaint_pred_raw"))
-    return joins.sort_results(rows.repartition("complaint_pred_raw"))
+    return joins.sort_results(rows)
 
 
 @query(f"""SELECT ticket_id, pred_raw AS complaint_pred, NULL AS error, NULL AS score FROM {roles.PHRASE_TICKETS_SQL}
@@ -58,12 +58,12 @@ def join_labels_tickets(spark: SparkSession, d: str) -> DataFrame:
     return joined.select("ticket_id", "label_complaint_type", F.md5("clean_text").alias("text_md5"))
 
 
-@query(f"""SELECT g.doc_id AS row_index, g.label, p.pred_raw AS complaint_pred
-  FROM {roles.ORIGIN_SQL} g LEFT JOIN {roles.PHRASE_TICKETS_SQL} p
-    ON p.ticket_id = g.doc_id AND p.pred_complaint_type = 'Billing'""")
+@query(f"""SELECT g.doc_id AS row_index, g.label, CAST(p.quality AS VARCHAR) AS complaint_pred
+  FROM {roles.ORIGIN_SQL} g LEFT JOIN labels p ON p.doc_id = g.doc_id""")
 def join_preds_gold(spark: SparkSession, d: str) -> DataFrame:
-    preds = roles.phrase_tickets(spark, d).filter(F.col("pred_complaint_type") == "Billing").select(
-        F.col("ticket_id").alias("row_index"), F.col("pred_raw").alias("complaint_pred"))
+    """``labels`` cover some of the documents, so the others have no prediction."""
+    preds = roles.table(spark, d, "labels").select(
+        F.col("doc_id").alias("row_index"), F.col("quality").cast("string").alias("complaint_pred"))
     return joins.join_preds_gold(roles.origin_classes(spark, d).withColumnRenamed("doc_id", "row_index"), preds)
 
 
@@ -76,16 +76,16 @@ def align_by_position(spark: SparkSession, d: str) -> DataFrame:
     return joins.align_by_position(gold, preds, "doc_id", "vec_id")
 
 
-@query(f"""SELECT t.doc_id AS ticket_id, t.lang, p.clean_text AS input_text, p.pred_raw AS pred_complaint_raw,
-    p.pred_complaint_type, t.doc_id + 1 AS index_no, p.ticket_id + 2 AS index_no_pred
-  FROM documents t LEFT JOIN {roles.PHRASE_TICKETS_SQL} p
-    ON p.ticket_id = t.doc_id AND p.pred_severity IS NOT NULL""")
+@query("""SELECT t.doc_id AS ticket_id, t.lang, 'row ' || p.doc_id AS input_text, CAST(p.quality AS VARCHAR) AS pred_complaint_raw,
+    CAST(p.toxic AS VARCHAR) AS pred_complaint_type, t.doc_id + 1 AS index_no, p.doc_id + 2 AS index_no_pred
+  FROM documents t LEFT JOIN labels p ON p.doc_id = t.doc_id""")
 def enrich_join(spark: SparkSession, d: str) -> DataFrame:
     tickets = roles.table(spark, d, "documents").select(
         F.col("doc_id").alias("ticket_id"), "lang", (F.col("doc_id") + 1).alias("index_no"))
-    preds = roles.phrase_tickets(spark, d).filter(F.col("pred_severity").isNotNull()).select(
-        "ticket_id", F.col("clean_text").alias("input_text"), F.col("pred_raw").alias("complaint_pred_raw"),
-        F.col("pred_complaint_type").alias("complaint_pred"), (F.col("ticket_id") + 2).alias("index_no"))
+    preds = roles.table(spark, d, "labels").select(
+        F.col("doc_id").alias("ticket_id"), F.concat(F.lit("row "), "doc_id").alias("input_text"),
+        F.col("quality").cast("string").alias("complaint_pred_raw"), F.col("toxic").cast("string").alias("complaint_pred"),
+        (F.col("doc_id") + 2).alias("index_no"))
     return joins.enrich_join(tickets, preds)
 
 
@@ -146,7 +146,10 @@ _RANKED_SQL = f"""(SELECT *, row_number() OVER (PARTITION BY label_complaint_typ
     count(*) OVER (PARTITION BY label_complaint_type) AS n FROM {roles.GOLD_SQL})"""
 
 
-@query(f"SELECT doc_id, label_complaint_type, CAST((rank - 1) % 3 AS INTEGER) AS fold FROM {_RANKED_SQL}")
+FOLDS_SQL = f"SELECT doc_id, label_complaint_type, CAST((rank - 1) % 3 AS INTEGER) AS fold FROM {_RANKED_SQL}"
+
+
+@query(FOLDS_SQL)
 def stratified_folds(spark: SparkSession, d: str) -> DataFrame:
     return baseline.stratified_folds(roles.gold(spark, d), "label_complaint_type", "doc_id", 3, 42)
 

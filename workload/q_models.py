@@ -9,12 +9,13 @@ from casewright import fixed_values as fv
 from casewright.functions import rules
 from casewright.functions.models import keyword_call_responder, keyword_text_responder
 from casewright.functions.text import strip
-from casewright.operators import baseline, metrics, vectors
+from casewright.operators import baseline, labels, metrics, vectors
 from casewright.plans import flows
 from casewright.session import fresh_path, stage
 from casewright.sources import readers
 from casewright.streaming.resume import resume_incremental as run_stream
 from workload import roles
+from workload.q_labels import FOLDS_SQL
 from workload.registry import query
 
 # ---- classification ---------------------------------------------------------------------------
@@ -131,45 +132,62 @@ def tfidf(spark: SparkSession, d: str) -> DataFrame:
         F.round(F.array_max("w"), 6).alias("top"))
 
 
-_MAX_ITER = 100  # enough for a trial run; the library default is 2000
-
-
 def _trained(spark: SparkSession, d: str):
     rows = roles.gold_texts(spark, d)
-    return rows, baseline.logreg_fit(rows, "doc_id", "clean_text", "label_complaint_type", max_iter=_MAX_ITER)
+    return rows, baseline.logreg_fit(rows, "doc_id", "clean_text", "label_complaint_type")
 
 
-@query()
+@query(f"""SELECT label_complaint_type, count(*) AS n, round(sum(w), 6) AS weight, true AS settled
+  FROM (SELECT label_complaint_type, (SELECT count(*) FROM {roles.GOLD_TEXTS_SQL})
+          / CAST((SELECT count(DISTINCT label_complaint_type) FROM {roles.GOLD_TEXTS_SQL}) * count(*) OVER (PARTITION BY label_complaint_type) AS DOUBLE) AS w
+        FROM {roles.GOLD_TEXTS_SQL}) GROUP BY label_complaint_type""")
 def logreg_fit(spark: SparkSession, d: str) -> DataFrame:
-    """Predictions of the fitted model on its training rows, one row per class pair."""
+    """For each class its weight, and whether its intercept has settled: there the weighted sum of probability less
+    indicator over all rows is zero, as the penalty leaves intercepts out."""
     rows, model = _trained(spark, d)
-    return baseline.predict(model, rows, "label_complaint_type").groupBy(
-        "label_complaint_type", "complaint_pred_raw").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query()
+    rows = labels.class_weights(rows, "label_complaint_type")
+    names = model.stages[-1].getLabels()
+    scored = model.transform(rows).select("label_complaint_type", "class_weight", vector_to_array("probability").alias("p"))
+    slopes = [F.sum(F.col("class_weight") * (F.col("p")[i] - (F.col("label_complaint_type") == name).cast("double"))) for i, name in enumerate(names)]
+    total = scored.agg(F.sum("class_weight").alias("all"), F.array(*slopes).alias("slopes")).first()  # one row
+    settled = [name for name, slope in zip(names, total["slopes"]) if abs(slope) < 2e-3 * total["all"]]
+    return scored.groupBy("label_complaint_type").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("class_weight"), 6).alias("weight"),
+    ).withColumn("settled", F.col("label_complaint_type").isin(settled))
+
+
+@query(f"""SELECT doc_id, label_complaint_type, fold, CAST(1 AS BIGINT) AS n_predictions, true AS known
+  FROM ({FOLDS_SQL}) WHERE doc_id IN (SELECT doc_id FROM {roles.GOLD_TEXTS_SQL})""")
 def cross_val_predict(spark: SparkSession, d: str) -> DataFrame:
+    """One prediction per row, by the model of the other folds, out of the classes of the labels."""
     rows = roles.gold_texts(spark, d)
-    return baseline.cross_val_predict(rows, "doc_id", "clean_text", "label_complaint_type", 3, max_iter=_MAX_ITER)
+    known = roles.gold(spark, d).select(F.col("label_complaint_type").alias("complaint_pred_raw")).distinct().withColumn("known", F.lit(True))
+    found = baseline.cross_val_predict(rows, "doc_id", "clean_text", "label_complaint_type", 3)
+    return found.join(known, "complaint_pred_raw", "left").groupBy("doc_id", "label_complaint_type", "fold").agg(
+        F.count("complaint_pred_raw").alias("n_predictions"), F.bool_and(F.coalesce("known", F.lit(False))).alias("known"))
 
 
-@query()
+@query(f"""SELECT t.ticket_id AS index, CASE WHEN g.doc_id IS NULL THEN 'new' ELSE 'train' END AS split, true AS known
+  FROM {roles.TICKETS_SQL} t LEFT JOIN {roles.GOLD_TEXTS_SQL} g ON g.doc_id = t.ticket_id""")
 def predict_full(spark: SparkSession, d: str) -> DataFrame:
     """Predictions for every ticket, labelled or not; ``split`` tells rows the model has seen."""
     rows, model = _trained(spark, d)
     seen = rows.select("doc_id", F.lit("train").alias("split"))
     tickets = roles.tickets(spark, d).withColumnRenamed("ticket_id", "doc_id").join(seen, "doc_id", "left")
     return baseline.predict(model, tickets, "doc_id", "split").select(
-        F.col("doc_id").alias("index"), F.coalesce("split", F.lit("new")).alias("split"), "complaint_pred_raw")
+        F.col("doc_id").alias("index"), F.coalesce("split", F.lit("new")).alias("split"),
+        F.col("complaint_pred_raw").isin(model.stages[-1].getLabels()).alias("known"))
 
 
-@query()
+@query(f"SELECT doc_id, true AS same FROM {roles.GOLD_TEXTS_SQL}")
 def save_model(spark: SparkSession, d: str) -> DataFrame:
-    """Save, load, predict with the loaded model."""
+    """Save and load; the loaded model says of every row what the fitted one says."""
     rows, model = _trained(spark, d)
     path = fresh_path(spark, "model")
     baseline.save_model(model, path)
-    return baseline.predict(baseline.load_model(path), rows, "doc_id")
+    fitted = baseline.predict(model, rows, "doc_id").withColumnRenamed("complaint_pred_raw", "fitted")
+    loaded = baseline.predict(baseline.load_model(path), rows, "doc_id")
+    return loaded.join(fitted, "doc_id").select("doc_id", (F.col("complaint_pred_raw") == F.col("fitted")).alias("same"))
 
 
 # ---- the flagship: clean, label, sentiment, severity, crosstab -----------------------------------

@@ -12,6 +12,7 @@ from casewright.operators import metrics, vectors
 from casewright.session import fresh_path
 from casewright.sources import readers, writers
 from workload import roles
+from workload.q_metrics import report_sql
 from workload.registry import query
 
 _CSV = {"header": True, "quoteAll": True, "escape": '"', "ignoreLeadingWhiteSpace": False,
@@ -133,10 +134,10 @@ def write_parquet_csv(spark: SparkSession, d: str) -> DataFrame:
         F.size("words").cast("long").alias("n_words"))
 
 
-@query(f"""WITH c AS (SELECT {roles.collapse_sql('gold_raw')} AS t, {roles.collapse_sql('pred_raw')} AS p
-                     FROM {roles.PHRASE_TICKETS_SQL})
-  SELECT form, t AS class, CAST(count(*) AS DOUBLE) AS support, round(avg(CAST(t = p AS INT)), 6) AS recall
-  FROM c, (VALUES ('csv'), ('json')) f(form) GROUP BY 1, 2""")
+_WRITTEN_SQL = f"(SELECT {roles.collapse_sql('gold_raw')} AS t, {roles.collapse_sql('pred_raw')} AS p FROM {roles.PHRASE_TICKETS_SQL})"
+
+
+@query(f"SELECT form, r.* FROM ({report_sql(_WRITTEN_SQL)}) r, (VALUES ('csv'), ('json')) f(form)")
 def write_metrics(spark: SparkSession, d: str) -> DataFrame:
     base = fresh_path(spark, "metrics")
     pairs = metrics.as_pairs(
@@ -147,6 +148,4 @@ def write_metrics(spark: SparkSession, d: str) -> DataFrame:
     schema = report.schema
     both = spark.read.schema(schema).json(f"{base}/json").withColumn("form", F.lit("json")).unionByName(
         spark.read.schema(schema).option("header", True).csv(f"{base}/csv").withColumn("form", F.lit("csv")))
-    classes = ~F.col("class").isin("accuracy", "macro avg", "weighted avg")
-    return both.filter(classes & (F.col("support") > 0)).select(
-        "form", "class", "support", F.round("recall", 6).alias("recall"))
+    return both.select("form", "class", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1", "support")])

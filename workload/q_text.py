@@ -43,14 +43,20 @@ def parse_created_at(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _conversations(spark: SparkSession, d: str) -> DataFrame:
-    turns = roles.table(spark, d, "conversations").filter(F.col("turn") <= 1)
-    return turns.groupBy(F.col("conv_id").alias("id")).agg(
+    """The first turn is the subject, all later ones are the description; the event of the same number gives the time."""
+    turns = roles.table(spark, d, "conversations")
+    later = F.array_sort(F.collect_list(F.when(F.col("turn") > 0, F.struct("turn", "text"))))  # the turns of one conversation
+    whole = turns.groupBy(F.col("conv_id").alias("id")).agg(
         F.max(F.when(F.col("turn") == 0, F.col("text"))).alias("subject"),
-        F.max(F.when(F.col("turn") == 1, F.col("text"))).alias("description"))
+        F.array_join(later.getField("text"), " ").alias("description"))
+    times = roles.table(spark, d, "events").select(F.col("event_id").alias("id"), F.date_format("ts", "yyyy/MM/dd HH:mm:ss").alias("created_at"))
+    return whole.join(times, "id", "left")
 
 
-_CONVERSATIONS_SQL = """(SELECT conv_id AS id, max(CASE WHEN turn = 0 THEN text END) AS subject,
-    max(CASE WHEN turn = 1 THEN text END) AS description FROM conversations WHERE turn <= 1 GROUP BY conv_id)"""
+_CONVERSATIONS_SQL = """(SELECT c.*, date_trunc('second', e.ts) AS created_at FROM (
+    SELECT conv_id AS id, max(CASE WHEN turn = 0 THEN text END) AS subject,
+      coalesce(string_agg(text, ' ' ORDER BY turn, text) FILTER (WHERE turn > 0), '') AS description
+    FROM conversations GROUP BY conv_id) c LEFT JOIN events e ON e.event_id = c.id)"""
 
 
 @query(f"""SELECT id, md5(concat(coalesce(subject, ''), ' ', coalesce(description, ''))) AS text_md5
@@ -64,17 +70,18 @@ _JOINED_SQL = "concat(coalesce(subject, ''), ' ', coalesce(description, ''))"
 
 
 @query(f"""SELECT id AS ticket_id, md5({roles.clean_sql(_JOINED_SQL)}) AS clean_md5,
-    CAST(id AS VARCHAR) AS orig_ticket_id, md5(subject) AS subject_md5, md5(description) AS description_md5
+    CAST(id AS VARCHAR) AS orig_ticket_id, md5(subject) AS subject_md5, md5(description) AS description_md5,
+    strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at
   FROM {_CONVERSATIONS_SQL}""")
 def project_clean(spark: SparkSession, d: str) -> DataFrame:
     clean = prepare.prepare_tickets(_conversations(spark, d))
     return clean.select(
         "ticket_id", F.md5("clean_text").alias("clean_md5"), "orig_ticket_id", F.md5("subject").alias("subject_md5"),
-        F.md5("description").alias("description_md5"))
+        F.md5("description").alias("description_md5"), F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"))
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
-    return roles.spread(roles.table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    return roles.table(spark, d, "documents").select("doc_id", "text")
 
 
 @query(r"""SELECT doc_id, md5(lower(trim(regexp_replace(text, '\s+', ' ', 'g')))) AS text_md5 FROM documents""")
@@ -82,15 +89,15 @@ def normalize_text(spark: SparkSession, d: str) -> DataFrame:
     return _documents(spark, d).select("doc_id", F.md5(tx.normalize_text(F.col("text"))).alias("text_md5"))
 
 
-@query(r"""SELECT doc_id, md5(t) AS text_md5, contains(t, '[REDACTED_EMAIL]') AS has_mark FROM (
-    SELECT doc_id, regexp_replace(lower(text), '\b[\w\.-]+@[\w\.-]+\.\w{2,}\b', '[REDACTED_EMAIL]', 'g') AS t
+@query(f"""SELECT doc_id, md5(t) AS text_md5, contains(t, '{fv.EMAIL_MARK}') AS has_mark FROM (
+    SELECT doc_id, regexp_replace(lower(text), '{fv.EMAIL_PATTERN}', '{fv.EMAIL_MARK}', 'g') AS t
     FROM documents)""")
 def redact_email(spark: SparkSession, d: str) -> DataFrame:
     redacted = _documents(spark, d).select("doc_id", tx.redact_email(F.lower("text")).alias("t"))
     return redacted.select("doc_id", F.md5("t").alias("text_md5"), F.contains("t", F.lit(fv.EMAIL_MARK)).alias("has_mark"))
 
 
-@query(r"""SELECT event_id, regexp_replace(t, '\b\d{3}[-.\s]?\d{3}[-.\s]?\d{4}\b', '[REDACTED_PHONE]', 'g') AS t FROM (
+@query(f"""SELECT event_id, regexp_replace(t, '{fv.PHONE_PATTERN}', '{fv.PHONE_MARK}', 'g') AS t FROM (
     SELECT event_id, CASE event_id % 4
         WHEN 0 THEN concat('call ', lpad(CAST(user_id AS VARCHAR), 3, '5'), '-555-', lpad(CAST(event_id % 10000 AS VARCHAR), 4, '0'))
         WHEN 1 THEN concat(lpad(CAST(user_id AS VARCHAR), 3, '5'), '.555 ', lpad(CAST(event_id % 10000 AS VARCHAR), 4, '0'), ' now')

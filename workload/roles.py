@@ -50,12 +50,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Repartition a table that comes in fewer pieces than there are cores; leave others as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def pick(values: list, number: Column) -> Column:
     literals = F.array(*[F.lit(v).cast("string") for v in values])
     return F.element_at(literals, (number % len(values)).cast("int") + 1)
@@ -74,14 +68,14 @@ def pick_sql(values: list, number: str) -> str:
 
 
 def tickets(spark: SparkSession, folder: str) -> DataFrame:
-    docs = spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
     return docs.select(F.col("doc_id").alias("ticket_id"), clean_text(F.col("text")).alias("clean_text"))
 
 
 def clean_sql(text: str) -> str:
     spaced = rf"lower(trim(regexp_replace({text}, '\s+', ' ', 'g')))"
-    no_email = rf"regexp_replace({spaced}, '\b[\w\.-]+@[\w\.-]+\.\w{{2,}}\b', '[REDACTED_EMAIL]', 'g')"
-    return rf"regexp_replace({no_email}, '\b\d{{3}}[-.\s]?\d{{3}}[-.\s]?\d{{4}}\b', '[REDACTED_PHONE]', 'g')"
+    no_email = f"regexp_replace({spaced}, '{fv.EMAIL_PATTERN}', '{fv.EMAIL_MARK}', 'g')"
+    return f"regexp_replace({no_email}, '{fv.PHONE_PATTERN}', '{fv.PHONE_MARK}', 'g')"
 
 
 TICKETS_SQL = f"(SELECT doc_id AS ticket_id, {clean_sql('text')} AS clean_text FROM documents)"
@@ -91,7 +85,7 @@ TICKETS_SQL = f"(SELECT doc_id AS ticket_id, {clean_sql('text')} AS clean_text F
 
 def phrase_tickets(spark: SparkSession, folder: str) -> DataFrame:
     """One enriched ticket per event: phrase, raw labels, and three predictions with nulls among them."""
-    events = spread(table(spark, folder, "events").select("event_id", "user_id", "event_type"), "event_id")
+    events = table(spark, folder, "events").select("event_id", "user_id", "event_type")
     number, user = F.col("event_id"), F.col("user_id")
     sentiment = F.when(F.lit(False), F.lit(""))
     for event_type, value in SENTIMENT_OF_EVENT.items():
@@ -218,7 +212,7 @@ def answers(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("\n  "), whole, F.lit("\n")),
         F.lit("{}"),
     ]
-    events = spread(table(spark, folder, "events").select("event_id", "user_id", "event_type"), "event_id")
+    events = table(spark, folder, "events").select("event_id", "user_id", "event_type")
     raw = F.element_at(F.array(*forms), (number % ANSWER_FORMS).cast("int") + 1)
     return events.select(F.col("event_id").alias("row_index"), raw.alias("raw"))
 
@@ -259,36 +253,29 @@ def count_sql(text: str, words: list[str]) -> str:
         f"(length({text}) - length(replace({text}, {text_sql(w)}, ''))) // {len(w)}" for w in words)
 
 
-BILLING = ["bill", "payment", "refund", "invoice", "charge"]
-LOGIN = ["login", "auth", "password", "signin", "sign-in"]
-DELIVERY_RAG = ["deliver", "shipment", "tracking", "order not", "not arrived"]
-DELIVERY = [*DELIVERY_RAG, "not received"]
-PRODUCT = ["product", "defect", "bug", "crash", "error", "ui", "issue"]
-SPEED = ["perf", "latency", "slow", "lag", "timeout", "responsive"]
-SERVICE = ["customer", "support", "service", "agent", "rep"]
-
-
 def _chain_sql(text: str, chain: list[tuple[str, list[str]]]) -> str:
     whens = " ".join(f"WHEN {any_sql(f'lower({text})', words)} THEN '{label}'" for label, words in chain)
     return f"CASE {whens} ELSE 'Other' END"
 
 
+def _ordered(rules: list[tuple[str, list[str]]], *labels: str) -> list[tuple[str, list[str]]]:
+    words = dict(rules)
+    return [(label, words[label]) for label in labels]
+
+
 def collapse_sql(text: str) -> str:
-    return _chain_sql(text, [
-        ("Billing", BILLING), ("Login", LOGIN), ("Delivery", DELIVERY), ("Performance", SPEED),
-        ("Customer Service", SERVICE), ("Product Defect", PRODUCT)])
+    return _chain_sql(text, _ordered(
+        fv.COLLAPSE_RULES, "Billing", "Login", "Delivery", "Performance", "Customer Service", "Product Defect"))
 
 
 def rag_sql(text: str) -> str:
-    return _chain_sql(text, [
-        ("Billing", BILLING), ("Login", LOGIN), ("Delivery", DELIVERY_RAG), ("Product Defect", [*PRODUCT, "ux"]),
-        ("Performance", SPEED), ("Customer Service", SERVICE)])
+    return _chain_sql(text, _ordered(
+        fv.RAG_RULES, "Billing", "Login", "Delivery", "Product Defect", "Performance", "Customer Service"))
 
 
 def infer_sql(text: str) -> str:
-    return _chain_sql(text, [
-        ("Billing", BILLING), ("Login", LOGIN), ("Delivery", DELIVERY), ("Product Defect", PRODUCT),
-        ("Performance", SPEED), ("Customer Service", SERVICE)])
+    return _chain_sql(text, _ordered(
+        fv.INFER_RULES, "Billing", "Login", "Delivery", "Product Defect", "Performance", "Customer Service"))
 
 
 def sentiment_sql(source: str, key: str = "ticket_id") -> str:
