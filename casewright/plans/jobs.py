@@ -46,6 +46,21 @@ def _with_row_index(df: DataFrame) -> DataFrame:
     return file_position(df, "row_index")
 
 
+def _keyed_run(run: DataFrame, gold: DataFrame, path: str) -> DataFrame:
+    """Predictions with the row key of the labels: by index, by ticket id, or, in a CSV file, by position.
+
+    Parquet written after a join has no order, so its positions say nothing.
+    """
+    if "row_index" in run.columns or "index" in run.columns:
+        return _with_row_index(run)
+    if "ticket_id" in run.columns and "ticket_id" in gold.columns:
+        keys = gold.select(F.col("ticket_id").cast("long").alias("ticket_id"), "row_index")
+        return run.withColumn("ticket_id", F.col("ticket_id").cast("long")).join(keys, "ticket_id")
+    if path.rstrip("/").endswith((".parquet", ".pq")):
+        raise ValueError(f"{path} has neither an index nor a ticket id that the labels share")
+    return _with_row_index(run)
+
+
 def _labels(spark: SparkSession, path: str, required: list[str]) -> DataFrame:
     """Labels with row keys, staged: several steps read them."""
     return stage(_with_row_index(readers.read_labels_csv(spark, path, required)), "labels")
@@ -158,11 +173,11 @@ def evaluate_job(spark: SparkSession, labels_csv: str, runs: dict[str, str], out
 
     Predictions of a baseline are scored on their held-out rows.
     """
-    found = {}
+    gold, found = _labels(spark, labels_csv, []), {}
     for name, run in flows.read_runs(spark, runs).items():
-        run = _with_row_index(run)
+        run = _keyed_run(run, gold, runs[name])
         found[name] = run.filter("split = 'held_out'") if "split" in run.columns else run
-    scores, reports, confusion = flows.eval_runs(_labels(spark, labels_csv, []), found)
+    scores, reports, confusion = flows.eval_runs(gold, found)
     writers.write_metrics(scores, f"{out_dir}/summary_all")
     writers.write_metrics(reports, f"{out_dir}/classification_reports")
     writers.write_metrics(confusion, f"{out_dir}/confusion", "csv")

@@ -72,3 +72,12 @@ def test_index_job_fails_on_a_failed_embedding(spark, base):
 
     with pytest.raises(Exception, match="no service"):
         jobs.index_job(spark, f"{base}/labels.csv", f"{base}/none", jobs.embed_with(broken))
+
+
+def test_runs_are_paired_by_key_or_refused(spark, tmp_path):
+    gold = spark.createDataFrame([(10, 0), (20, 1), (30, 2)], "ticket_id long, row_index long")
+    run = spark.createDataFrame([("30", "Login"), ("10", "Billing")], "ticket_id string, prediction string")
+    keyed = jobs._keyed_run(run, gold, "x.parquet")
+    assert {r.row_index: r.prediction for r in keyed.collect()} == {2: "Login", 0: "Billing"}
+    with pytest.raises(ValueError, match="neither an index"):
+        jobs._keyed_run(run.drop("ticket_id"), gold, "x.parquet")
