@@ -85,8 +85,8 @@ def _tree(weight: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.n
     A node splits its values by their distance to a vantage point at the weighted median. A value also visits a branch
     that is not its own when the triangle inequality leaves room there for a value within ``radius``.
     """
-    present = np.flatnonzero(weight)
-    home = np.full(len(weight), -1)
+    present = np.flatnonzero(weight).astype(np.int32)
+    home = np.full(len(weight), -1, np.int32)
     reach: list[tuple[np.ndarray, int]] = []
     leaf = 0
     stack = [(present, present)]
@@ -114,7 +114,7 @@ def _tree(weight: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.n
         stack.append((own[own_gap > at], near[near_gap + radius > at]))
         stack.append((own[own_gap <= at], near[near_gap - radius <= at]))
     values = np.concatenate([v for v, _ in reach]) if reach else np.empty(0, int)
-    at_leaf = np.concatenate([np.full(len(v), k) for v, k in reach]) if reach else np.empty(0, int)
+    at_leaf = np.concatenate([np.full(len(v), k, np.int32) for v, k in reach]) if reach else np.empty(0, np.int32)
     kept = at_leaf <= home[values]  # each pair of leaves is met from one side
     values, at_leaf = values[kept], at_leaf[kept]
     order = np.lexsort((-at_leaf, values))
@@ -129,17 +129,16 @@ def plant(fps: DataFrame, probe_bits: int) -> Forest:
 
     Of two parts at ``probe_bits`` or fewer bits, some block differs in at most a quarter of them: the radius.
     """
-    parts = [c for c in fps.columns if c.startswith("part")]
-    blocks = F.explode(F.array(*[
-        F.struct(F.lit(p * _BLOCKS + b).alias("block"), F.shiftright(c, b * _BLOCK_BITS).bitwiseAND((1 << _BLOCK_BITS) - 1).alias("value"))
-        for p, c in enumerate(parts) for b in range(_BLOCKS)]))
-    counts = fps.select(blocks.alias("x")).groupBy("x.block", "x.value").count().toPandas()
     trees = []
-    for b in range(_BLOCKS * len(parts)):
-        own = counts[counts["block"] == b]
-        weight = np.zeros(1 << _BLOCK_BITS, np.int64)
-        weight[own["value"].to_numpy(np.int64)] = own["count"].to_numpy(np.int64)
-        trees.append(_tree(weight, probe_bits // _BLOCKS))
+    for part in [c for c in fps.columns if c.startswith("part")]:  # one part at a time: at most 262,144 counts are here
+        blocks = F.explode(F.array(*[F.struct(F.lit(b).alias("block"), F.shiftright(part, b * _BLOCK_BITS).bitwiseAND((1 << _BLOCK_BITS) - 1).cast("int").alias("value"))
+                                     for b in range(_BLOCKS)]))
+        counts = fps.select(blocks.alias("x")).groupBy("x.block", "x.value").count().toArrow()
+        block, value, count = (counts.column(c).to_numpy() for c in ("block", "value", "count"))
+        for b in range(_BLOCKS):
+            weight = np.zeros(1 << _BLOCK_BITS, np.int64)
+            weight[value[block == b]] = count[block == b]
+            trees.append(_tree(weight, probe_bits // _BLOCKS))
     return Forest(*map(list, zip(*trees)))
 
 
