@@ -86,7 +86,7 @@ def linked_spans(text: str, access: list[Span], strong: list[Span], short: list[
     for part in candidates:
         if not inside(part, merged) and (not weak or part[0] >= weak[-1][1]) and _near(access, part, *window(part)):
             weak.append(part)
-    keys = sorted(weak + [s for s in strong])
+    keys = sorted(weak + strong)
     keys = [s for i, s in enumerate(keys) if i == 0 or s[0] >= keys[i - 1][1]]
     endpoint = [m.span() for m in _ENDPOINT.finditer(text)]
     endpoint = [p for p in endpoint if _near(access, p, *window(p)) and _near(keys, p, *window(p))]

@@ -78,10 +78,7 @@ def judge(pages: DataFrame, listed: DataFrame, rules: list[Rule], url_col: str =
     def may_be_listed(h: pd.Series) -> pd.Series:
         return pd.Series(bloom.holds(shared.value, h.to_numpy(np.int64).view(np.uint64)))
 
-    url = F.col(url_col)
-    rule, verdict = longest_rule(host_of(url), path_of(url), rules)
-    # Rows named before any column is added, so that a rule never reads a replaced one.
-    seen = pages.select(*names, url.alias("__url")).select(
+    seen = pages.select(*names, F.col(url_col).alias("__url")).select(
         *names, host_of(F.col("__url")).alias("host"), path_of(F.col("__url")).alias("path"), canonical(F.col("__url")).alias("__key"))
     rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
     seen = seen.withColumns({"rule": rule, "verdict": verdict}).withColumn("__maybe", may_be_listed(F.xxhash64("__key")) & F.col("verdict").isNull())
