@@ -17,7 +17,7 @@ from casewright.session import stage
 #: Bytes of the string a window is sorted by, see ``anchors``.
 _GRAM = 32
 #: Bytes of text one merge takes, and one shard of it.
-_MERGE_BYTES, _SHARD_BYTES = 4 << 20, 1 << 20
+_MERGE_BYTES, _SHARD_BYTES = 2 << 20, 1 << 19
 #: Distinct segments around one gram beyond which its windows are counted one by one instead.
 _HOT_SEGMENTS = 4000
 #: Window starts of one text looked at together.
@@ -84,36 +84,60 @@ def _key(segment: bytes) -> tuple[int, int]:
 
 # ---- merging Burrows-Wheeler transforms -----------------------------------------------------------
 
-def shard_transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _suffix_array(text: np.ndarray, deepest: int = 256) -> np.ndarray:
+    """Places of the suffixes in the order of their first ``deepest`` bytes, by doubling; only ties are sorted again."""
+    n = len(text)
+    words = np.ndarray((n,), ">u8", np.concatenate([text, np.zeros(8, np.uint8)]).tobytes(), 0, (1,)).astype(np.uint64)
+    order = np.argsort(words, kind="stable")
+    new = np.concatenate([[True], words[order][1:] != words[order][:-1], [True]])
+    rank = np.empty(n, np.int64)  # where the suffix's group of ties starts in the order
+    rank[order] = np.maximum.accumulate(np.where(new[:-1], np.arange(n), 0))
+    tied = np.flatnonzero(~(new[:-1] & new[1:]))
+    step = 8
+    while len(tied) and step < deepest:
+        own = order[tied]
+        after = np.where(own + step < n, rank[np.minimum(own + step, n - 1)] + 1, 0)
+        keys = rank[own] * (n + 1) + after
+        turn = np.argsort(keys, kind="stable")
+        own, keys = own[turn], keys[turn]
+        order[tied] = own
+        new = np.concatenate([[True], keys[1:] != keys[:-1], [True]])
+        rank[own] = tied[np.maximum.accumulate(np.where(new[:-1], np.arange(len(tied)), 0))]
+        tied = tied[~(new[:-1] & new[1:])]
+        step *= 2
+    return order
+
+
+def shard_transform(strings: list[bytes], step: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(transform, LF, suffix array) of one shard: the strings, each with an end, as one text.
 
-    Suffixes are sorted by their first 256 bytes, by doubling. ``LF[i]`` is the row of the suffix that is one longer.
+    ``transform[i]`` is the symbol before the suffix in row i, which is the ``step`` bytes there as a number; one that
+    holds an end is the largest number. ``LF[i]`` is the row of the suffix that is longer by that symbol.
     """
     text = np.frombuffer(bytes([_END]).join(strings) + bytes([_END]), np.uint8)
-    n = len(text)
-    padded = np.concatenate([text, np.zeros(8, np.uint8)])
-    rank = np.unique(np.ndarray((n,), ">u8", padded.tobytes(), 0, (1,)).astype(np.uint64), return_inverse=True)[1].astype(np.int64)
-    for step in (8, 16, 32, 64, 128):
-        if rank.max() == n - 1:
-            break
-        after = np.zeros(n, np.int64)
-        after[:n - step] = rank[step:] + 1 if step < n else 0
-        rank = np.unique(rank * (n + 1) + after, return_inverse=True)[1].astype(np.int64)
-    suffixes = np.argsort(rank, kind="stable")
-    row = np.empty(n, np.int64)
-    row[suffixes] = np.arange(n)
-    return text[suffixes - 1], row[suffixes - 1], suffixes
+    suffixes = _suffix_array(text)
+    row = np.empty(len(text), np.int32)
+    row[suffixes] = np.arange(len(text), dtype=np.int32)
+    symbols, ends = np.zeros(len(text), np.uint64), np.zeros(len(text), bool)
+    for back in range(step, 0, -1):
+        before = np.roll(text, back)
+        symbols = symbols * np.uint64(256) + before
+        ends |= before == _END
+    symbols[ends] = np.iinfo(np.uint64).max
+    return symbols[suffixes], row[(suffixes - step) % len(text)], suffixes
 
 
-def shared_prefixes(strings: list[bytes], most: int, shard_bytes: int | None = None) -> list[np.ndarray]:
-    """For every string and place in it, the longest prefix, up to ``most``, that its suffix shares with another suffix.
+def shared_prefixes(strings: list[bytes], most: int, shard_bytes: int | None = None, step: int | None = None) -> list[np.ndarray]:
+    """For every string and place in it, how many bytes, up to ``most``, its suffix shares with another suffix.
 
     The strings are dealt to shards, each with its own transform. The transforms are merged by refining their interleave:
-    round h turns the order of all suffixes by their first h - 1 symbols into that by the first h, by reading the symbols
-    before them in that order, dealing them out by symbol, and keeping the order within (a stable step). Suffixes that are
-    alike so far form an interval; one that is alone has its longest shared prefix, and, as all longer suffixes that end
-    in it are alone too, is not read again. Those in a common interval after ``most`` rounds share ``most`` symbols.
-    A prefix that runs over the end of a string does not count.
+    a round turns the order of all suffixes by their first h bytes into that by the first h + ``step``, by reading the
+    symbols before them in that order, dealing them out by symbol, and keeping the order within (a stable step). Suffixes
+    that are alike so far form an interval; one that is alone has its longest shared prefix, and, as all longer suffixes
+    that end in it are alone too, is not read again. Those in a common interval at the end share ``most`` bytes.
+
+    A symbol is one byte, or 2, 4 or 8 bytes where that divides ``most`` and the strings hold few enough different ones;
+    prefixes are then counted in whole symbols. A prefix that runs over the end of a string does not count.
     """
     shards, size = [[]], 0
     limit = shard_bytes or _SHARD_BYTES
@@ -123,32 +147,37 @@ def shared_prefixes(strings: list[bytes], most: int, shard_bytes: int | None = N
             size = 0
         shards[-1].append(i)
         size += len(s) + 1
-    symbols, follow, places, base = [], [], [], 0
-    for shard in shards:
-        transform, lf, suffixes = shard_transform([strings[i] for i in shard])
-        symbols.append(transform)
-        follow.append(lf + base)
-        places.append(suffixes + base)
-        base += len(suffixes)
-    symbol, follow, place = np.concatenate(symbols), np.concatenate(follow).astype(np.int32), np.concatenate(places)
-    shared = np.zeros(base, np.int16)
-    rows = np.arange(base, dtype=np.int32)  # the interleave of no rounds: shard after shard
-    interval = np.zeros(base, np.int32)
-    for h in range(1, most + 1):
-        read = symbol[rows]
-        order = np.argsort(read, kind="stable")
-        order = order[:np.searchsorted(read[order], _END)]
-        read, before = read[order], interval[order]
+    for width in [step] if step else [w for w in (8, 4, 2, 1) if most % w == 0]:
+        parts = [shard_transform([strings[i] for i in shard], width) for shard in shards]
+        read = np.concatenate([p[0] for p in parts])
+        known = np.unique(read)
+        if width == 1 or step or len(known) < 65_535:
+            break
+    base = np.cumsum([0, *(len(p[0]) for p in parts)])
+    symbol = np.searchsorted(known, read).astype(np.uint16 if len(known) < 65_535 else np.int32)
+    end = len(known) - (known[-1] == np.iinfo(np.uint64).max)  # the symbols with an end in them
+    follow = np.concatenate([p[1] + b for p, b in zip(parts, base)]).astype(np.int32)
+    place = np.concatenate([p[2] + b for p, b in zip(parts, base)])
+    del parts, read
+    shared = np.zeros(base[-1], np.int16)
+    rows = np.arange(base[-1], dtype=np.int32)  # the interleave of no rounds: shard after shard
+    interval = np.zeros(base[-1], np.int32)
+    for h in range(width, most + 1, width):
+        found = symbol[rows]
+        order = np.argsort(found, kind="stable")
+        found = found[order]
+        order = order[:np.searchsorted(found, end)]
         if not len(order):
             break
+        found, before = found[:len(order)], interval[order]
         new = np.ones(len(order) + 1, bool)
-        np.not_equal(read[1:], read[:-1], out=new[1:-1])
+        np.not_equal(found[1:], found[:-1], out=new[1:-1])
         new[1:-1] |= before[1:] != before[:-1]
         kept = ~(new[:-1] & new[1:])
-        rows = follow[rows[order]][kept]
+        rows = follow[rows[order[kept]]]
         interval = np.cumsum(new[:-1], dtype=np.int32)[kept]
         shared[rows] = h
-    by_place = np.empty(base, np.int16)
+    by_place = np.empty(base[-1], np.int16)
     by_place[place] = shared
     out, at = [], 0
     for shard in shards:
@@ -215,18 +244,18 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     groups = max(1, -(-kinds * 320 // _MERGE_BYTES))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
+        seen: set[bytes] = set()
         for batch in slices(batches):
             grams, keys, contents = [], [], []
             for text in as_bytes(batch.column("text")):
                 _, _, own, parts = _segments(text, length, twice.value, several.value)
                 for gram, part in zip(own.view(np.int64).tolist(), parts):
-                    key = _key(part)
+                    key = xxhash.xxh128_digest(part)
                     if key not in seen:
-                        if len(seen) > 500_000:  # forgetting only lets a copy through
+                        if len(seen) > 100_000:  # forgetting only lets a copy through
                             seen.clear()
                         seen.add(key)
-                        grams.append(gram), keys.append(key), contents.append(part)
+                        grams.append(gram), keys.append(_key(part)), contents.append(part)
             keys = np.array(keys, np.int64).reshape(-1, 2)
             gram = np.array(grams, np.int64)
             mixed = (gram.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)

@@ -55,7 +55,7 @@ def test_against_plain(spark, monkeypatch, hot, shard, part):
         for i, s in enumerate(strings):
             for k in range(0, len(s), 37):
                 best = max((common(s[k:], o[m:]) for j, o in enumerate(strings) for m in ([x for x in range(len(o)) if o[x:x + 1] == s[k:k + 1]] if len(o) < 40 else []) if (i, k) != (j, m)), default=0)
-                assert got[i][k] >= min(best, 200)
+                assert got[i][k] >= min(best, 200) // 8 * 8
     docs = spark.createDataFrame([(i, t, -1, "x") for i, t in enumerate(texts)], "doc_id long, text string, n_bytes int, spans string").repartition(5)
     # The shard size must reach the tasks, which do not see a patched module.
     got = {r.id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in substring_dedup.dedup_substrings(docs).collect()}
@@ -72,14 +72,14 @@ def common(a, b):
 
 def test_merged_transforms_by_brute_force():
     rng = random.Random(4)
-    for _ in range(60):
+    for round_ in range(90):
+        step = (None, 1, 2)[round_ % 3]
         strings = [bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 30))) for _ in range(rng.randint(1, 6))]
-        got = substring_dedup.shared_prefixes(strings, 12, rng.choice([5, 20, 1000]))
+        got = substring_dedup.shared_prefixes(strings, 12, rng.choice([5, 20, 1000]), step)
+        width = step or 4
         for i, s in enumerate(strings):
             want = [max((min(common(s[k:], o[m:]), 12) for j, o in enumerate(strings) for m in range(len(o)) if (i, k) != (j, m)), default=0) for k in range(len(s))]
-            exact = [g for g, w in zip(got[i].tolist(), want)]
-            # Beyond the end of a string, ends look alike; such a prefix reaches the string's end and is cut there.
-            assert all(g == w or g == len(s) - k for k, (g, w) in enumerate(zip(exact, want))), (strings, i, exact, want)
+            assert got[i].tolist() == [w // width * width for w in want], (strings, i)
 
 
 def test_repeated_rows_and_null_ids(spark):
