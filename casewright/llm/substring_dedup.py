@@ -240,7 +240,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     gram_of = lambda b: b.column("gram").to_numpy().view(np.uint64)
     several = bloom.share(docs, bloom.build(grams.select("gram"), gram_of, bloom.bits_for(n_grams), "substring-several")[0])
     crowded = grams.filter(F.col("kinds") > _HOT_SEGMENTS).select("gram")
-    hot = bloom.share(docs, bloom.build(crowded, gram_of, bloom.bits_for(crowded.count()), "substring-hot")[0])
+    n_crowded = crowded.count()
+    hot = bloom.share(docs, bloom.build(crowded, gram_of, bloom.bits_for(n_crowded), "substring-hot")[0])
     groups = max(1, -(-kinds * 320 // _MERGE_BYTES))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,8 +276,10 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
 
     cut_schema = "bucket long, hot boolean, gram long, h1 long, h2 long, content binary"
     pieces = narrow.select("text").mapInArrow(cut, cut_schema)
+    if n_crowded:  # then two steps read the pieces
+        pieces = stage(pieces, "substring-pieces")
     merged = pieces.filter(~F.col("hot")).groupBy("bucket").applyInPandas(merge, "gram long, h1 long, h2 long, a int, b int")
-    if crowded.count():
+    if n_crowded:
         merged = merged.unionByName(_counted_windows(stage(pieces.filter("hot").drop("bucket", "hot").dropDuplicates(segment), "substring-crowded"), length))
     # A segment that is there twice repeats as a whole, whatever the merge says of its parts.
     partly = merged.groupBy(*segment).agg(F.collect_list(F.struct("a", "b")).alias("runs"))
