@@ -64,26 +64,30 @@ class _Encoder:
         if len(self._known) > _REMEMBERED:
             self._known = {}
         known, cut = self._known, []
+        words: set[str] = set()  # without white space at their ends, so they are the same anywhere
+        others: set[str] = set()
         for text in texts:
             first, *rest = text.split(" ")
-            if rest and (first == "" or first[-1].isspace() or not all(map(self._plain, {p for p in rest if p not in known}))):
+            unseen = set(rest).difference(known).difference(words)
+            whole = first != "" and first.strip() == first and "" not in unseen and all([p.strip() == p for p in unseen])
+            if rest and not whole:
                 first, rest = self._joined(first, rest)
+                unseen = {p for p in rest if " " not in p and p.strip() == p}.difference(known)
+                others.update(set(rest).difference(unseen).difference(known))
+            words |= unseen
             cut.append((first, rest))
-        new = {p for _, rest in cut for p in rest if p not in known}
-        plain = [p for p in new if " " not in p]
-        others = [p for p in new if " " in p]
-        fresh = dict(zip(plain, self._words(plain))) | dict(zip(others, self._encode([" " + p for p in others])))
+        plain, mixed = list(words), list(others)
+        known.update(zip(plain, self._words(plain)))
+        known.update(zip(mixed, self._encode([" " + p for p in mixed])))
         starts = self._encode([first for first, _ in cut])
-        out = []
-        for (_, rest), start in zip(cut, starts):
-            out.append(start + b"".join([known[p] if p in known else fresh[p] for p in rest]))
-        known.update((p, fresh[p]) for p in plain if len(p) <= _LONGEST and self._plain(p))
+        out = [start + b"".join(map(known.__getitem__, rest)) for (_, rest), start in zip(cut, starts)]
+        for p in mixed:
+            del known[p]
+        for p in plain:
+            if len(p) > _LONGEST:
+                del known[p]
         return out
 
-    @staticmethod
-    def _plain(part: str) -> bool:
-        return part != "" and not part[0].isspace() and not part[-1].isspace()
-
     @staticmethod
     def _joined(first: str, rest: list[str]) -> tuple[str, list[str]]:
         """The parts again, those that meet at more white space than one space put together."""
