@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,24 +21,38 @@ _BLOCK_BITS = 16
 _LEAF = 4096
 _SIDE = 8192
 _STEP = 1 << 16
+#: Most texts and bytes of text of one piece of a group whose texts are compared exactly.
+_PIECE, _PIECE_BYTES = 1024, 4 << 20
 
 
-def fingerprint(text: bytes, words_per_shingle: int, n_parts: int = 1) -> list[int]:
-    """SimHash of a text's shingles, A-Z lower-cased, in parts of 64 bits; all 0 without words.
-
-    The first part is that of the shingles' XXH64 (seed 42); the others are those of hashes mixed from it.
-    """
+def shingle_hashes(text: bytes, words_per_shingle: int) -> np.ndarray:
+    """XXH64 (seed 42) of each of a text's shingles, A-Z lower-cased; empty without words."""
     words = text.lower().split()
     if not words:
-        return [0] * n_parts
+        return np.empty(0, np.uint64)
     joined = b" ".join(words)
     n = max(1, len(words) - words_per_shingle + 1)
     lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
     ends = np.cumsum(lengths)
     first, last = (ends - lengths)[:n].tolist(), (ends[-n:] - 1).tolist()
+    return np.fromiter((xxhash.xxh64_intdigest(joined[a:b], 42) for a, b in zip(first, last)), np.uint64, n)
+
+
+def fingerprint(text: bytes, words_per_shingle: int, n_parts: int = 1) -> list[int]:
+    """SimHash of a text's shingles, A-Z lower-cased, in parts of 64 bits; all 0 without words.
+
+    The first part is that of the shingles' XXH64 (seed 42); the others are those of hashes mixed from it. With several
+    parts a repeated shingle counts once, as in a Jaccard similarity.
+    """
+    every = shingle_hashes(text, words_per_shingle)
+    if n_parts > 1:
+        every = np.unique(every)
+    n = len(every)
+    if not n:
+        return [0] * n_parts
     ones = np.zeros((n_parts, 64), np.int64)
     for at in range(0, n, _STEP):
-        hashes = np.fromiter((xxhash.xxh64_intdigest(joined[a:b], 42) for a, b in zip(first[at:at + _STEP], last[at:at + _STEP])), np.uint64)
+        hashes = every[at:at + _STEP]
         for part in range(n_parts):
             if part:
                 hashes = (hashes ^ (hashes >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
@@ -124,11 +138,8 @@ def _tree(weight: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.n
     return starts, at_leaf, homes, np.bincount(at_leaf, weights=weight[values], minlength=leaf).astype(np.int64)
 
 
-def plant(fps: DataFrame, probe_bits: int) -> Forest:
-    """Trees for the blocks of all parts of the distinct fingerprints, from the counts of at most 65,536 values a block.
-
-    Of two parts at ``probe_bits`` or fewer bits, some block differs in at most a quarter of them: the radius.
-    """
+def plant(fps: DataFrame, radius: int) -> Forest:
+    """Trees for the blocks of all parts of the distinct fingerprints, from the counts of at most 65,536 values a block."""
     trees = []
     for part in [c for c in fps.columns if c.startswith("part")]:  # one part at a time: at most 262,144 counts are here
         blocks = F.explode(F.array(*[F.struct(F.lit(b).alias("block"), F.shiftright(part, b * _BLOCK_BITS).bitwiseAND((1 << _BLOCK_BITS) - 1).cast("int").alias("value"))
@@ -138,7 +149,7 @@ def plant(fps: DataFrame, probe_bits: int) -> Forest:
         for b in range(_BLOCKS):
             weight = np.zeros(1 << _BLOCK_BITS, np.int64)
             weight[value[block == b]] = count[block == b]
-            trees.append(_tree(weight, probe_bits // _BLOCKS))
+            trees.append(_tree(weight, radius))
     return Forest(*map(list, zip(*trees)))
 
 
@@ -168,16 +179,20 @@ def _links(base: np.ndarray, asking: np.ndarray, part: int, probe_bits: int, max
     return (np.concatenate([np.array(asked, int), n + np.arange(len(base))]), np.concatenate([n + np.array(answer, int), n + group]))
 
 
-def link(fps: DataFrame, probe_bits: int, max_bits: int) -> DataFrame:
+def link(fps: DataFrame, probe_bits: int, max_bits: int, radius: int | None = None) -> DataFrame:
     """(a, b): links between the distinct fingerprints (``node``, parts) that make the same components as all links.
 
     Two link at ``probe_bits`` or fewer in some part and ``max_bits`` or fewer in all. Every fingerprint goes to its home
     leaf in each tree and, as a question, to the leaves its ball reaches into. Leaves that are too large for one task are
     cut on both sides, and every piece meets every other.
+
+    Of two parts at ``probe_bits`` or fewer bits, some block differs in at most a quarter of them, the ``radius`` if none
+    is given. With a smaller one two link only if some block of the four of some part differs in so many bits at most, or
+    if they share a leaf.
     """
     parts = [c for c in fps.columns if c.startswith("part")]
     context = fps.sparkSession.sparkContext
-    shared = context.broadcast(plant(fps, probe_bits))  # four arrays of at most 65,536 values' leaves for each block
+    shared = context.broadcast(plant(fps, probe_bits // _BLOCKS if radius is None else radius))  # four arrays of at most 65,536 values' leaves for each block
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = shared.value
@@ -226,19 +241,82 @@ def link(fps: DataFrame, probe_bits: int, max_bits: int) -> DataFrame:
     return sent.groupBy("block", "leaf", "base", "ask").applyInPandas(meet, "a long, b long").distinct()
 
 
-def classes(marked: DataFrame, probe_bits: int, max_bits: int) -> DataFrame:
+def _alike(sets: list[np.ndarray], fps: np.ndarray, side: np.ndarray, max_bits: int, least: float) -> list[tuple[int, int]]:
+    """Pairs at a Jaccard similarity of ``least`` or more that make the same components as all such pairs would.
+
+    ``fps`` has a row of parts for each set. If ``side`` has two values only pairs across them are looked at. Those at
+    more than ``max_bits`` and those whose sizes or components decide the matter are not compared.
+    """
+    sizes, group, crossing = np.array([len(s) for s in sets]), np.arange(len(sets)), len(np.unique(side)) > 1
+    found = []
+    for i in range(1, len(sets)):
+        small, large = np.minimum(sizes[:i], sizes[i]), np.maximum(sizes[:i], sizes[i])
+        maybe = (np.bitwise_count(fps[:i] ^ fps[i]).sum(axis=1, dtype=np.int64) <= max_bits) & (small >= least * large)
+        if crossing:
+            maybe &= side[:i] != side[i]
+        for j in np.flatnonzero(maybe).tolist():
+            if group[i] == group[j]:
+                continue
+            both = np.concatenate([sets[i], sets[j]])
+            both.sort(kind="stable")
+            shared = int(np.count_nonzero(both[1:] == both[:-1]))
+            if shared >= least * (len(both) - shared):
+                group[group == group[j]] = group[i]
+                found.append((i, j))
+    return found
+
+
+def confirmed(links: DataFrame, fps: DataFrame, docs: DataFrame, text_col: str, words_per_shingle: int, max_bits: int, least: float) -> DataFrame:
+    """(a, b): links that make the components of all pairs of texts at a Jaccard similarity of ``least`` or more within those of ``links``.
+
+    ``fps`` has a row (``node``, ``n``, parts) for each distinct text. The texts of a component are compared in one task
+    if they are few; else they are cut into pieces, and every piece meets every other. Small components share tasks.
+    """
+    parts = [c for c in fps.columns if c.startswith("part")]
+    near = stage(fps.select("node", "n", *parts).join(components(links, "simhash-near"), "node"), "simhash-candidates")
+    rows = docs.select(F.xxhash64(text_col).alias("node"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    texts = stage(join_unique(rows, near, "node", "n", near.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], "inner").drop("n").dropDuplicates(["node"])
+                  .withColumn("bytes", F.octet_length("text").cast("long")), "simhash-texts")
+    total, whole = texts.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    pieces = F.greatest(F.ceil(F.col("members") / _PIECE), F.ceil(F.col("size") / _PIECE_BYTES), F.lit(1)).cast("int")
+    loads = texts.groupBy("root").agg(F.count("*").alias("members"), F.sum("bytes").alias("size")).withColumn("pieces", pieces)
+    bundles = max(1, -(-total // _PIECE), -(-whole // _PIECE_BYTES))
+    mine = F.pmod(F.xxhash64("node", F.lit(1)), F.col("pieces")).cast("int")
+    bundle = F.when(F.col("pieces") == 1, F.pmod(F.xxhash64("root", F.lit(2)), F.lit(bundles))).otherwise(F.col("root"))
+    sent = (join_unique(texts, loads, "root", "members", total, "inner").withColumn("piece", mine).withColumn("bundle", bundle)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+            .select("bundle", F.least("piece", "other").alias("low"), F.greatest("piece", "other").alias("high"), "root", "node", "piece", "text", *parts))
+
+    def compare(table: pa.Table) -> pa.Table:
+        root, node, piece = (table.column(c).to_numpy() for c in ("root", "node", "piece"))
+        fp = np.stack([table.column(c).to_numpy() for c in parts], axis=1).view(np.uint64)
+        order = np.lexsort((node, root))
+        sets = [np.unique(shingle_hashes(t.as_buffer().to_pybytes(), words_per_shingle)) for t in table.column("text")]
+        a, b = [], []
+        for rows in np.split(order, np.flatnonzero(np.diff(root[order])) + 1):
+            for i, j in _alike([sets[r] for r in rows], fp[rows], piece[rows], max_bits, least):
+                a.append(node[rows[i]])
+                b.append(node[rows[j]])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return sent.groupBy("bundle", "low", "high").applyInArrow(compare, "a long, b long").distinct()
+
+
+def classes(marked: DataFrame, probe_bits: int, max_bits: int, radius: int | None = None, confirm: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> DataFrame:
     """``marked`` (id, version, parts) with ``component_id`` and ``keeper_version``: the smallest id in reach, and a text of it.
 
-    Rows whose fingerprints are equal are one node, so a group of copies of any size costs one row. Ids that are null come
+    Rows whose fingerprints are equal are one node, so a group of copies of any size costs one row; with ``confirm``, which
+    maps the links and the fingerprints to the links that hold, it is rows whose texts are equal. Ids that are null come
     after all others; a component of null ids has a null component_id.
     """
     parts = [c for c in marked.columns if c.startswith("part")]
-    node = F.col(parts[0]) if len(parts) == 1 else F.xxhash64(*parts)
+    node = F.col("version") if confirm else F.col(parts[0]) if len(parts) == 1 else F.xxhash64(*parts)
     marked = stage(marked.withColumn("node", node), "simhash-rows")
     total = marked.count()
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "version")).alias("first")
     fps = stage(marked.groupBy("node", *parts).agg(F.count("*").alias("n"), first), "simhash-fps")
-    found = stage(components(link(fps, probe_bits, max_bits), "simhash-links"), "simhash-components")
+    links = link(fps, probe_bits, max_bits, radius)
+    found = stage(components(confirm(links, fps) if confirm else links, "simhash-links"), "simhash-components")
     grouped = stage(fps.select("node", "n", "first").join(found, "node", "left").select("node", "n", "first", F.coalesce("root", "node").alias("root")), "simhash-roots")
     heads = grouped.groupBy("root").agg(F.count("*").alias("members"), F.min("first").alias("head"))
     named = stage(join_unique(grouped.select("root", "node", "n"), heads, "root", "members", grouped.count(), "inner")
@@ -247,17 +325,21 @@ def classes(marked: DataFrame, probe_bits: int, max_bits: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 5, n_parts: int = 4,
-                    probe_bits: int = 7, max_bits: int = 38) -> DataFrame:
+                    probe_bits: int = 15, max_bits: int = 56, radius: int | None = 1, least: float = 0.8) -> DataFrame:
     """id, version, parts, component_id and keeper_version for every row of ``docs``.
 
-    By default fingerprints of five-word shingles have four parts, 256 bits; two texts link if they differ in 38 bits or
-    fewer, which is where a Jaccard similarity of 0.8 is expected, and in 7 or fewer of some part. One part and 4 bits
-    are the classic form.
+    By default two texts link if the sets of their five-word shingles have a Jaccard similarity of ``least`` or more. The
+    fingerprints, four parts of 64 bits, only find the candidates: pairs at 56 bits or fewer, where 38.8 are expected at
+    0.8, with a block of 16 bits that differs in one bit at most. One part and 4 bits are the classic form, which the
+    bits alone decide.
 
     Texts without words, null ones included, have fingerprint zero and are linked like any other. Repeated rows stay
     repeated. An empty table gives an empty one. Only the two named columns are read.
     """
-    return classes(fingerprints(docs, id_col, text_col, words_per_shingle, n_parts), probe_bits, max_bits)
+    marked = fingerprints(docs, id_col, text_col, words_per_shingle, n_parts)
+    if n_parts == 1:
+        return classes(marked, probe_bits, max_bits)
+    return classes(marked, probe_bits, max_bits, radius, lambda links, fps: confirmed(links, fps, docs, text_col, words_per_shingle, max_bits, least))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:

@@ -129,3 +129,37 @@ def test_keep_one_of_repeated_rows(spark):
     rows = [(1, "a b c d e f", "x"), (1, "a b c d e f", "x"), (1, "A b c d e f", "y"), (None, None, "z"), (None, "", "z"), (None, None, "z"), (2, "q", "x")]
     kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, __note string")).collect()
     assert sorted((r.doc_id or 0) for r in kept) == [0, 1, 2]
+
+
+def pairs_at(rng, n_pairs, low, high):
+    """Pairs of texts whose five-word shingle sets have a similarity within [low, high)."""
+    out = []
+    while len(out) < n_pairs:
+        words = rng.integers(0, 10**6, int(rng.integers(40, 300))).astype(str)
+        other = words.copy()
+        while (j := (lambda a, b: len(a & b) / len(a | b))(shingles(" ".join(words)), shingles(" ".join(other)))) >= high:
+            other[rng.integers(0, len(words))] = str(rng.integers(10**6, 10**7))
+        if j >= low:
+            out.append((" ".join(words), " ".join(other)))
+    return out
+
+
+@pytest.mark.parametrize("piece", [1024, 8])
+def test_the_line_is_at_a_similarity_of_eight_tenths(spark, monkeypatch, piece):
+    """Pairs just above 0.8 are linked, pairs below it never; also when candidate groups are cut into pieces."""
+    monkeypatch.setattr(simhash, "_PIECE", piece)
+    rng = np.random.default_rng(3)
+    above, below = pairs_at(rng, 400, 0.8, 0.85), pairs_at(rng, 400, 0.7, 0.8)
+    words = rng.integers(0, 10**6, 200).astype(str)
+    group = [" ".join([*words[:-k - 1], *(f"{k}x{i}" for i in range(k + 1))]) for k in range(30)]  # neighbours alike, ends not
+    texts = [t for p in above + below for t in p] + group
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    component = {r.id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    joined = [component[2 * i] == component[2 * i + 1] for i in range(800)]
+    print("recall at 0.80-0.85:", np.mean(joined[:400]))
+    assert np.mean(joined[:400]) >= 0.985 and not any(joined[400:])
+    sets = [shingles(t) for t in group]
+    near = {(i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i in range(30) for j in range(i)}
+    want = plain_components_by(near, range(30), 0.8)
+    got = [component[1600 + i] for i in range(30)]
+    assert all((got[i] == got[j]) == (want[i] == want[j]) for i in range(30) for j in range(i))
