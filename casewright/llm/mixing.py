@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from casewright.llm.common import join_unique, nullable_key, numbered
@@ -55,13 +57,15 @@ def _rate(tilt: Column, size: Column, mean: Column, most: int) -> Column:
     return F.least(F.exp(F.least(tilt * size / mean, F.lit(50.0))), F.lit(float(most)))
 
 
-def tilts(sizes: DataFrame, aims: DataFrame, most: int = 2, most_rounds: int = 60) -> DataFrame:
+def tilts(sizes: DataFrame, aims: DataFrame, most: int = 2, most_rounds: int = 200) -> DataFrame:
     """source_key, source_size, n_docs, target, tilt and mean: the solution of the convex dual, one multiplier per source.
 
     The rates nearest to 1 in relative entropy whose words sum to the targets, none above ``most``, are e^(tilt * size /
-    mean). The tilt of a source is a zero of an increasing function: the sum of size * rate, less the target. All sources
-    take a Newton step together in each round, over the counts of equal (source, size); a step that leaves the bracket of
-    the root is replaced by its middle. A tilt is null for a source that takes everything ``most`` times.
+    mean). The tilt of a source is a zero of an increasing function: the logarithm of the sum of size * rate, less that of
+    the target. All sources take a Newton step together in each round, over the counts of equal (source, size), until
+    none is open. A step that leaves the bracket of the root is replaced by its middle; while an end of the bracket is not
+    known, steps up, and those without a slope, are bounded by a span that doubles. Raises if a source stays open. A tilt
+    is null for a source that takes everything ``most`` times.
     """
     counts = stage(sizes.filter("size > 0").groupBy("source_key", "size").agg(F.count("*").alias("n")), "mix-histogram")
     total = counts.count()
@@ -69,7 +73,8 @@ def tilts(sizes: DataFrame, aims: DataFrame, most: int = 2, most_rounds: int = 6
     state = stage(aims.join(per_source, "source_key", "left").withColumn("n_sizes", F.coalesce("n_sizes", F.lit(0)))
                   .withColumn("mean", F.col("source_size") / F.greatest(F.col("n_docs"), F.lit(1)))
                   .withColumn("open", (F.col("source_size") > 0) & (F.col("target") < most * F.col("source_size")))
-                  .withColumn("tilt", F.when(F.col("open"), F.lit(0.0))).withColumn("low", F.lit(-1e4)).withColumn("high", F.lit(1e4)), "mix-state")
+                  .withColumn("tilt", F.when(F.col("open"), F.lit(0.0)))
+                  .withColumn("low", F.lit(-math.inf)).withColumn("high", F.lit(math.inf)), "mix-state")
     for k in range(most_rounds):
         rate = _rate(F.col("tilt"), F.col("size"), F.col("mean"), most)
         words = F.col("n") * F.col("size") * rate
@@ -77,19 +82,23 @@ def tilts(sizes: DataFrame, aims: DataFrame, most: int = 2, most_rounds: int = 6
         whole = lambda x: F.sum(F.round(x * 1024).cast("decimal(28,0)"))  # noqa: E731  (whole numbers add up the same in any order)
         sums = (join_unique(counts, state.filter("open").select("source_key", "tilt", "mean", "n_sizes"), "source_key", "n_sizes", total, "inner")
                 .groupBy("source_key").agg(whole(words).alias("words"), whole(slope).alias("slope")))
-        gap = F.col("words").cast("double") / 1024 - F.col("target")
-        step = F.col("tilt") - gap / (F.col("slope").cast("double") / 1024)
+        reached, slope = (F.col(c).cast("double") / 1024 for c in ("words", "slope"))
+        gap = reached - F.col("target")
         low, high = F.when(gap < 0, F.col("tilt")).otherwise(F.col("low")), F.when(gap > 0, F.col("tilt")).otherwise(F.col("high"))
-        # Beyond the bracket, or too far for the exponential to be near its tangent, a bounded step is taken instead.
-        bounded = F.greatest(F.least(step, F.col("tilt") + 2), F.col("tilt") - 2)
-        after = F.when((F.col("slope") > 0) & (bounded > low) & (bounded < high), bounded).otherwise((low + high) / 2)
-        done = (F.abs(gap) <= F.lit(0.25)) | (high - low < 1e-13)
+        # Below 0 no rate is cut, so the logarithm is convex and a step down does not pass the root; a step up may go too far.
+        span = F.lit(2.0 ** (k + 1))
+        bounded = F.least(F.col("tilt") - F.log(reached / F.col("target")) * F.try_divide(reached, slope), F.col("tilt") + span)
+        after = (F.when((F.col("words") > 0) & (F.col("slope") > 0) & (bounded > low) & (bounded < high), bounded)
+                 .when(low == -math.inf, F.col("tilt") - span).when(high == math.inf, F.col("tilt") + span).otherwise((low + high) / 2))
+        done = (F.abs(gap) <= F.lit(0.25)) | (high - low < 1e-13 * F.greatest(F.abs(F.col("tilt")), F.lit(1.0)))
         state = stage(state.join(sums, "source_key", "left").select(
             "source_key", "source_size", "n_docs", "n_sizes", "target", "mean", (F.col("open") & ~F.coalesce(done, F.lit(True))).alias("open"),
             F.when(F.col("open") & ~done, after).otherwise(F.col("tilt")).alias("tilt"),
             F.when(F.col("open"), low).otherwise(F.col("low")).alias("low"), F.when(F.col("open"), high).otherwise(F.col("high")).alias("high")), f"mix-state-{k}")
         if state.filter("open").isEmpty():
             break
+    else:
+        raise RuntimeError("the tilts did not settle")
     return state.select("source_key", "source_size", "n_docs", "target", "tilt", "mean")
 
 

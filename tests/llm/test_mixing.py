@@ -89,3 +89,16 @@ def test_small_tables(spark, rows):
     got = mixing.mix(frame).collect()
     assert len(got) == len(rows)
     assert sum(r.taken for r in got) in {0: [0], 1: [0], 3: [8, 10]}[len(rows)]
+
+
+@pytest.mark.parametrize("counts, target", [({20: 90_000, 20_000: 10_000}, 0.0005 * 201_800_000), ({1: 10_000, 10_000_000: 100}, 5.0), ({20: 90_000, 20_000: 10_000}, 1.99999 * 201_800_000)])
+def test_far_tilts_are_solved(spark, counts, target):
+    """Sources with many short and some very long texts, whose targets need tilts far from 0."""
+    sizes = spark.createDataFrame([(s, n) for s, n in counts.items()], "size long, n int").selectExpr("'=s' AS source_key", "size", "explode(sequence(1, n))").drop("col")
+    size, n_docs = sum(s * n for s, n in counts.items()), sum(counts.values())
+    aims = spark.createDataFrame([("=s", size, n_docs, target)], "source_key string, source_size long, n_docs long, target double")
+    row = mixing.tilts(sizes, aims).first()
+    words = sum(n * s * min(math.exp(min(row.tilt * s / row.mean, 50)), 2) for s, n in counts.items())
+    assert abs(words - target) <= 0.5
+    with pytest.raises(RuntimeError):
+        mixing.tilts(sizes, aims, most_rounds=1)
