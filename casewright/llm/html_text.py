@@ -20,19 +20,25 @@ _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"
 _RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that are no part of the running text.
-_ASIDE = frozenset("head nav footer aside form button select option svg noscript template dialog menu canvas object video audio map".split())
+_ASIDE = frozenset("head nav footer aside button select option svg noscript template dialog menu canvas object video audio map".split())
 _MAIN = frozenset("article main".split())
 #: Elements that end the block before them and start one.
 _BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3
     h4 h5 h6 head header hgroup hr html li main menu nav ol option p pre search section summary table tbody td tfoot th thead tr ul""".split())
 #: Elements that a next one of the same kind ends.
 _SIBLING = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
-_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
+_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 #: Words in a class or an id that tell a part that is not the article.
 _PARTS = frozenset("""ad ads adv advert adverts advertisement advertising adsense adsbygoogle sponsor sponsored sponsors promo promos promotion banner
     nav navbar navigation menu menus submenu breadcrumb breadcrumbs pagination pager footer footnav masthead topbar toolbar header sidebar sidebars aside
     widget widgets related recommended recommendations share sharing social comment comments commentlist discussion disqus respond reply replies
-    cookie cookies consent gdpr notice notices alert alerts popup modal overlay newsletter subscribe subscription signup login search form""".split())
+    cookie cookies consent gdpr notice notices alert alerts popup modal overlay newsletter subscribe subscription signup login search""".split())
+
+#: Words that may stand beside them in such a name; any other word makes it the name of something else ("no-sidebar", "has-header").
+_PLACES = frozenset("""site main left right top bottom primary secondary first second inner outer global mobile desktop sticky area list box block wrap
+    wrapper container section bar slot unit item items links link button buttons col column row panel inline text""".split())
+#: Words for the text itself: with them a header is that of the text.
+_TEXTS = frozenset("post entry article".split())
 
 #: Those that also tell an article element that is not the article.
 _COMMENTS = frozenset("comment comments reply replies".split())
@@ -40,16 +46,28 @@ _COMMENTS = frozenset("comment comments reply replies".split())
 #: Lines summed together, characters of text that make a sum high, and of all text that must be links for a line to be a list of links.
 WINDOW, HIGH = 3, 60
 _LINKS = 0.7
+#: The share of a page's text that an article must hold to be the page's, and that forms must hold to be no forms.
+_WHOLE_ARTICLE, _WHOLE_FORM = 0.25, 0.5
 
 
 @dataclass
 class Line:
-    """A block's text, how much of it is in links, whether it is a part beside the text, and whether it is in an article."""
+    """A block's text, how much of it is in links, whether it is a part beside the text, in an article and in a form."""
 
     pieces: list[str] = field(default_factory=list)
     linked: int = 0
     beside: bool = False
     main: bool = False
+    form: bool = False
+
+
+def _names_part(name: str, parts: frozenset[str]) -> bool:
+    """Whether a class or an id as a whole is the name of such a part, like "site-header" and "ad-box2"."""
+    words = {w.rstrip("0123456789") for w in re.split(r"[^a-z0-9]+", name)} - {""}
+    found = words & parts
+    if not found or words - _PARTS - _PLACES - _TEXTS:
+        return False
+    return found != {"header"} or words.isdisjoint(_TEXTS)
 
 
 def _is_beside(name: str, attributes: str, in_main: bool) -> bool:
@@ -60,7 +78,7 @@ def _is_beside(name: str, attributes: str, in_main: bool) -> bool:
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
         if key in ("class", "id") and name not in ("html", "body", "main"):
-            if not (_COMMENTS if name == "article" else _PARTS).isdisjoint(re.split(r"[^a-z0-9]+", value)):
+            if any(_names_part(x, _COMMENTS if name == "article" else _PARTS) for x in value.split()):
                 return True
         elif key == "role" and value in _ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
             return True
@@ -72,7 +90,7 @@ def _is_beside(name: str, attributes: str, in_main: bool) -> bool:
 def lines_of(html: str) -> list[Line]:
     """The page's blocks as lines, markup stripped; text beside the article is marked, scripts and styles are gone."""
     lines, line = [], Line()
-    open_: list[tuple[str, bool, bool]] = []  # name, beside, main
+    open_: list[tuple[str, bool, bool]] = []  # name, beside, main; a form is told by its name
     links, at, end = 0, 0, len(html)
 
     def close_line() -> None:
@@ -80,7 +98,7 @@ def lines_of(html: str) -> list[Line]:
         if line.pieces:
             lines.append(line)
         beside = any(x[1] for x in open_)
-        line = Line(beside=beside, main=any(x[2] for x in open_))
+        line = Line(beside=beside, main=any(x[2] for x in open_), form=any(x[0] == "form" for x in open_))
 
     def take(text: str) -> None:
         if text:
@@ -143,30 +161,31 @@ def _clean(line: Line) -> str:
 
 
 def main_text(html: str) -> str:
-    """The lines between each surge and the dive after it.
+    """The lines of the stretches of text, each from its first line to its last.
 
-    A line's length counts only if it is not beside the text, not mostly links, and, on a page with an article or main
-    element, inside it. Where the sum over a window of lines rises to ``HIGH`` the text begins (surge), where it falls
-    below it ends (dive); inside an article any text is high. Of several stretches those stay that hold at least a
-    tenth of the longest one's text; in an article all do.
+    A line's length counts only if it is not beside the text, not mostly links, and, on a page whose article or main
+    element holds a quarter of that text or more, inside it. Forms are beside the text unless they hold half of it. A
+    stretch ends where the sum over a window of lines is 0 (dive). Those stay in which some sum reaches ``HIGH`` (surge),
+    or the highest sum of the page if none does; those with text of an article always do.
     """
     lines = [(line, text) for line in lines_of(html) if (text := _clean(line))]
-    inside = any(line.main and not line.beside for line, _ in lines)
-    weights = [0 if line.beside or (inside and not line.main) or line.linked > _LINKS * len(text) and not line.main else len(text) for line, text in lines]
-    high = 1 if inside else HIGH
+    weights = [0 if line.beside or line.linked > _LINKS * len(text) and not line.main else len(text) for line, text in lines]
+    in_forms = sum(w for (line, _), w in zip(lines, weights) if line.form)
+    if in_forms < _WHOLE_FORM * sum(weights):
+        weights = [0 if line.form else w for (line, _), w in zip(lines, weights)]
+    in_main = sum(w for (line, _), w in zip(lines, weights) if line.main)
+    if in_main and in_main >= _WHOLE_ARTICLE * sum(weights):
+        weights = [w if line.main else 0 for (line, _), w in zip(lines, weights)]
     sums = [sum(weights[i:i + WINDOW]) for i in range(len(weights))]
-    if not inside and sums and max(sums) < high:
-        high = max(max(sums), 1)
-    stretches, start = [], None
-    for i, total in enumerate([*sums, 0]):
-        if start is None and total >= high:
-            start = i
-        elif start is not None and total < high:
-            stretches.append((start, i))
-            start = None
-    texts = [[text for (_, text), w in zip(lines[a:b], weights[a:b]) if w] for a, b in stretches]
-    sizes = [sum(map(len, t)) for t in texts]
-    return "\n".join(x for t, n in zip(texts, sizes) if inside or 10 * n >= max(sizes) for x in t)
+    high = max(1, min(HIGH, max(sums, default=0)))
+    stretches, last = [], -WINDOW - 1
+    for i in [i for i, w in enumerate(weights) if w]:
+        if i - last > WINDOW:
+            stretches.append([])
+        stretches[-1].append(i)
+        last = i
+    kept = [s for s in stretches if any(sums[i] >= high or lines[i][0].main for i in s)]
+    return "\n".join(lines[i][1] for s in kept for i in s)
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:

@@ -74,3 +74,27 @@ def test_broken_and_empty_pages(spark):
     assert texts[4] == "cut of" and texts[5] == "open" and texts[7] == "fine &am" and texts[9] == "quoted" and texts[10] == "x" and texts[11] == "deep"
     assert len(texts[12]) == 499_999
     assert html_text.extract(spark.createDataFrame([], "page_id long, html string")).count() == 0
+
+
+def test_short_sections_and_closing_lines_stay():
+    adverts = "<div class='ad'>Buy now</div>" * 4
+    page = f"<body>{f'<p>{LONG * 5}</p>' * 4}<p>One.</p><p>Two.</p><p>Three.</p><p>The end.</p>{adverts}<p>{LONG}</p>{adverts}<div><a href=x>{LONG}</a></div></body>"
+    assert html_text.main_text(page).splitlines() == [(LONG * 5).strip()] * 4 + ["One.", "Two.", "Three.", "The end.", LONG.strip()]
+
+
+def test_a_teaser_is_not_the_article():
+    page = f"<body><div>{f'<p>{LONG}</p>' * 8}</div><article class='teaser'><p>Read this too.</p></article></body>"
+    assert html_text.main_text(page).splitlines() == [LONG.strip()] * 8 + ["Read this too."]
+
+
+def test_a_form_around_the_page_and_names_of_states():
+    body = f"<p>{LONG}</p>" * 3
+    text = [LONG.strip()] * 3
+    for name in ("aspnetForm", "form1"):
+        assert html_text.main_text(f"<body><form id='{name}'><input>{body}</form></body>").splitlines() == text
+    assert html_text.main_text(f"<body>{body}<form><p>Your name, please, and all of your address in full in this line</p></form></body>").splitlines() == text
+    for name in ("no-sidebar", "has-header", "content with-sidebar", "search-results", "post-content no-comments"):
+        assert html_text.main_text(f"<body><div class='{name}'>{body}</div></body>").splitlines() == text, name
+    assert html_text.main_text(f"<body><div class='entry-header'><h1>Title</h1></div>{body}</body>").splitlines() == ["Title", *text]
+    for name in ("sidebar", "x site-header", "ad-box2", "post-comments", "cookie-notice"):
+        assert html_text.main_text(f"<body>{body}<div class='{name}'>{LONG}</div></body>").splitlines() == text, name
