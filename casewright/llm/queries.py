@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casewright.llm import ann, html_text, line_dedup, mixing, packing, quality, secrets, simhash, substring_dedup, url_filter
+from casewright.llm import ann, html_text, line_dedup, mixing, packing, prefix_trie, quality, secrets, simhash, substring_dedup, url_filter
 from casewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +168,10 @@ def op9_simhash(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def op10_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     return secrets.scan(table(spark, d, "documents")).select(F.col("id").alias("doc_id"), "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+# ---- 11: conversation prefix trie (no SQL: DuckDB has no CRC-32) ---------------------------------
+
+@query()
+def op11_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, d, "conversations"))
