@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casewright.llm import ann, html_text, line_dedup, mixing, packing, prefix_trie, quality, secrets, simhash, substring_dedup, url_filter
+from casewright.llm import ann, html_text, line_dedup, mixing, packing, prefix_trie, quality, scaled_sketch, secrets, simhash, substring_dedup, url_filter
 from casewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -175,3 +175,10 @@ def op10_secret_scan(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def op11_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, d, "conversations"))
+
+
+# ---- 12: document fingerprints (no SQL: DuckDB has no seeded XXH64) ------------------------------
+
+@query()
+def op12_document_fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    return scaled_sketch.edited_and_next(table(spark, d, "documents")).withColumnRenamed("id", "doc_id")
