@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casewright.llm import ann, html_text, line_dedup, mixing, packing, prefix_trie, quality, scaled_sketch, secrets, simhash, substring_dedup, url_filter
+from casewright.llm import ann, html_text, line_dedup, mixing, packing, prefix_trie, quality, scaled_sketch, secrets, simhash, substring_dedup, url_filter, whitening
 from casewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -182,3 +182,10 @@ def op11_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def op12_document_fingerprints(spark: SparkSession, d: str) -> DataFrame:
     return scaled_sketch.edited_and_next(table(spark, d, "documents")).withColumnRenamed("id", "doc_id")
+
+
+# ---- 13: embedding whitening (no SQL: it needs eigenvectors) -------------------------------------
+
+@query()
+def op13_embedding_whitening(spark: SparkSession, d: str) -> DataFrame:
+    return whitening.whiten(table(spark, d, "embeddings")).withColumnRenamed("id", "vec_id")

@@ -1,0 +1,111 @@
+"""Whitened coordinates against a plain eigendecomposition, and the solver against known spectra."""
+
+import math
+from collections import defaultdict
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from casewright.llm import whitening
+from casewright.llm.queries import QUERIES
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def usable(v):
+    return v is not None and len(v) > 0 and all(c is not None and math.isfinite(c) for c in v)
+
+
+def check(rows, got, most=16, simple=True):
+    """rows: (id, vector); got: rows of the operator. ``simple``: all eigenvalues differ, so each direction is compared."""
+    kept = [(i, tuple(math.floor(64 * float(c)) + 1_000_000 for c in v)) for i, v in rows if usable(v)]
+    fit = sorted({x for _, x in kept})
+    n, sums = len(fit), [sum(c) for c in zip(*fit)]
+    centred = np.array([[float(Fraction(n * c - s, n)) for c, s in zip(x, sums)] for x in fit])
+    values, vectors = np.linalg.eigh(centred.T @ centred / n)
+    values, vectors = values[::-1], vectors[:, ::-1]
+    k = min(most, int((values > 1e-12 * values[0]).sum()) if values[0] > 0 else 0)
+    assert len(got) == k * len(kept)
+    by = defaultdict(dict)
+    deviations, per_row = defaultdict(list), defaultdict(list)
+    for i, x in kept:
+        deviations[i].append(sum((n * c - s) ** 2 for c, s in zip(x, sums)))
+        per_row[i].append(x)
+    for r in got:
+        assert r.n == n and abs(r.explained / (values[r.component - 1] / values.sum()) - 1) < 1e-9 and r.identity_error < 1e-9
+        by[r.id].setdefault(r.component, []).append((r.deviation, r.whitened))
+    where = {x: j for j, x in enumerate(fit)}
+    plain = centred @ vectors[:, :k] / np.sqrt(values[:k])
+    signs = {}
+    for i, comps in by.items():
+        assert sorted(comps) == list(range(1, k + 1))
+        for c, found in comps.items():
+            assert sorted(d for d, _ in found) == sorted(d if d < 2**63 else None for d in deviations[i])
+            if simple and len(per_row[i]) == 1:
+                expected = plain[where[per_row[i][0]], c - 1]
+                if abs(expected) > 1e-6:
+                    assert signs.setdefault(c, np.sign(found[0][1] * expected)) == np.sign(found[0][1] * expected)
+                assert abs(abs(found[0][1]) - abs(expected)) < 1e-7 * (1 + abs(expected))
+    # The squared length over all components does not depend on which directions span equal eigenvalues.
+    if k == int((values > 1e-12 * values[0]).sum()):
+        for i, comps in by.items():
+            if len(per_row[i]) == 1:
+                assert math.isclose(sum(f[0][1] ** 2 for f in comps.values()), float((plain[where[per_row[i][0]]] ** 2).sum()), rel_tol=1e-7, abs_tol=1e-9)
+
+
+def test_query(spark, sf):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    check(rows, QUERIES["op13_embedding_whitening"](spark, sf).withColumnRenamed("vec_id", "id").collect())
+
+
+def test_copies_and_odd_rows(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(c) for c in rng.normal(size=5) * [3, 2, 1, 0.5, 9]]) for i in range(300)]
+    rows += [(1000 + i, rows[0][1]) for i in range(200)] + [(7, rows[1][1]), (7, rows[1][1]), (None, rows[2][1])]
+    rows += [(2000, None), (2001, [1.0, None, 2.0, 3.0, 4.0]), (2002, [1.0, float("nan"), 2.0, 3.0, 4.0]), (2003, [float("inf")] * 5), (2004, [])]
+    check(rows, whitening.whiten(spark.createDataFrame(rows, SCHEMA).repartition(37)).collect())
+
+
+def test_few_and_equal_rows(spark):
+    whiten = lambda rows: whitening.whiten(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert whiten([]) == [] and whiten([(1, None)]) == []
+    assert whiten([(1, [1.0, 2.0])]) == [] and whiten([(i, [1.0, 2.0]) for i in range(9)]) == []
+    check([(1, [0.0, 0.0]), (2, [1.0, 1.0])], whiten([(1, [0.0, 0.0]), (2, [1.0, 1.0])]))
+    corners = [(i, [float(i == j) for j in range(6)]) for i in range(6)]  # five equal eigenvalues
+    check(corners, whiten(corners), simple=False)
+    with pytest.raises(ValueError):
+        whiten([(1, [1.0]), (2, [1.0, 2.0])])
+
+
+def test_large_entries_and_clashing_names(spark):
+    rows = [(1, [1e30, 0.0]), (2, [-1e30, 1.0]), (3, [0.5, 2.0]), (4, [1e12, 1.0])]
+    got = whitening.whiten(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.id for r in got} == {1, 2, 3, 4} and all(math.isfinite(r.whitened) for r in got)
+    assert {r.id for r in got if r.deviation is None} >= {1, 2}
+    middle = [(i, [float(i * 100), float(i % 3)]) for i in range(40)]
+    check(middle, whitening.whiten(spark.createDataFrame(middle, SCHEMA)).collect())
+    wide = spark.createDataFrame([(i, [float(i), float(i * i % 7)], 5, "q", 1.0) for i in range(20)], SCHEMA + ", n int, x string, whitened double")
+    check([(i, [float(i), float(i * i % 7)]) for i in range(20)], whitening.whiten(wide).collect())
+
+
+def test_solver_on_known_spectra():
+    rng = np.random.default_rng(2)
+    turn = lambda d: np.linalg.qr(rng.normal(size=(d, d)))[0]
+    for spectrum in [np.r_[[5.0] * 20, [1.0] * 30, [1e-3] * 14], np.r_[1 + 1e-9 * np.arange(32), np.linspace(0.1, 0.9, 32)], np.linspace(1, 2, 64),
+                     np.r_[[2.0] * 3, 0, 0]]:
+        d = len(spectrum)
+        matrix = turn(d) @ np.diag(spectrum) @ turn(d)
+        squares, vectors, total = whitening.principal(matrix, d)
+        expected = np.sort(spectrum[spectrum > 0] ** 2)[::-1]
+        assert np.allclose(squares, expected, rtol=1e-8, atol=0) and math.isclose(total, (spectrum**2).sum(), rel_tol=1e-12)
+        assert np.abs(vectors.T @ vectors - np.eye(len(squares))).max() < 1e-11
+        assert np.abs(matrix.T @ (matrix @ vectors) - vectors * squares).max() < 1e-11 * expected[0]
+
+
+def test_small_values_are_accurate():
+    """Squares of a graded bidiagonal matrix, whose product is that of its diagonal."""
+    diagonal, above = 10.0 ** -np.arange(12), 0.5 * 10.0 ** -np.arange(11)
+    squares = whitening.dqds(diagonal, above)
+    assert math.isclose(float(np.log(squares).sum()), float(2 * np.log(diagonal).sum()), rel_tol=1e-14)
+    assert np.allclose(whitening.dqds(diagonal[::-1], above[::-1]), squares, rtol=1e-13)
