@@ -100,31 +100,42 @@ def distinct_vectors(index: DataFrame, most: int) -> DataFrame:
     return listed.select(F.col("ids")[0].alias("vector_id"), "embedding", "ids")
 
 
-def _compare(asked: DataFrame, filed: DataFrame, plan: HashPlan, k: int) -> DataFrame:
-    """The k best vectors of each (query, table, bucket, block), with exact distances."""
+def _compare(asked: DataFrame, filed: DataFrame, n_vectors: int, plan: HashPlan, k: int) -> DataFrame:
+    """The k best vectors of each (query, bucket, block), with exact distances.
+
+    Small buckets of a table go to a task together, as many as make about ``block_rows`` vectors.
+    """
     place = ["table", "bucket"]
+    packs = math.ceil(n_vectors / plan.block_rows)
     loads = (filed.groupBy(*place).agg(F.count(F.lit(1)).alias("__rows"))
              .join(asked.groupBy(*place).agg(F.count(F.lit(1)).alias("__asked")), place)
              .select(*place, F.ceil(F.col("__rows") / plan.block_rows).cast("int").alias("__blocks"),
-                     F.ceil(F.col("__asked") / plan.chunk_rows).cast("int").alias("__chunks")))
+                     F.ceil(F.col("__asked") / plan.chunk_rows).cast("int").alias("__chunks"))
+             .withColumn("__pack", F.when((F.col("__blocks") > 1) | (F.col("__chunks") > 1), -1 - F.col("bucket")).otherwise(F.pmod("bucket", F.lit(packs)))))
     loads = small_side(loads)
     left = asked.join(loads, place).withColumn("chunk", F.pmod(F.xxhash64("query_vector"), F.col("__chunks")).cast("int")).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1))).drop("__blocks", "__chunks")
+        "block", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1))).withColumn("pack", F.col("__pack")).drop("__blocks", "__chunks", "__pack")
     right = filed.join(loads, place).withColumn("block", F.pmod(F.xxhash64("vector_id"), F.col("__blocks")).cast("int")).withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0), F.col("__chunks") - 1))).drop("__blocks", "__chunks")
+        "chunk", F.explode(F.sequence(F.lit(0), F.col("__chunks") - 1))).withColumn("pack", F.col("__pack")).drop("__blocks", "__chunks", "__pack")
 
     def search(asking: pa.Table, block: pa.Table) -> pa.Table:
         parts = {"query_vector": [], "vector_id": [], "distance": []}
         if asking.num_rows and block.num_rows:
-            number = asking["query_vector"].to_numpy()
-            for row, near, distance in vectors._nearest(vectors._matrix(asking["embedding"]), vectors._matrix(block["embedding"]),
-                                                        block["vector_id"].to_numpy(), k, None):
-                for name, values in zip(parts, (number[row], near, distance)):
-                    parts[name].append(values)
+            number, vector_id = asking["query_vector"].to_numpy(), block["vector_id"].to_numpy()
+            questions, matrix = vectors._matrix(asking["embedding"]), vectors._matrix(block["embedding"])
+            here, there = asking["bucket"].to_numpy(), block["bucket"].to_numpy()
+            by_question, by_row = np.argsort(here, kind="stable"), np.argsort(there, kind="stable")
+            here, there = here[by_question], there[by_row]
+            for bucket in np.intersect1d(here, there):
+                q = by_question[np.searchsorted(here, bucket):np.searchsorted(here, bucket, "right")]
+                r = by_row[np.searchsorted(there, bucket):np.searchsorted(there, bucket, "right")]
+                for row, near, distance in vectors._nearest(questions[q], matrix[r], vector_id[r], k, None):
+                    for name, values in zip(parts, (number[q[row]], near, distance)):
+                        parts[name].append(values)
         types = {"query_vector": pa.int64(), "vector_id": pa.int64(), "distance": pa.float64()}
         return pa.table({n: pa.array(np.concatenate(v) if v else [], types[n]) for n, v in parts.items()})
 
-    keys = [*place, "block", "chunk"]
+    keys = ["table", "pack", "block", "chunk"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, _FOUND)
 
 
@@ -160,7 +171,7 @@ def knn_hashed(
     asked = stage(_filed(questions, plan, dims, plan.probes), "hashed-asked")
     filed = stage(_filed(stored.drop("ids"), plan, dims, 1), "hashed-filed")
 
-    met = _compare(asked, filed, plan, need).distinct()
+    met = _compare(asked, filed, n_vectors, plan, need).distinct()
     order = W.partitionBy("query_vector").orderBy("distance", "vector_id")
     nearest = met.withColumn("__n", F.row_number().over(order)).filter(F.col("__n") <= need)
     # The expanded rows of the nearest vectors, at most need * need a query, in (distance, id) order.
