@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from casewright import fixed_values as fv
 from casewright.functions import answers, models, prompts, rules
 from casewright.operators import joins, metrics
+from casewright.operators.identity import with_row_key
 from casewright.operators.vectors import with_snippets
-from casewright.session import stage
+from casewright.session import fresh_path, stage
 from casewright.sources import readers, writers
 from casewright.sources.columns import resolve_gold_col, resolve_pred_col
 
@@ -86,6 +87,7 @@ def classify_rag(
 
     ``tickets`` has the key, clean_text and embedding; an ``embedding_error``
     column marks tickets that could not be embedded, which get the placeholders.
+    A ``row_key`` is kept.
     """
     canonicalize = rules.canonicalize_complaint_rag if mode == "rag" else rules.canonicalize_complaint_infer
     prompted = fewshot_prompts(tickets, index, k, mode, key, exclude_self, **search_options)
@@ -103,8 +105,33 @@ def classify_rag(
     columns = answers.error_placeholder(columns, F.col("error"))
     return read.select(
         F.col(key).alias("ticket_id"), F.coalesce("clean_text", F.lit("")).alias("input_text"),
-        *[column.alias(name) for name, column in columns.items()], "raw_response", "error",
-    ).select(*PREDICTION_COLUMNS)
+        *[column.alias(name) for name, column in columns.items()], "raw_response", "error", *_row_key(tickets),
+    ).select(*PREDICTION_COLUMNS, *_row_key(tickets))
+
+
+def _row_key(df: DataFrame) -> list[str]:
+    return ["row_key"] if "row_key" in df.columns else []
+
+
+def _known(spark: SparkSession, partial_path: str, keyed: DataFrame) -> DataFrame:
+    """All partial rows with their ``row_key``. Those written without one belong to the rows that have their ticket id."""
+    rows = readers.read_partials(spark, partial_path, latest=False)
+    by_id = rows.filter(F.col("row_key").isNull()).drop("row_key").join(keyed.select("ticket_id", "row_key"), "ticket_id")
+    return rows.filter(F.col("row_key").isNotNull()).unionByName(by_id)
+
+
+def _enrich_pending(keyed: DataFrame, partial_path: str, classify: Callable[[DataFrame], DataFrame], slices: int) -> None:
+    spark = keyed.sparkSession
+    pending = joins.resume_anti_join(keyed, _known(spark, partial_path, keyed), "row_key")
+    if slices == 1:
+        writers.write_partial(classify(pending), partial_path)
+        return
+    path = fresh_path(spark, "pending-slices")
+    pending.withColumn("__slice", F.pmod(F.xxhash64("row_key"), F.lit(slices))).write.partitionBy("__slice").parquet(path)
+    for number in range(slices):
+        part = spark.read.schema(pending.schema).parquet(path + f"/__slice={number}") if readers.exists(spark, f"{path}/__slice={number}") else None
+        if part is not None:
+            writers.write_partial(classify(part), partial_path)
 
 
 def enrich_pending(
@@ -112,26 +139,21 @@ def enrich_pending(
 ) -> None:
     """Classify the tickets that have no finished row below ``partial_path`` yet; append the results.
 
-    Finished work is anti-joined away before any model call. With several slices,
-    each is a job of its own whose results outlast a later failure; every slice
-    scans the tickets again, so for very many batches use the stream.
+    Each row has a key of its own (``with_row_key``), which ``classify`` must keep as ``row_key``: rows whose ticket ids are
+    equal or null get an answer each. Finished work is anti-joined away before any model call. With several slices,
+    each is a job of its own whose results outlast a later failure; what is pending is worked out once.
     """
-    spark = tickets.sparkSession
-    for number in range(slices):
-        done = readers.read_partials(spark, partial_path, latest=False)
-        pending = joins.resume_anti_join(tickets, done)
-        if slices > 1:
-            pending = pending.filter(F.pmod(F.xxhash64("ticket_id"), F.lit(slices)) == number)
-        writers.write_partial(classify(pending), partial_path)
+    _enrich_pending(stage(with_row_key(tickets), "keyed-tickets"), partial_path, classify, slices)
 
 
 def enrich_tickets(
     tickets: DataFrame, partial_path: str, classify: Callable[[DataFrame], DataFrame], slices: int = 1,
 ) -> DataFrame:
-    """Resume, classify, and join everything finished so far back to the tickets."""
-    enrich_pending(tickets, partial_path, classify, slices)
-    predictions = readers.read_partials(tickets.sparkSession, partial_path).drop("written_at")
-    return joins.enrich_join(tickets.drop("embedding", "embedding_error"), predictions)
+    """Resume, classify, and join everything finished so far back to the tickets, row by row."""
+    keyed = stage(with_row_key(tickets), "keyed-tickets")
+    _enrich_pending(keyed, partial_path, classify, slices)
+    predictions = joins.latest_by_key(_known(tickets.sparkSession, partial_path, keyed), "row_key").drop("written_at", "ticket_id")
+    return joins.enrich_join(keyed.drop("embedding", "embedding_error"), predictions, "row_key").drop("row_key")
 
 
 def calibrate(enriched: DataFrame) -> DataFrame:

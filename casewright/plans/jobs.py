@@ -164,8 +164,9 @@ def enrich_job(
 
     enriched = flows.enrich_tickets(tickets, f"{out_dir}/partial", classify, slices)
     writers.write_parquet_csv(enriched, f"{out_dir}/tickets_enriched.parquet", f"{out_dir}/tickets_enriched.csv")
-    done = readers.read_partials(spark, f"{out_dir}/partial").select("ticket_id")
-    writers.write_metrics(metrics.inference_summary(tickets, done), f"{out_dir}/inference_summary")
+    done, unreadable = readers.checked_partials(spark, f"{out_dir}/partial", key="row_key")
+    writers.write_metrics(metrics.inference_summary(tickets, done.select("row_key")), f"{out_dir}/inference_summary")
+    writers.write_metrics(unreadable, f"{out_dir}/quarantine")
 
 
 def evaluate_job(spark: SparkSession, labels_csv: str, runs: dict[str, str], out_dir: str) -> None:

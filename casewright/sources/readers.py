@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from casewright import fixed_values as fv
@@ -21,6 +24,7 @@ PREDICTION_SCHEMA = T.StructType([
     T.StructField("root_cause_pred", T.StringType()),
     T.StructField("raw_response", T.StringType()),
     T.StructField("error", T.StringType()),
+    T.StructField("row_key", T.StringType()),
     T.StructField("written_at", T.TimestampType()),
 ])
 
@@ -86,23 +90,83 @@ def read_vector_index(spark: SparkSession, path: str) -> DataFrame:
     return index
 
 
-def read_partials(
-    spark: SparkSession, path: str, schema: T.StructType | None = PREDICTION_SCHEMA, key: str = "ticket_id",
-    latest: bool = True,
-) -> DataFrame:
-    """All checkpoint files below ``path``: unreadable ones are skipped (their rows are done again).
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a path, sorted; none if it is not there."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in system.listStatus(hadoop_path)) if system.exists(hadoop_path) else []
 
-    A fixed schema fills columns that some files lack with null and spares the
-    merging of footers; pass ``schema=None`` to merge. No path gives no rows.
-    """
-    reader = spark.read.option("ignoreCorruptFiles", True).option("recursiveFileLookup", True)
-    if not exists(spark, path):
-        return empty_result(spark, schema or PREDICTION_SCHEMA)
+
+#: Conditions under which a file is not a readable parquet file. Anything else is raised.
+_UNREADABLE = ("CANNOT_READ_FILE_FOOTER", "FAILED_READ_FILE", "UNABLE_TO_INFER_SCHEMA")
+
+
+def _own_schema(spark: SparkSession, path: str) -> tuple[str, T.StructType | None, str | None]:
     try:
-        parts = reader.schema(schema).parquet(path) if schema else reader.option("mergeSchema", True).parquet(path)
-    except AnalysisException:  # a folder without a single readable file
-        return empty_result(spark, schema or PREDICTION_SCHEMA)
-    return latest_by_key(parts, key) if latest else parts
+        return path, spark.read.parquet(path).schema, None
+    except (PySparkException, Py4JJavaError) as failure:
+        why = next((line for line in str(failure).split("\n") if any(name in line for name in _UNREADABLE)), None)
+        if why is None:
+            raise
+        return path, None, why[why.index("["):][:300] if "[" in why else why[:300]
+
+
+def partial_files(spark: SparkSession, path: str, threads: int = 16) -> tuple[dict[str, list[str]], list[tuple[str, str]]]:
+    """(files by their own schema as JSON, unreadable files with the reason) below ``path``.
+
+    Listing and footers only: a few bytes a file come to the driver, and files are looked at side by side.
+    """
+    listed = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.parquet").load(path)
+    files = [r["path"] for r in listed.select("path").toLocalIterator()]
+    by_schema: dict[str, list[str]] = {}
+    unreadable = []
+    with ThreadPoolExecutor(threads) as pool:
+        for file, schema, reason in pool.map(lambda f: _own_schema(spark, f), sorted(files)):
+            if schema is None:
+                unreadable.append((file, reason))
+            else:
+                by_schema.setdefault(schema.json(), []).append(file)
+    return by_schema, unreadable
+
+
+def _common_schema(schemas: list[T.StructType]) -> T.StructType:
+    """Every column of any schema; a column whose type differs is a string."""
+    kinds: dict[str, set[str]] = {}
+    for schema in schemas:
+        for field in schema.fields:
+            kinds.setdefault(field.name, set()).add(field.dataType.json())
+    first = {f.name: f.dataType for schema in reversed(schemas) for f in schema.fields}
+    return T.StructType([T.StructField(n, first[n] if len(k) == 1 else T.StringType()) for n, k in kinds.items()])
+
+
+def checked_partials(
+    spark: SparkSession, path: str, schema: T.StructType | None = PREDICTION_SCHEMA, key: str = "ticket_id", latest: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """(rows of all readable checkpoint files below ``path``, quarantine table of the others: path, reason).
+
+    Columns and types may differ from file to file: files of one schema are read together and cast to ``schema`` (None: all
+    columns found; one whose types differ becomes a string). What a file lacks is null, as is a value that has no
+    counterpart in the wanted type, so no row is lost to a drifting type. Rows of quarantined files are simply done again.
+    """
+    by_schema, unreadable = partial_files(spark, path) if exists(spark, path) else ({}, [])
+    own = {text: T.StructType.fromJson(json.loads(text)) for text in by_schema}
+    wanted = schema or (_common_schema(list(own.values())) if own else PREDICTION_SCHEMA)
+    rows = empty_result(spark, wanted)
+    for text, files in by_schema.items():
+        have = {f.name: f.dataType for f in own[text].fields}
+        cast = [F.col(f.name) if have.get(f.name) == f.dataType else
+                (F.col(f.name).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in wanted.fields]
+        part = spark.read.schema(own[text]).parquet(*files).select(*cast)
+        rows = rows.unionByName(part)
+    quarantine = spark.createDataFrame(unreadable, "path string, reason string")
+    return (latest_by_key(rows, key) if latest else rows), quarantine
+
+
+def read_partials(
+    spark: SparkSession, path: str, schema: T.StructType | None = PREDICTION_SCHEMA, key: str = "ticket_id", latest: bool = True,
+) -> DataFrame:
+    """The rows of ``checked_partials``."""
+    return checked_partials(spark, path, schema, key, latest)[0]
 
 
 def empty_result(spark: SparkSession, schema: T.StructType = PREDICTION_SCHEMA) -> DataFrame:

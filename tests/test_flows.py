@@ -219,3 +219,94 @@ def test_staged_tables_go_to_the_named_folder(spark):
     staged = session.stage(spark.range(3), "x")
     assert staged.count() == 3
     assert all(session.shared_dir(spark).removeprefix("file:") in f for f in staged.inputFiles())
+
+
+# ---- row identity, drifting partials, dead letters ----------------------------------------------------
+
+
+def test_row_keys_are_unique_and_repeatable(spark):
+    from casewright.operators.identity import with_row_key
+    rows = [(1, "a")] * 25 + [(1, "b"), (None, "a"), (None, None), (None, ""), (2, None)] + [(None, None)] * 6
+    df = spark.createDataFrame(rows, "ticket_id bigint, clean_text string")
+    keyed = with_row_key(df.repartition(7), copies_per_task=4)
+    keys = sorted(r.row_key for r in keyed.collect())
+    assert len(set(keys)) == len(rows) == keyed.count()
+    assert sorted(map(str, keyed.drop("row_key").collect())) == sorted(map(str, df.collect()))
+    assert keys == sorted(r.row_key for r in with_row_key(df.orderBy("clean_text").withColumn("embedding", F.lit(1.0))).collect())
+    assert with_row_key(df.limit(0)).collect() == []
+
+
+def test_enrichment_answers_each_row_once(spark, index, tmp_path):
+    """Equal and null ticket ids, equal rows, a resume after a failure; old partials without a row key still count."""
+    path, calls = str(tmp_path / "partials"), str(tmp_path / "calls")
+    rows = [(1, "i was charged twice"), (1, "cannot login"), (None, "parcel not received"), (None, "app is slow"), (None, "app is slow"), (4, "hello")]
+    tickets = vectors.hashed_embedding(spark.createDataFrame(rows, "ticket_id bigint, clean_text string"), "clean_text")
+
+    def flaky(fail):
+        def classify(pending):
+            pending.select("row_key", "clean_text").write.mode("append").parquet(calls)
+
+            def responder(prompts):
+                return [RuntimeError("down") if fail and "slow" in p.rsplit("```", 2)[1] else r for p, r in zip(prompts, keyword_call_responder(prompts))]
+
+            return flows.classify_rag(pending, index, responder, k=2, mode="full")
+        return classify
+
+    writers.write_partial(spark.createDataFrame([(4, "Old", "hello")], "ticket_id bigint, complaint_pred string, input_text string"), path)
+    first = flows.enrich_tickets(tickets, path, flaky(True), slices=2)
+    assert sorted(r.pred_complaint_type for r in first.collect()) == ["Billing", "Delivery", "Login", "Old", "Other", "Other"]
+    again = flows.enrich_tickets(tickets, path, flaky(False))
+    got = sorted((str(r.ticket_id), r.clean_text, r.pred_complaint_type) for r in again.collect())
+    assert got == sorted([("1", "i was charged twice", "Billing"), ("1", "cannot login", "Login"), ("None", "parcel not received", "Delivery"),
+                          ("None", "app is slow", "Performance"), ("None", "app is slow", "Performance"), ("4", "hello", "Old")])
+    counts = {r.clean_text: r["count"] for r in spark.read.parquet(calls).groupBy("clean_text").count().collect()}
+    assert counts == {"i was charged twice": 1, "cannot login": 1, "parcel not received": 1, "app is slow": 4}
+
+
+def test_partials_of_other_types_keep_their_rows(spark, tmp_path):
+    path = str(tmp_path / "p")
+    writers.write_partial(spark.createDataFrame([(1, "Login")], "ticket_id bigint, complaint_pred string"), path + "/a")
+    writers.write_partial(spark.createDataFrame([("2", "Billing"), ("T-3", "Other")], "ticket_id string, complaint_pred string"), path + "/b")
+    writers.write_partial(spark.createDataFrame([(4, 7, "x")], "ticket_id int, complaint_pred int, more string"), path + "/c")
+    (tmp_path / "p" / "part-broken.parquet").write_bytes(b"PAR1 nothing useful PAR1")
+    (tmp_path / "p" / "part-short.parquet").write_bytes(b"PAR1")
+    rows, quarantine = readers.checked_partials(spark, path, latest=False)
+    assert sorted((str(r.ticket_id), r.complaint_pred) for r in rows.collect()) == [("1", "Login"), ("2", "Billing"), ("4", "7"), ("None", "Other")]
+    assert sorted(r.path.rsplit("/", 1)[1] for r in quarantine.collect()) == ["part-broken.parquet", "part-short.parquet"]
+    assert all(r.reason for r in quarantine.collect())
+    merged = readers.read_partials(spark, path, schema=None, latest=False)
+    assert sorted(r.ticket_id for r in merged.collect()) == ["1", "2", "4", "T-3"] and "more" in merged.columns
+    assert readers.checked_partials(spark, str(tmp_path / "none"))[0].count() == 0
+
+
+def test_stream_retries_dead_letters(spark, tmp_path):
+    from casewright.streaming.resume import dead_letters
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = "ticket_id bigint, clean_text string"
+    struct = spark.createDataFrame([], schema).schema
+    down = {"app is slow", "hello"}
+
+    def classify(rows):
+        def responder(prompts):
+            return [RuntimeError("down") if any(d in p for d in down) else '{"complaint_type": "X"}' for p in prompts]
+
+        return flows.classify_zero_shot(rows, "{text}", responder)
+
+    def run(rows, most=5):
+        if rows:
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        resume_incremental(spark, source, struct, out, state, classify, 2, most).awaitTermination()
+        done = sorted((str(r.ticket_id), r.clean_text) for r in spark.read.parquet(out).collect())
+        letters = sorted((r.clean_text, r["__attempts"], r["__error"]) for r in dead_letters(spark, out, struct).collect())
+        return done, letters
+
+    assert run([(1, "app is slow"), (2, "fine"), (None, "app is slow")]) == (
+        [("2", "fine")], [("app is slow", 1, "down"), ("app is slow", 1, "down")])
+    done, letters = run([(1, "app is slow"), (5, "ok")])  # the old letters are tried at the start and with the new files
+    assert done == [("2", "fine"), ("5", "ok")] and len(letters) == 3 and max(n for _, n, _ in letters) == 3
+    down.discard("app is slow")
+    done, letters = run([])  # nothing new: the letters alone
+    assert done == [("1", "app is slow"), ("1", "app is slow"), ("2", "fine"), ("5", "ok"), ("None", "app is slow")] and letters == []
+    assert run([(9, "hello")], most=2)[1] == [("hello", 1, "down")]
+    assert run([], most=2)[1] == [("hello", 2, "down")] == run([], most=2)[1]
+    assert "batch" in spark.read.parquet(out).columns

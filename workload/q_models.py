@@ -6,14 +6,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casewright import fixed_values as fv
-from casewright.functions import rules
-from casewright.functions.models import keyword_call_responder, keyword_text_responder
+from casewright.functions import models, rules
+from casewright.functions.models import keyword_call_responder, keyword_text_responder, vote_call_responder
 from casewright.functions.text import strip
 from casewright.operators import baseline, labels, metrics, vectors
 from casewright.plans import flows
 from casewright.session import fresh_path, stage
 from casewright.sources import readers
-from casewright.streaming.resume import resume_incremental as run_stream
+from casewright.streaming.resume import dead_letters, resume_incremental as run_stream
 from workload import roles
 from workload.q_labels import FOLDS_SQL
 from workload.registry import query
@@ -109,6 +109,117 @@ def resume_incremental(spark: SparkSession, d: str) -> DataFrame:
     return out.groupBy("ticket_id", "complaint_type_pred", "severity_pred").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+_PROMPT_CHARS = len(fv.ZERO_SHOT_TEMPLATE) - len("{text}") * fv.ZERO_SHOT_TEMPLATE.count("{text}")
+_SENT_SQL = f"({_PROMPT_CHARS} + {fv.ZERO_SHOT_TEMPLATE.count('{text}')} * length(clean_text))"
+
+
+@query(f"""SELECT ticket_id, complaint AS complaint_type_pred, CAST(1 AS BIGINT) AS n_rows, {_SENT_SQL} % 7 = 3 AS was_dead,
+    CAST(0 AS BIGINT) AS still_dead FROM (SELECT ticket_id, clean_text, {_ANSWER_SQL} FROM {roles.TICKETS_SQL})""")
+def resume_dead_letters(spark: SparkSession, d: str) -> DataFrame:
+    """Calls that fail in the first run succeed in the second, which finds no new files."""
+    base = fresh_path(spark, "stream-dead")
+    tickets = roles.tickets(spark, d)
+
+    def run(responder) -> None:
+        def classify(rows: DataFrame) -> DataFrame:
+            return flows.classify_zero_shot(rows, fv.ZERO_SHOT_TEMPLATE, responder)
+
+        run_stream(spark, f"{base}/tickets", tickets.schema, f"{base}/out", f"{base}/checkpoint", classify).awaitTermination()
+
+    tickets.write.parquet(f"{base}/tickets")
+    run(lambda ps: [RuntimeError("over quota") if len(p) % 7 == 3 else a for p, a in zip(ps, keyword_text_responder(ps))])
+    dead = dead_letters(spark, f"{base}/out", tickets.schema).select("ticket_id", F.lit(True).alias("was_dead"))
+    run(keyword_text_responder)
+    left = dead_letters(spark, f"{base}/out", tickets.schema).count()
+    out = spark.read.parquet(f"{base}/out").groupBy("ticket_id", "complaint_type_pred").agg(F.count(F.lit(1)).alias("n_rows"))
+    return out.join(dead, "ticket_id", "left").select(
+        "ticket_id", "complaint_type_pred", "n_rows", F.coalesce("was_dead", F.lit(False)).alias("was_dead"), F.lit(left).cast("long").alias("still_dead"))
+
+
+_SHARED_IDS_SQL = f"""(SELECT CASE WHEN ticket_id % 3 > 0 THEN ticket_id % 50 END AS ticket_id, clean_text FROM {roles.PHRASE_TICKETS_SQL})"""
+
+
+@query(f"""SELECT ticket_id, clean_text, {roles.infer_sql('complaint')} AS pred_complaint_type, count(*) AS n_rows, count(*) AS n_answers
+  FROM (SELECT ticket_id, clean_text, {_ANSWER_SQL} FROM {_SHARED_IDS_SQL}) GROUP BY ALL""")
+def enrich_row_identity(spark: SparkSession, d: str) -> DataFrame:
+    """Many rows share an id, a third have none, many are equal; some calls fail in the first run. Each row is answered once."""
+    path = fresh_path(spark, "identity-partials")
+    number = F.col("ticket_id")
+    tickets = roles.phrase_tickets(spark, d).select(F.when(number % 3 > 0, number % 50).alias("ticket_id"), "clean_text")
+    index = _labelled_index(spark, d)
+
+    def classify_with(responder):
+        def classify(pending: DataFrame) -> DataFrame:
+            return flows.classify_rag(_embedded(pending), index, responder, k=2, mode="cheap", exclude_self=False)
+        return classify
+
+    def flaky(prompts: list[str]) -> list:
+        return [RuntimeError("down") if len(p) % 5 == 0 else a for p, a in zip(prompts, keyword_call_responder(prompts))]
+
+    flows.enrich_pending(tickets, path, classify_with(flaky), slices=2)
+    enriched = flows.enrich_tickets(tickets, path, classify_with(keyword_call_responder))
+    answered = readers.read_partials(spark, path, latest=False).filter(F.col("error").isNull()).groupBy(
+        F.col("ticket_id").alias("id"), F.col("input_text").alias("text")).agg(F.count(F.lit(1)).alias("n_answers"))
+    rows = enriched.groupBy("ticket_id", "clean_text", "pred_complaint_type").agg(F.count(F.lit(1)).alias("n_rows"))
+    return rows.join(answered, F.col("ticket_id").eqNullSafe(F.col("id")) & (F.col("clean_text") == F.col("text"))).drop("id", "text")
+
+
+def _vote_sql(k: int) -> str:
+    return f"""SELECT {k} AS k, query_id AS ticket_id, arg_max(label, struct_pack(w := weight, r := -nearest)) AS complaint_pred_raw
+      FROM (SELECT n.query_id, i.label_complaint_type AS label, round(sum(1.0::DOUBLE / n.rank), 9) AS weight, min(n.rank) AS nearest
+            FROM {roles.knn_sql(k)} n JOIN {roles.INDEX_SQL} i ON i.row_index = n.neighbor_id GROUP BY ALL) GROUP BY query_id"""
+
+
+@query(f"{_vote_sql(1)} UNION ALL {_vote_sql(5)}")
+def classify_rag_vote(spark: SparkSession, d: str) -> DataFrame:
+    """Answers that follow from the retrieved examples: another k gives other rows."""
+    index = roles.vector_index(spark, d)
+    tickets = index.select(F.col("row_index").alias("ticket_id"), "embedding", F.col("text").alias("clean_text"))
+    parts = [flows.classify_rag(tickets, index, vote_call_responder, k=k).select(F.lit(k).alias("k"), "ticket_id", "complaint_pred_raw") for k in (1, 5)]
+    return parts[0].unionByName(parts[1])
+
+
+@query(f"""SELECT ticket_id, complaint_pred_raw AS pred_complaint_raw, CAST(1 AS BIGINT) AS n_answers FROM ({_vote_sql(3)})""")
+def enrich_tickets_vote(spark: SparkSession, d: str) -> DataFrame:
+    """Resumable enrichment whose answers follow from the examples: a first run over some tickets, then over all."""
+    path = fresh_path(spark, "vote-partials")
+    index = stage(roles.vector_index(spark, d), "vote-index")
+    tickets = index.select(F.col("row_index").alias("ticket_id"), "embedding", F.col("text").alias("clean_text"))
+
+    def classify(pending: DataFrame) -> DataFrame:
+        return flows.classify_rag(pending, index, vote_call_responder, k=3)
+
+    flows.enrich_pending(tickets.filter(F.length("clean_text") % 2 == 0), path, classify)
+    enriched = flows.enrich_tickets(tickets, path, classify)
+    answers = readers.read_partials(spark, path, latest=False).groupBy("ticket_id").agg(F.count(F.lit(1)).alias("n_answers"))
+    return enriched.join(answers, "ticket_id").select("ticket_id", "pred_complaint_raw", "n_answers")
+
+
+_BAD_TEXT = "length(text) % 97 = 5"
+
+
+@query(f"""SELECT doc_id, {_BAD_TEXT} AS failed, CASE WHEN NOT {_BAD_TEXT} THEN CAST(length(text) AS DOUBLE) END AS first_value,
+    true AS batches_full FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)""")
+def embed_batches(spark: SparkSession, d: str) -> DataFrame:
+    """An embedder that refuses some texts: each costs its own row, and calls are of 50 texts but for the halving."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def embedder(texts: list[str]) -> list:
+        calls.add(1)
+        if any(len(t) % 97 == 5 for t in texts):
+            raise ValueError("refused")
+        return [[float(len(t)), 0.0] for t in texts]
+
+    docs = roles.table(spark, d, "documents").select("doc_id", "text").withColumn("part", F.spark_partition_id())
+    found = stage(docs.withColumn("e", models.embed(F.col("text"), embedder)).select("doc_id", "part", "e"), "embed-batches")
+    plain, refused = 0, found.filter("e.error is not null").count()
+    for row in found.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / 50).alias("n")).toLocalIterator():  # one row a partition
+        plain += row["n"]
+    full = plain <= calls.value <= plain + 12 * refused
+    return found.select("doc_id", F.col("e.error").isNotNull().alias("failed"), F.col("e.vector")[0].cast("double").alias("first_value"),
+                        F.lit(full).alias("batches_full"))
+
+
 # ---- baseline -----------------------------------------------------------------------------------
 
 _GRAMS_SQL = rf"""(SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: concat(w[i], ' ', w[i + 1])))) AS term

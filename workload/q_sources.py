@@ -97,6 +97,33 @@ def write_partial(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("ticket_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count("error").alias("n_errors"))
 
 
+def _break_file(spark: SparkSession, path: str) -> None:
+    """A file that has a parquet name and no parquet in it, wherever the shared folder is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    stream.write(bytearray(b"PAR1 cut off"))
+    stream.close()
+
+
+@query(f"""SELECT 'row' AS kind, CASE WHEN ticket_id % 3 = 1 AND ticket_id % 2 = 1 THEN NULL ELSE ticket_id END AS ticket_id, pred_raw AS complaint_pred,
+    CAST(ticket_id AS VARCHAR) AS input_text FROM {roles.PHRASE_TICKETS_SQL}
+  UNION ALL SELECT 'quarantined', NULL, NULL, 'part-broken.parquet'""")
+def read_partials_drift(spark: SparkSession, d: str) -> DataFrame:
+    """Batches with ids as long, string and int, some of them no numbers, and a broken file: all rows stay, the file is listed."""
+    path = fresh_path(spark, "partials-drift")
+    number = F.col("ticket_id")
+    rows = roles.phrase_tickets(spark, d).select("ticket_id", F.col("pred_raw").alias("complaint_pred"), number.cast("string").alias("input_text"))
+    text_id = F.when(number % 2 == 1, F.concat(F.lit("T-"), number)).otherwise(number.cast("string"))
+    writers.write_partial(rows.filter(number % 3 == 0), f"{path}/first")
+    writers.write_partial(rows.filter(number % 3 == 1).withColumn("ticket_id", text_id), f"{path}/second")
+    writers.write_partial(rows.filter(number % 3 == 2).withColumn("ticket_id", number.cast("int")), f"{path}/third")
+    _break_file(spark, f"{path}/second/part-broken.parquet")
+    found, quarantine = readers.checked_partials(spark, path, latest=False)
+    listed = quarantine.select(F.lit("quarantined").alias("kind"), F.lit(None).cast("long").alias("ticket_id"), F.lit(None).cast("string").alias("complaint_pred"),
+                               F.element_at(F.split("path", "/"), -1).alias("input_text"))
+    return found.select(F.lit("row").alias("kind"), "ticket_id", "complaint_pred", "input_text").unionByName(listed)
+
+
 def _mapping_values() -> str:
     return ", ".join(
         f"({roles.text_sql(domain.removesuffix('_mapping'))}, {roles.text_sql(v)}, {roles.text_sql(c)})"
