@@ -36,7 +36,6 @@ class _Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
         self._known: dict[str, bytes] = {}
         #: Ids whose token starts with a space.
         self._spaced = np.array([(self._tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(self._tokenizer.get_vocab_size())])

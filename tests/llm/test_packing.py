@@ -16,9 +16,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(PATH)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(PATH)
 
 
 def check(docs, got, tokenizer, most_padding):
@@ -61,6 +59,16 @@ def test_encoder_cuts_where_the_tokenizer_does(texts):
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([" ", "  ", "\n", "a", "b.", "<|endoftext|>", "<|end", "oftext|>", "\t"]), max_size=14))
+def test_special_token_in_a_text(parts):
+    """Its literal form is the token, as in the tokenizer's plain call."""
+    text = "".join(parts)
+    encoder, plain = packing._encoder(PATH), Tokenizer.from_file(PATH)
+    assert np.frombuffer(encoder([text])[0], "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert plain.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 5000), max_size=64))
 def test_plan_holds_the_histogram(histogram):

@@ -85,7 +85,6 @@ def test_mixing(steps):
 
 def test_packing(steps):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     rows = steps["packing"]
     # Copies of a document are told apart by the order of their sequences.
     number, copies = {}, collections.Counter()
