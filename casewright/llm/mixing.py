@@ -129,14 +129,24 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def repeat(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
-    """Every row of ``docs`` as often as the mix takes it, with its columns. Rows alike in id and text are told apart by number."""
-    def nth(*keys: Column) -> Column:
-        return F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
-
-    taken = (mix(docs, id_col, text_col, source_col, **how).withColumn("__nth", nth(F.col("id"), F.col("version"), F.col("source_key")))
-             .select(F.col("id").alias("__id"), F.col("version").alias("__version"), F.col("source_key").alias("__source"), "__nth", F.col("copies").cast("int").alias("__copies")))
-    keyed = (docs.withColumn("__v", F.xxhash64(text_col)).withColumn("__s", nullable_key(F.col(source_col)))
-             .withColumn("__n", nth(F.col(id_col), F.col("__v"), F.col("__s"))))
-    joined = keyed.join(taken.filter("__copies > 0"), F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__v") == F.col("__version"))
-                        & (F.col("__s") == F.col("__source")) & (F.col("__n") == F.col("__nth")))
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    """Every row of ``docs`` as often as the mix takes it, with its columns. Rows alike in id, text and source are told apart by
+    number; all others are joined to their copies directly, which shuffles the texts once. ``docs`` must not have columns whose
+    names begin with two underscores."""
+    key = ["__id", "__version", "__source"]
+    mixed = stage(mix(docs, id_col, text_col, source_col, **how).select(
+        F.col("id").alias("__id"), F.col("version").alias("__version"), F.col("source_key").alias("__source"), F.col("copies").cast("int").alias("__copies")), "mix-copies")
+    groups = mixed.groupBy(*key).agg(F.count("*").alias("__rows"), F.max("__copies").alias("__copies"))
+    keyed = docs.withColumn("__v", F.xxhash64(text_col)).withColumn("__s", nullable_key(F.col(source_col)))
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__v") == F.col("__version")) & (F.col("__s") == F.col("__source"))
+    copied = lambda joined: joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    single = copied(keyed.join(groups.filter("__rows = 1 AND __copies > 0").drop("__rows"), same))
+    alike = stage(groups.filter("__rows > 1").select(*key), "mix-alike")
+    if alike.isEmpty():
+        return single
+
+    def nth(*columns: str) -> Column:
+        return F.row_number().over(Window.partitionBy(*columns).orderBy(F.lit(0)))
+
+    taken = mixed.join(alike, [F.col(c).eqNullSafe(alike[c]) for c in key], "left_semi").withColumn("__nth", nth(*key)).filter("__copies > 0")
+    rows = keyed.join(alike, same, "left_semi").withColumn("__n", nth(id_col, "__v", "__s"))
+    return single.unionByName(copied(rows.join(taken, same & (F.col("__n") == F.col("__nth")))))
