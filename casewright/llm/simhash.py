@@ -11,15 +11,18 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from casewright.llm import bloom
 from casewright.llm.common import as_bytes, components, join_unique, slices
 from casewright.session import stage
 
 #: The 64 bits are cut into this many blocks, each with a tree of its own.
 _BLOCKS = 4
 _BLOCK_BITS = 16
-#: Fingerprints a leaf should hold, and the most on one side of one comparison.
-_LEAF = 4096
-_SIDE = 8192
+#: Fingerprints a leaf should hold, by the number of parts: every copy of a fingerprint of several parts is as wide as they are
+#: together, so larger leaves, which are visited less often, are worth the longer comparisons there.
+_LEAF = {1: 4096, 4: 16384}
+#: Most fingerprints on one side of one comparison.
+_SIDE = {1: 8192, 4: 32768}
 _STEP = 1 << 16
 #: Most texts and bytes of text of one piece of a group whose texts are compared exactly.
 _PIECE, _PIECE_BYTES = 1024, 4 << 20
@@ -62,6 +65,10 @@ def fingerprint(text: bytes, words_per_shingle: int, n_parts: int = 1) -> list[i
     return bits.view(np.uint64)[:, 0].tolist()
 
 
+def _sized(sizes: dict[int, int], n_parts: int) -> int:
+    return sizes[1] if n_parts == 1 else sizes[4]
+
+
 def _parts(n_parts: int) -> list[str]:
     return [f"part{i}" for i in range(n_parts)]
 
@@ -93,10 +100,10 @@ class Forest:
     visits: list[np.ndarray]
 
 
-def _tree(weight: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _tree(weight: np.ndarray, radius: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """A vantage-point tree over the values of one block, ``weight[v]`` = fingerprints with value v.
 
-    A node splits its values by their distance to a vantage point at the weighted median. A value also visits a branch
+    A node of more than ``most`` fingerprints splits its values by their distance to a vantage point at the weighted median. A value also visits a branch
     that is not its own when the triangle inequality leaves room there for a value within ``radius``.
     """
     present = np.flatnonzero(weight).astype(np.int32)
@@ -110,7 +117,7 @@ def _tree(weight: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.n
             continue
         total = weight[own].sum()
         split = None
-        if total > _LEAF and len(own) > 1:
+        if total > most and len(own) > 1:
             # Of a few candidates take the vantage point that halves the node best.
             for point in own[np.linspace(0, len(own) - 1, min(len(own), 5)).astype(int)]:
                 gaps = np.bitwise_count(own ^ point)
@@ -141,7 +148,9 @@ def _tree(weight: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.n
 def plant(fps: DataFrame, radius: int) -> Forest:
     """Trees for the blocks of all parts of the distinct fingerprints, from the counts of at most 65,536 values a block."""
     trees = []
-    for part in [c for c in fps.columns if c.startswith("part")]:  # one part at a time: at most 262,144 counts are here
+    parts = [c for c in fps.columns if c.startswith("part")]
+    most = _sized(_LEAF, len(parts))
+    for part in parts:  # one part at a time: at most 262,144 counts are here
         blocks = F.explode(F.array(*[F.struct(F.lit(b).alias("block"), F.shiftright(part, b * _BLOCK_BITS).bitwiseAND((1 << _BLOCK_BITS) - 1).cast("int").alias("value"))
                                      for b in range(_BLOCKS)]))
         counts = fps.select(blocks.alias("x")).groupBy("x.block", "x.value").count().toArrow()
@@ -149,7 +158,7 @@ def plant(fps: DataFrame, radius: int) -> Forest:
         for b in range(_BLOCKS):
             weight = np.zeros(1 << _BLOCK_BITS, np.int64)
             weight[value[block == b]] = count[block == b]
-            trees.append(_tree(weight, radius))
+            trees.append(_tree(weight, radius, most))
     return Forest(*map(list, zip(*trees)))
 
 
@@ -191,6 +200,7 @@ def link(fps: DataFrame, probe_bits: int, max_bits: int, radius: int | None = No
     if they share a leaf.
     """
     parts = [c for c in fps.columns if c.startswith("part")]
+    side = _sized(_SIDE, len(parts))
     context = fps.sparkSession.sparkContext
     shared = context.broadcast(plant(fps, probe_bits // _BLOCKS if radius is None else radius))  # four arrays of at most 65,536 values' leaves for each block
 
@@ -208,7 +218,7 @@ def link(fps: DataFrame, probe_bits: int, max_bits: int, radius: int | None = No
                 row = np.repeat(np.arange(len(node)), many)
                 nth = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
                 leaf = leaves[starts[value][row] + nth]
-                bases, askers = -(-forest.homes[b] // _SIDE), -(-forest.visits[b] // _SIDE)
+                bases, askers = -(-forest.homes[b] // side), -(-forest.visits[b] // side)
                 for asking in (False, True):
                     # A fingerprint is a base at home, and asks at home and where it visits; each copy meets all pieces of the other side.
                     chosen = slice(None) if asking else nth == 0
@@ -343,9 +353,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` with one row of every component: the first by id (nulls last), then by the hash of its text."""
+    """``docs`` with one row of every component: the first by id (nulls last), then by the hash of its text.
+
+    Only rows whose text is that of a row that goes are joined to the list of those that stay; a Bloom filter of these texts'
+    hashes lets all others through where they are. ``docs`` must not have columns named ``__v``, ``__id``, ``__version`` or ``__maybe``.
+    """
     found = near_duplicates(docs, id_col, text_col, **how)
-    keeps = (found.filter(F.col("id").eqNullSafe(F.col("component_id")) & F.col("version").eqNullSafe(F.col("keeper_version")))
-             .select(F.col("id").alias("__id"), F.col("version").alias("__version")).distinct())
-    kept = docs.withColumn("__v", F.xxhash64(text_col)).join(keeps, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__v") == F.col("__version")))
-    return kept.dropDuplicates(["__id", "__version"]).select(*docs.columns)
+    stays = F.col("id").eqNullSafe(F.col("component_id")) & F.col("version").eqNullSafe(F.col("keeper_version"))
+    judged = stage(found.select("id", "version", stays.alias("stays")).groupBy("id", "version", "stays").agg(F.count("*").alias("n")), "simhash-judged")
+    touched = stage(judged.filter("NOT stays OR n > 1").select("version").distinct(), "simhash-touched")
+    n = touched.count()
+    if not n:
+        return docs
+    words = bloom.build(touched, lambda b: b.column("version").to_numpy().view(np.uint64), bloom.bits_for(n), "simhash-filter")[0]
+    shared = bloom.share(docs, words)
+
+    @F.arrow_udf("boolean")
+    def maybe(version: pa.Array) -> pa.Array:
+        return pa.array(bloom.holds(shared.value, version.to_numpy(zero_copy_only=False).view(np.uint64)))
+
+    rows = docs.withColumn("__v", F.xxhash64(text_col)).withColumn("__maybe", maybe("__v"))
+    keeps = judged.filter("stays").join(touched, "version").select(F.col("id").alias("__id"), F.col("version").alias("__version"))
+    kept = rows.filter("__maybe").join(keeps, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__v") == F.col("__version"))).dropDuplicates(["__id", "__version"])
+    # A row the filter lets through by chance has a text that no lost row has.
+    chance = rows.filter("__maybe").join(touched.withColumnRenamed("version", "__v"), "__v", "left_anti")
+    return (rows.filter("NOT __maybe").select(*docs.columns).unionByName(kept.select(*docs.columns)).unionByName(chance.select(*docs.columns)))

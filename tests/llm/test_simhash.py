@@ -65,8 +65,8 @@ def test_links_on_dense_and_sparse_fingerprints(spark, monkeypatch, leaf, side):
     near = base[rng.integers(0, 150, 250)] ^ (np.uint64(1) << flips).sum(axis=1, dtype=np.uint64)
     hot = np.uint64(12345) ^ (np.uint64(1) << rng.integers(0, 64, 60).astype(np.uint64))
     fps = np.unique(np.concatenate([base, near, hot, np.zeros(1, np.uint64)])).tolist()
-    monkeypatch.setattr(simhash, "_LEAF", leaf)
-    monkeypatch.setattr(simhash, "_SIDE", side)
+    monkeypatch.setattr(simhash, "_LEAF", {1: leaf, 4: leaf})
+    monkeypatch.setattr(simhash, "_SIDE", {1: side, 4: side})
     signed = [int(np.uint64(f).astype(np.int64)) for f in fps]
     forest_rows = spark.createDataFrame([(i, 0, f) for i, f in enumerate(signed)], "id long, version long, part0 long")
     got = {r.id: r.component_id for r in simhash.classes(forest_rows, 4, 4).collect()}
@@ -163,3 +163,12 @@ def test_the_line_is_at_a_similarity_of_eight_tenths(spark, monkeypatch, piece):
     want = plain_components_by(near, range(30), 0.8)
     got = [component[1600 + i] for i in range(30)]
     assert all((got[i] == got[j]) == (want[i] == want[j]) for i in range(30) for j in range(i))
+
+
+def test_keep_one_leaves_untouched_rows_and_repeats_alone(spark):
+    """Rows of other texts stay as they are; of equal rows, equal texts and null ids one stays; columns keep their order."""
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(5, text, "a"), (5, text, "a"), (9, text, "b"), (None, text, "c"), (1, "alone here", "d"), (2, None, "e"), (3, "", "f"), (2, None, "e")]
+    got = sorted(map(str, map(tuple, simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)).collect())))
+    assert got == sorted(map(str, [(5, text, "a"), (1, "alone here", "d"), (2, None, "e")]))
+    assert simhash.keep_one(spark.createDataFrame(rows[4:5], "doc_id long, text string, source string")).count() == 1
