@@ -36,6 +36,10 @@ class _Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
+        #: The literals of special tokens are looked for in the parts; only where one is there, the tokenizer has to look too.
+        self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values() if t.special]
+        self._without_special = Tokenizer.from_file(path)
+        self._without_special.encode_special_tokens = True
         self._known: dict[str, bytes] = {}
         #: Ids whose token starts with a space.
         self._spaced = np.array([(self._tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(self._tokenizer.get_vocab_size())])
@@ -54,7 +58,9 @@ class _Encoder:
         return out
 
     def _encode(self, parts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self._tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        literal = any(token in part for token in self._special for part in parts)
+        tokenizer = self._tokenizer if literal else self._without_special
+        return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
     def forget(self) -> None:
         self._known = {}
