@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -43,8 +44,11 @@ _TEXTS = frozenset("post entry article".split())
 #: Those that also tell an article element that is not the article.
 _COMMENTS = frozenset("comment comments reply replies".split())
 
-#: Lines summed together, characters of text that make a sum high, and of all text that must be links for a line to be a list of links.
-WINDOW, HIGH = 3, 60
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
+#: Lines summed together; so many lines without a weight in a row are a dive.
+WINDOW = 3
+#: Share of a line's text that must be in links for it to have no weight.
 _LINKS = 0.7
 #: The share of a page's text that an article must hold to be the page's, and that forms must hold to be no forms.
 _WHOLE_ARTICLE, _WHOLE_FORM = 0.25, 0.5
@@ -52,13 +56,14 @@ _WHOLE_ARTICLE, _WHOLE_FORM = 0.25, 0.5
 
 @dataclass
 class Line:
-    """A block's text, how much of it is in links, whether it is a part beside the text, in an article and in a form."""
+    """A block's text, what of it is in links, whether it is a part beside the text, in an article, in a form and a heading."""
 
     pieces: list[str] = field(default_factory=list)
-    linked: int = 0
+    linked: list[str] = field(default_factory=list)
     beside: bool = False
     main: bool = False
     form: bool = False
+    heading: bool = False
 
 
 def _names_part(name: str, parts: frozenset[str]) -> bool:
@@ -88,23 +93,47 @@ def _is_beside(name: str, attributes: str, in_main: bool) -> bool:
 
 
 def lines_of(html: str) -> list[Line]:
-    """The page's blocks as lines, markup stripped; text beside the article is marked, scripts and styles are gone."""
+    """The page's blocks as lines, markup stripped; text beside the article is marked, scripts and styles are gone.
+
+    Only an ``a`` with href is a link; its end tag, the next ``a`` and the end of the block it began in end it. The time is
+    proportional to the page, however deep its tags are nested.
+    """
     lines, line = [], Line()
-    open_: list[tuple[str, bool, bool]] = []  # name, beside, main; a form is told by its name
-    links, at, end = 0, 0, len(html)
+    open_: list[tuple[str, bool, bool]] = []  # name, beside, main
+    names: Counter[str] = Counter()  # how many of them have the name
+    n_beside = n_main = n_heading = 0
+    link, at, end = 0, 0, len(html)  # link: number of open elements where the open link began, plus 1; 0 if none is open
+
+    def push(name: str, beside: bool, main: bool) -> None:
+        nonlocal n_beside, n_main, n_heading
+        open_.append((name, beside, main))
+        names[name] += 1
+        n_beside += beside
+        n_main += main
+        n_heading += name in _HEADINGS
+
+    def pop() -> str:
+        nonlocal n_beside, n_main, n_heading, link
+        name, beside, main = open_.pop()
+        names[name] -= 1
+        n_beside -= beside
+        n_main -= main
+        n_heading -= name in _HEADINGS
+        if link > len(open_) + 1:
+            link = 0
+        return name
 
     def close_line() -> None:
         nonlocal line
         if line.pieces:
             lines.append(line)
-        beside = any(x[1] for x in open_)
-        line = Line(beside=beside, main=any(x[2] for x in open_), form=any(x[0] == "form" for x in open_))
+        line = Line(beside=n_beside > 0, main=n_main > 0, form=names["form"] > 0, heading=n_heading > 0)
 
     def take(text: str) -> None:
         if text:
             line.pieces.append(text)
-            if links:
-                line.linked += len(text)
+            if link:
+                line.linked.append(text)
 
     while at < end:
         start = html.find("<", at)
@@ -123,9 +152,9 @@ def lines_of(html: str) -> list[Line]:
             continue
         if found[1]:
             if name == "a":
-                links = max(0, links - 1)
-            if any(x[0] == name for x in open_):
-                while open_.pop()[0] != name:
+                link = 0
+            if names[name]:
+                while pop() != name:
                     pass
                 close_line()
             elif name in _BLOCK:
@@ -138,17 +167,16 @@ def lines_of(html: str) -> list[Line]:
         if name == "br":
             take(" ")
         if name == "a":
-            links = 1
-        in_main = any(x[2] for x in open_)
-        beside = _is_beside(name, found[3], in_main)
+            link = len(open_) + 1 if any(key.lower() == "href" for key, _ in _ATTRIBUTE.findall(found[3])) else 0
+        beside = _is_beside(name, found[3], n_main > 0)
         if name in _BLOCK:
             if open_ and open_[-1][0] == "p":
-                open_.pop()
+                pop()
             same = _SIBLING.get(name)
             if same and open_ and open_[-1][0] in same:
-                open_.pop()
+                pop()
         if name not in _VOID and not found[3].endswith("/") and (name in _BLOCK or beside or name in _MAIN):
-            open_.append((name, beside, name in _MAIN and not beside))
+            push(name, beside, name in _MAIN and not beside)
         if name in _BLOCK or beside:
             close_line()
     if line.pieces:
@@ -156,42 +184,66 @@ def lines_of(html: str) -> list[Line]:
     return lines
 
 
-def _clean(line: Line) -> str:
-    return " ".join(unescape("".join(line.pieces)).split())
+def _clean(pieces: list[str]) -> str:
+    return " ".join(unescape("".join(pieces)).split())
+
+
+def _weights(lines: list[tuple[Line, str]]) -> list[int]:
+    """A line's length, but 0 if it is mostly links. A linked heading has its length if it is that of text: if the next line
+    that is no heading is not mostly links."""
+    weights, text_follows = [], False
+    for line, text in reversed(lines):
+        mostly_links = bool(line.linked) and len(_clean(line.linked)) > _LINKS * len(text)
+        if not line.heading:
+            text_follows = not mostly_links
+        weights.append(len(text) if not mostly_links or line.heading and text_follows else 0)
+    return weights[::-1]
+
+
+def stretches(weights: list[int]) -> list[range]:
+    """The stretches of lines between a surge and the next dive: a stretch begins (surge) at a line whose weight lifts the sum of
+    the window up to it from 0, and ends (dive) with the last line before the sum over a whole window is 0 again."""
+    found, upto = [], 0
+    for i, weight in enumerate(weights):
+        before, upto = upto, upto + weight - (weights[i - WINDOW] if i >= WINDOW else 0)
+        if not weight:
+            continue
+        if before:
+            found[-1] = range(found[-1].start, i + 1)
+        else:
+            found.append(range(i, i + 1))
+    return found
 
 
 def main_text(html: str) -> str:
-    """The lines of the stretches of text, each from its first line to its last.
+    """The lines of the stretches between surges and dives of the weights of lines, all of them.
 
-    A line's length counts only if it is not beside the text, not mostly links, and, on a page whose article or main
-    element holds a quarter of that text or more, inside it. Forms are beside the text unless they hold half of it. A
-    stretch ends where the sum over a window of lines is 0 (dive). Those stay in which some sum reaches ``HIGH`` (surge),
-    or the highest sum of the page if none does; those with text of an article always do.
+    Lines beside the text (menus, headers, adverts and the like, by their element, role, class or id) are taken out first, and
+    so are those of forms that hold less than half of the text, and, on a page whose article or main elements hold a quarter of it or
+    more, those outside these. Of the others a line weighs its length, or nothing if it is mostly links (``_weights``).
+    So every line of text stays, however short, and links between lines of text too; what goes is lists of links: ``WINDOW``
+    lines or more in a row, and any before the first line of text or after the last.
     """
-    lines = [(line, text) for line in lines_of(html) if (text := _clean(line))]
-    weights = [0 if line.beside or line.linked > _LINKS * len(text) and not line.main else len(text) for line, text in lines]
-    in_forms = sum(w for (line, _), w in zip(lines, weights) if line.form)
-    if in_forms < _WHOLE_FORM * sum(weights):
-        weights = [0 if line.form else w for (line, _), w in zip(lines, weights)]
+    lines = [(line, text) for line in lines_of(html) if not line.beside and (text := _clean(line.pieces))]
+    weights = _weights(lines)
+
+    def leave(keep: list[bool]) -> None:
+        nonlocal lines, weights
+        lines, weights = [x for x, k in zip(lines, keep) if k], [w for w, k in zip(weights, keep) if k]
+
+    if sum(w for (line, _), w in zip(lines, weights) if line.form) < _WHOLE_FORM * sum(weights):
+        leave([not line.form for line, _ in lines])
     in_main = sum(w for (line, _), w in zip(lines, weights) if line.main)
     if in_main and in_main >= _WHOLE_ARTICLE * sum(weights):
-        weights = [w if line.main else 0 for (line, _), w in zip(lines, weights)]
-    sums = [sum(weights[i:i + WINDOW]) for i in range(len(weights))]
-    high = max(1, min(HIGH, max(sums, default=0)))
-    stretches, last = [], -WINDOW - 1
-    for i in [i for i, w in enumerate(weights) if w]:
-        if i - last > WINDOW:
-            stretches.append([])
-        stretches[-1].append(i)
-        last = i
-    kept = [s for s in stretches if any(sums[i] >= high or lines[i][0].main for i in s)]
-    return "\n".join(lines[i][1] for s in kept for i in s)
+        leave([line.main for line, _ in lines])
+    return "\n".join(lines[i][1] for stretch in stretches(weights) for i in stretch)
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """``pages`` without ``html_col`` and with ``text`` and ``n_chars``; a column named like these is replaced.
 
-    Every row gives a row; a null or empty page, or one without text, gives an empty text.
+    Every row gives a row, repeated rows too; a null or empty page, or one without text, gives an empty text, an empty table an
+    empty one. Pages of any length are read whole, one at a time.
     """
     names = [c for c in pages.columns if c not in (html_col, "text", "n_chars")]
     kinds = "".join(f"`{c}` {pages.schema[c].dataType.simpleString()}, " for c in names)

@@ -1,5 +1,9 @@
+import re
+import time
 from html.parser import HTMLParser
 
+import pytest
+
 from casewright.llm import html_text
 from casewright.llm.queries import QUERIES
 
@@ -98,3 +102,44 @@ def test_a_form_around_the_page_and_names_of_states():
     assert html_text.main_text(f"<body><div class='entry-header'><h1>Title</h1></div>{body}</body>").splitlines() == ["Title", *text]
     for name in ("sidebar", "x site-header", "ad-box2", "post-comments", "cookie-notice"):
         assert html_text.main_text(f"<body>{body}<div class='{name}'>{LONG}</div></body>").splitlines() == text, name
+
+
+def test_without_the_article_tag(spark, sf):
+    """The same pages with a div in the article's place: the distribution of text has to find the article's text by itself."""
+    pages = spark.read.parquet(f"{sf}/pages.parquet").collect()
+    for r in pages:
+        plain = Article()
+        plain.feed(r.html or "")
+        plain.close()
+        want = "\n".join(x for b in plain.blocks if (x := " ".join(b.split())))
+        assert html_text.main_text(re.sub(r"<(/?)article\b[^>]*>", r"<\1div>", r.html or "")) == want, r.page_id
+
+
+def test_closing_lines_headlines_and_anchors():
+    body, text = f"<p>{LONG}</p>" * 4, [LONG.strip()] * 4
+    adverts = "<div class='ad'>Buy now</div>"
+    assert html_text.main_text(f"<body>{body}{adverts * 3}<p>The end. Thanks.</p></body>").splitlines() == [*text, "The end. Thanks."]
+    for top in ("<body>", "<article>"):
+        assert html_text.main_text(f"{top}<h1><a href='x'>The headline</a></h1>{body}").splitlines() == ["The headline", *text]
+        for anchor in ("<a name='top'>", "<p><a href=x>", "<a name=a><a id=b>"):
+            assert html_text.main_text(f"{top}{anchor}{body}").splitlines() == text
+    assert html_text.main_text(f"<a href=x><div><p>{LONG}</p></div></a>" + body).splitlines() == text
+
+
+def test_lists_of_links_are_dives_also_in_an_article():
+    body, links = f"<p>{LONG}</p>", "<ul>" + "".join(f"<li><a href={i}>Link {i}</a>" for i in range(3)) + "</ul>"
+    for top in ("body", "article"):
+        page = f"<{top}>{links}{body}<p><a href=x>One link</a></p>{body}{links}<p>Yes.</p>{links}</{top}>"
+        assert html_text.main_text(page).splitlines() == [LONG.strip(), "One link", LONG.strip(), "Yes."]
+
+
+@pytest.mark.parametrize("weights, want", [([], []), ([0, 0], []), ([5], [(0, 1)]), ([0, 5, 0, 0, 1], [(1, 5)]), ([0, 5, 0, 0, 0, 1], [(1, 2), (5, 6)]), ([1, 0, 2, 0, 0, 0, 0, 3, 4], [(0, 3), (7, 9)])])
+def test_stretches(weights, want):
+    assert [(r.start, r.stop) for r in html_text.stretches(weights)] == want
+
+
+def test_deep_nesting_takes_time_in_proportion():
+    start = time.process_time()
+    assert html_text.main_text("<div>" * 200_000 + "deep" + "</div>" * 200_000) == "deep"
+    assert html_text.main_text("<section><b>" * 100_000 + "open") == "open"
+    assert time.process_time() - start < 60
