@@ -34,13 +34,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with the repeated lines taken out of ``text_col``, plus ``n_lines`` (before) and ``n_dropped``.
 
     A line's key is the line stripped of ASCII white space, A-Z lower-cased. A key of ``min_chars`` code points or more
-    that ``min_docs`` rows or more hold stays only in the largest id among them. Pass one fills the two filters task by
+    that ``min_docs`` documents or more hold stays only in the largest id among them. Pass one fills the two filters task by
     task; pass two sends only the lines whose hash was probably seen twice to the exact count, by the key itself; the
     last pass rewrites the texts. False hits of the filters drop out in the count.
 
-    A null text is empty and has one line; it stays null. Every row is a document: rows of one id count one by one, and
-    all rows of the largest id keep the line. A null id is smaller than any other. Input columns named ``n_lines`` or
-    ``n_dropped`` are replaced; other columns pass through.
+    A null text is empty and has one line; it stays null. A document is an id: rows of one id, those of the null id too,
+    count once, and all rows of the largest id keep the line. A null id is smaller than any other. Input columns named
+    ``n_lines`` or ``n_dropped`` are replaced; other columns pass through, but none may be named ``__id``, ``__version`` or
+    ``__keys``. Texts of any length are read whole, in steps of bounded size; an empty table gives an empty one.
     """
     spark = docs.sparkSession
     docs = docs.drop("n_lines", "n_dropped")
@@ -71,8 +72,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kind = narrow.schema["id"].dataType.simpleString()
     suspected = stage(narrow.mapInArrow(suspects, f"id {kind}, version long, key binary"), "line-suspects")
     total = suspected.count()
-    counted = stage(suspected.groupBy("key").agg(F.count("*").alias("n"), F.max("id").alias("keeper"))
-                    .filter(F.col("n") >= min_docs), "line-counts")
+    # Rows of one id are one document: they merge before the shuffle where they meet, and a key of many ids is summed in two steps.
+    documents = suspected.groupBy("key", "id").agg(F.count("*").alias("rows"))
+    counted = stage(documents.groupBy("key").agg(F.count("*").alias("n_docs"), F.sum("rows").alias("n"), F.max("id").alias("keeper"))
+                    .filter(F.col("n_docs") >= min_docs), "line-counts")
     dropped = (join_unique(suspected, counted, "key", "n", total, "inner").filter(~F.col("id").eqNullSafe(F.col("keeper")))
                .groupBy("id", "version").agg(F.collect_set("key").alias("__keys"))
                .select(F.col("id").alias("__id"), F.col("version").alias("__version"), "__keys"))

@@ -49,10 +49,32 @@ def test_repeated_rows_and_null_ids(spark):
     docs = spark.createDataFrame([(1, line), (1, line), (None, line), (None, line), (2, "other\n" + line), (2, "other\n" + line)], "doc_id long, text string")
     got = sorted((r.doc_id or 0, r.text, r.n_dropped) for r in line_dedup.dedup_lines(docs).collect())
     assert got == [(0, "", 1), (0, "", 1), (1, "", 1), (1, "", 1), (2, "other\n" + line, 0), (2, "other\n" + line, 0)]
+    two = docs.filter("doc_id IS NOT NULL")
+    assert [r.n_dropped for r in line_dedup.dedup_lines(two).collect()] == [0] * 4  # four rows, but two documents
     nulls = spark.createDataFrame([(None, line)] * 4, "doc_id long, text string")
     assert [r.n_dropped for r in line_dedup.dedup_lines(nulls).collect()] == [0] * 4
     assert line_dedup.dedup_lines(nulls.limit(0)).count() == 0
 
 
+def test_the_query_counts_documents_as_its_sql_does(spark, tmp_path):
+    import duckdb
+    line = "A line of more than twenty characters"
+    spark.createDataFrame([(1, line), (1, line), (2, line), (3, line + "2"), (4, line.upper() + "2"), (5, line + "2\n" + line + "2"), (5, "x")],
+                          "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op2_line_dedup"](spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.n_dropped) for r in rows) == [(1, 0), (1, 0), (2, 0), (3, 1), (4, 1), (5, 0), (5, 0)]
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = {r[0]: r[2] for r in db.sql(ORACLES["op2_line_dedup"]).fetchall()}
+    assert want == {1: 0, 2: 0, 3: 1, 4: 1, 5: 0}
+
+
+def test_a_very_long_text(spark):
+    line = "one line that the long text shares"
+    docs = spark.createDataFrame([(1, (line + "\n") * 200_000), (2, line), (3, line), (4, "x" * 5_000_000)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_lines, r.n_dropped) for r in line_dedup.dedup_lines(docs).collect()}
+    assert got == {1: (200_001, 200_000), 2: (1, 1), 3: (1, 0), 4: (1, 0)}
+
+
 def test_digest_of_nothing(spark):
     assert hashlib.sha256(b"").hexdigest() == spark.range(1).selectExpr("sha2(cast('' as binary), 256) AS h").first().h
