@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from casewright.llm import bloom
 from casewright.llm.common import as_bytes, components, join_unique, slices
@@ -276,17 +276,30 @@ def _alike(sets: list[np.ndarray], fps: np.ndarray, side: np.ndarray, max_bits:
     return found
 
 
-def confirmed(links: DataFrame, fps: DataFrame, docs: DataFrame, text_col: str, words_per_shingle: int, max_bits: int, least: float) -> DataFrame:
+def _held(keys: DataFrame, n: int, name: str) -> Callable[[Column], Column]:
+    """A test whether a long is probably among the ``n`` of the one column of ``keys``; it never misses one that is."""
+    shared = bloom.share(keys, bloom.build(keys, lambda b: b.column(0).to_numpy().view(np.uint64), bloom.bits_for(n), name)[0])
+
+    @F.arrow_udf("boolean")
+    def maybe(key: pa.Array) -> pa.Array:
+        return pa.array(bloom.holds(shared.value, key.to_numpy(zero_copy_only=False).view(np.uint64)))
+
+    return maybe
+
+
+def confirmed(links: DataFrame, fps: DataFrame, docs: DataFrame, id_col: str, text_col: str, words_per_shingle: int, max_bits: int, least: float) -> DataFrame:
     """(a, b): links that make the components of all pairs of texts at a Jaccard similarity of ``least`` or more within those of ``links``.
 
-    ``fps`` has a row (``node``, ``n``, parts) for each distinct text. The texts of a component are compared in one task
-    if they are few; else they are cut into pieces, and every piece meets every other. Small components share tasks.
+    ``fps`` has a row (``node``, ``first``, parts) for each distinct text. Of each text in ``links`` the row with its first id
+    is fetched: a Bloom filter of these rows leaves all others where they are. The texts of a component are compared in one
+    task if they are few; else they are cut into pieces, and every piece meets every other. Small components share tasks.
     """
     parts = [c for c in fps.columns if c.startswith("part")]
-    near = stage(fps.select("node", "n", *parts).join(components(links, "simhash-near"), "node"), "simhash-candidates")
-    rows = docs.select(F.xxhash64(text_col).alias("node"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    texts = stage(join_unique(rows, near, "node", "n", near.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], "inner").drop("n").dropDuplicates(["node"])
-                  .withColumn("bytes", F.octet_length("text").cast("long")), "simhash-texts")
+    near = stage(fps.select("node", F.xxhash64("node", "first.id").alias("row"), *parts).join(components(links, "simhash-near"), "node"), "simhash-candidates")
+    wanted = _held(near.select("row"), near.count(), "simhash-wanted")
+    version = F.xxhash64(text_col)
+    rows = docs.filter(wanted(F.xxhash64(version, F.col(id_col)))).select(version.alias("node"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    texts = stage(rows.dropDuplicates(["node"]).join(near.drop("row"), "node").withColumn("bytes", F.octet_length("text").cast("long")), "simhash-texts")
     total, whole = texts.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     pieces = F.greatest(F.ceil(F.col("members") / _PIECE), F.ceil(F.col("size") / _PIECE_BYTES), F.lit(1)).cast("int")
     loads = texts.groupBy("root").agg(F.count("*").alias("members"), F.sum("bytes").alias("size")).withColumn("pieces", pieces)
@@ -349,32 +362,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marked = fingerprints(docs, id_col, text_col, words_per_shingle, n_parts)
     if n_parts == 1:
         return classes(marked, probe_bits, max_bits)
-    return classes(marked, probe_bits, max_bits, radius, lambda links, fps: confirmed(links, fps, docs, text_col, words_per_shingle, max_bits, least))
+    return classes(marked, probe_bits, max_bits, radius, lambda links, fps: confirmed(links, fps, docs, id_col, text_col, words_per_shingle, max_bits, least))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` with one row of every component: the first by id (nulls last), then by the hash of its text.
 
-    Only rows whose text is that of a row that goes are joined to the list of those that stay; a Bloom filter of these texts'
-    hashes lets all others through where they are. ``docs`` must not have columns named ``__v``, ``__id``, ``__version`` or ``__maybe``.
+    Only rows that go, and those with an equal of the same id and text, are joined to the list of these; a Bloom filter of
+    the list lets all others through where they are. ``docs`` must not have columns named ``__v``, ``__id``, ``__version``,
+    ``__maybe`` or ``__stays``.
     """
     found = near_duplicates(docs, id_col, text_col, **how)
     stays = F.col("id").eqNullSafe(F.col("component_id")) & F.col("version").eqNullSafe(F.col("keeper_version"))
-    judged = stage(found.select("id", "version", stays.alias("stays")).groupBy("id", "version", "stays").agg(F.count("*").alias("n")), "simhash-judged")
-    touched = stage(judged.filter("NOT stays OR n > 1").select("version").distinct(), "simhash-touched")
-    n = touched.count()
+    listed = stage(found.select("id", "version", stays.alias("stays")).groupBy("id", "version", "stays").agg(F.count("*").alias("n"))
+                   .filter("NOT stays OR n > 1"), "simhash-listed")
+    n, repeated = listed.agg(F.count("*"), F.coalesce(F.max("stays"), F.lit(False))).first()
     if not n:
         return docs
-    words = bloom.build(touched, lambda b: b.column("version").to_numpy().view(np.uint64), bloom.bits_for(n), "simhash-filter")[0]
-    shared = bloom.share(docs, words)
-
-    @F.arrow_udf("boolean")
-    def maybe(version: pa.Array) -> pa.Array:
-        return pa.array(bloom.holds(shared.value, version.to_numpy(zero_copy_only=False).view(np.uint64)))
-
-    rows = docs.withColumn("__v", F.xxhash64(text_col)).withColumn("__maybe", maybe("__v"))
-    keeps = judged.filter("stays").join(touched, "version").select(F.col("id").alias("__id"), F.col("version").alias("__version"))
-    kept = rows.filter("__maybe").join(keeps, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__v") == F.col("__version"))).dropDuplicates(["__id", "__version"])
-    # A row the filter lets through by chance has a text that no lost row has.
-    chance = rows.filter("__maybe").join(touched.withColumnRenamed("version", "__v"), "__v", "left_anti")
-    return (rows.filter("NOT __maybe").select(*docs.columns).unionByName(kept.select(*docs.columns)).unionByName(chance.select(*docs.columns)))
+    maybe = _held(listed.select(F.xxhash64("version", "id").alias("key")), n, "simhash-filter")
+    rows = docs.withColumn("__v", F.xxhash64(text_col)).withColumn("__maybe", maybe(F.xxhash64("__v", F.col(id_col))))
+    exact = listed.select(F.col("id").alias("__id"), F.col("version").alias("__version"), F.col("stays").alias("__stays"))
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__v") == F.col("__version"))
+    # Rows that the filter lets through by chance are not on the list.
+    kept = rows.filter("NOT __maybe").select(*docs.columns).unionByName(rows.filter("__maybe").join(exact, same, "left_anti").select(*docs.columns))
+    if not repeated:
+        return kept
+    once = rows.filter("__maybe").join(exact.filter("__stays"), same).dropDuplicates(["__id", "__version"])
+    return kept.unionByName(once.select(*docs.columns))
