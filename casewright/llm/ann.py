@@ -56,6 +56,23 @@ def bounds(codes: np.ndarray, lengths: np.ndarray, correction: np.ndarray, quest
     return sums - both * np.minimum(found + error, 1), sums - both * np.maximum(found - error, -1)
 
 
+def _distances(x: np.ndarray, question: np.ndarray) -> np.ndarray:
+    """Euclidean distances. Where squares would leave the range of a double the components are scaled by the largest one, so
+    only a distance beyond that range itself is infinite."""
+    with np.errstate(over="ignore", under="ignore"):
+        gaps = x - question
+        largest = np.abs(gaps).max(axis=1)
+        found = np.sqrt(np.einsum("ij,ij->i", gaps, gaps))
+        odd = np.flatnonzero((largest > 1e150) | (largest > 0) & (largest < 1e-150))
+        if len(odd):
+            up = np.where(largest[odd] > 1, 0.25, 1.0)[:, None]
+            gaps = x[odd] * up - question * up
+            largest = np.abs(gaps).max(axis=1)
+            gaps /= largest[:, None]
+            found[odd] = largest * np.sqrt(np.einsum("ij,ij->i", gaps, gaps)) / up[:, 0]
+    return found
+
+
 def _distinct(rows: DataFrame, most: int) -> DataFrame:
     """One row per distinct vector: dims, vector and its ``most`` smallest ids, as structs (vec_id, row)."""
     key = ["dims", "vector"]
@@ -75,7 +92,9 @@ def search(vectors: DataFrame, is_question, k: int = 10, id_col: str = "vec_id",
     those of their length.
 
     Entries meet the questions in parts and blocks of bounded size. A part is coded; in it, entries whose lower bound is
-    above the (k + 1)-th smallest upper bound are left out, the others are measured exactly. Nothing else is cut off.
+    above the (k + 1)-th smallest upper bound are left out, the others are measured exactly. Nothing else is cut off. Where
+    components are so large that a bound overflows, it cuts nothing off. Distances beyond the range of a double are infinite
+    and rank last. An empty table, or one without questions, gives an empty one; other columns of any name are not read.
     """
     value = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -84,8 +103,7 @@ def search(vectors: DataFrame, is_question, k: int = 10, id_col: str = "vec_id",
     entries = stage(_distinct(rows, k + 1).withColumn("entry", F.monotonically_increasing_id()), "ann-entries")
     asked = stage(rows.withColumn("__ask", is_question(F.col("vec_id"))).filter("__ask").drop("__ask"), "ann-questions")
     id_kind = rows.schema["vec_id"].dataType.simpleString()
-    sizes = {r["dims"]: r["n"] for r in entries.groupBy("dims").agg(F.count("*").alias("n")).orderBy(F.desc("n")).limit(64).collect()}
-    parts = max(1, -(-sum(sizes.values()) // _PART))
+    parts = max(1, -(-entries.count() // _PART))
     blocks = max(1, -(-asked.count() // _BLOCK))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = entries.select("dims", "entry", "vector", F.pmod(F.xxhash64("entry"), F.lit(parts)).alias("part"), every(blocks).alias("block"))
@@ -95,16 +113,19 @@ def search(vectors: DataFrame, is_question, k: int = 10, id_col: str = "vec_id",
         out = []
         if len(own) and len(asking):
             x, q = np.stack(own["vector"].to_numpy()), np.stack(asking["vector"].to_numpy())
-            centre = x.mean(axis=0)
-            codes = encode(x - centre, seed)
+            centre = (x / len(x)).sum(axis=0)
+            with np.errstate(over="ignore", invalid="ignore"):
+                codes = encode(x - centre, seed)
             entry, row = own["entry"].to_numpy(), asking["row"].to_numpy()
             for at in range(0, len(q), _STEP):
-                low, high = bounds(*codes, q[at:at + _STEP] - centre, confidence, seed)
+                with np.errstate(over="ignore", invalid="ignore"):
+                    low, high = bounds(*codes, q[at:at + _STEP] - centre, confidence, seed)
+                sure = np.isfinite(low) & np.isfinite(high)
+                low, high = np.where(sure, low, -np.inf), np.where(sure, high, np.inf)
                 enough = np.partition(high, min(k, len(x) - 1), axis=1)[:, min(k, len(x) - 1)]
                 for i in range(len(low)):
                     chosen = np.flatnonzero(low[i] <= enough[i])
-                    gaps = x[chosen] - q[at + i]
-                    exact = np.sqrt(np.einsum("ij,ij->i", gaps, gaps))
+                    exact = _distances(x[chosen], q[at + i])
                     # Ties at the end all stay: which of them count depends on their ids.
                     limit = np.partition(exact, min(k, len(exact) - 1))[min(k, len(exact) - 1)]
                     kept = exact <= limit

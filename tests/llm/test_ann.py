@@ -1,4 +1,5 @@
 import collections
+import math
 
 import numpy as np
 import pytest
@@ -76,3 +77,20 @@ def test_bounds_hold(spark):
     true = ((q[:, None, :] - x[None, :, :]) ** 2).sum(axis=2)
     assert ((low <= true + 1e-3) & (true <= high + 1e-3)).mean() > 0.98
     assert np.allclose(ann.rotation(64, 256, 0).T @ ann.rotation(64, 256, 0), np.eye(64))
+
+
+def test_components_whose_squares_overflow(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=2).tolist()) for i in range(30)]
+    rows += [(100, [1e160, 1.0]), (200, [-1e160, 1.0]), (300, [1e-170, 2e-170]), (301, [1e-170, 1e-170]), (400, [1.7e308, 1.7e308]), (401, [-1.7e308, 1.0])]
+    frame = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, score string")
+    got = collections.defaultdict(list)
+    for r in ann.search(frame, lambda c: c % 100 == 0, k=40).orderBy("rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    assert sorted(got) == [0, 100, 200, 300, 400]
+    for i, near in got.items():
+        own = dict(rows)[i]
+        want = sorted((np.float64(math.dist(own, v)), j) for j, v in rows if j != i)
+        assert len(near) == len(want)
+        assert np.allclose([s for _, s in near], [s for s, _ in want], rtol=1e-12, atol=0)
+    assert got[300][0][0] == 301 and ann._distances(np.array([[1.7e308, 0.0]]), np.array([-1.7e308, 0.0]))[0] == np.inf
