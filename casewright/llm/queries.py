@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casewright.llm import ann, html_text, line_dedup, mixing, packing, prefix_trie, quality, scaled_sketch, secrets, simhash, substring_dedup, url_filter, whitening
-from casewright.llm.common import table
+from casewright.llm.common import join_unique, table
+from casewright.session import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -112,10 +113,28 @@ def op5_quality_rules(spark: SparkSession, d: str) -> DataFrame:
 
 RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"), url_filter.Rule("block", "example.com", "/de/"),
          url_filter.Rule("allow", "org", "/fr/")]
-#: Words in the host of a reported page. The list of the query is made of the canonical URLs of all pages on such hosts.
+#: Words in the host of a reported page.
 REPORTED = "casino|pills|bets|spam|ads-track"
 
 
+def reported_urls(pages: DataFrame) -> DataFrame:
+    """The list of the query: pages on reported hosts, pages that mirror the path of one elsewhere, and the print view of each.
+
+    Every URL is spelled otherwise than in ``pages``: other scheme, ``WWW.``, default port, a tracking parameter and a fragment.
+    Print views are seldom pages, so the list holds much that meets no page.
+    """
+    url, path = F.col("url"), url_filter.path_of(F.col("url"))
+    seen = stage(pages.select("url", path.alias("path"), url_filter.host_of(url).rlike(REPORTED).alias("reported")), "url-reports")
+    paths = seen.filter("length(path) > 1").groupBy("path").agg(F.count("*").alias("n"), F.bool_or("reported").alias("known")).filter("known")
+    mirrors = join_unique(seen.filter("NOT reported"), stage(paths, "url-reported-paths"), "path", "n", seen.count(), "inner")
+    chosen = seen.filter("reported").select("url", "path").unionByName(mirrors.select("url", "path"))
+    whole = F.regexp_replace(url, "(?s)#.*$", "")
+    tracked = F.concat(whole, F.when(whole.contains("?"), "&").otherwise("?"), F.lit("utm_source=report#top"))
+    printed = F.concat(F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1), F.regexp_replace("path", "/$", ""), F.lit("/print"))
+    spelled = lambda u: F.regexp_replace(u, r"^https?://(?:www\.)?([^/?#:]+)(?=[/?#]|$)", "HTTPS://WWW.$1:443")
+    return chosen.select(F.explode(F.array(spelled(tracked), spelled(printed))).alias("url"))
+
+
 def _fits(host: str, path: str) -> str:
     return f"(host = '{host}' OR suffix(host, '.{host}')) AND prefix(path, '{path}')"
 
@@ -129,7 +148,9 @@ WITH split AS (SELECT page_id, url, coalesce(translate(regexp_extract(url, '(?s)
 canonical AS (SELECT *, CASE WHEN bare = '' THEN '' ELSE bare || regexp_replace(path, '/$', '') ||
                 CASE WHEN len(parameters) > 0 THEN '?' || array_to_string(parameters, '&') ELSE '' END END AS key
               FROM (SELECT *, regexp_replace(regexp_replace(host, '^www\.', ''), ':(80|443)$', '') AS bare FROM split)),
-listed AS (SELECT DISTINCT key FROM canonical WHERE regexp_matches(host, '{REPORTED}') AND key <> ''),
+reported AS (SELECT DISTINCT path FROM canonical WHERE regexp_matches(host, '{REPORTED}') AND length(path) > 1),
+chosen AS (SELECT * FROM canonical WHERE key <> '' AND (regexp_matches(host, '{REPORTED}') OR path IN (SELECT path FROM reported))),
+listed AS (SELECT key FROM chosen UNION SELECT bare || regexp_replace(path, '/$', '') || '/print' FROM chosen),
 ruled AS (SELECT *, CASE WHEN {_fits('example.net', '/en/')} THEN 'example.net/en/' WHEN {_fits('example.com', '/de/')} THEN 'example.com/de/'
                          WHEN {_fits('org', '/fr/')} THEN 'org/fr/' WHEN {_fits('net', '/')} THEN 'net/' END AS rule FROM canonical)
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
@@ -137,8 +158,7 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/')
 FROM ruled""")
 def op6_url_filter(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "pages").select("page_id", "url")
-    reported = pages.filter(url_filter.host_of(F.col("url")).rlike(REPORTED)).select("url")
-    return url_filter.judge(pages, reported, RULES).select("page_id", "host", "path", "rule", "verdict")
+    return url_filter.judge(pages, reported_urls(pages), RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
 # ---- 7: approximate nearest neighbours (no SQL: approximate) -------------------------------------

@@ -1,7 +1,7 @@
 import pytest
 
 from casewright.llm import bloom, url_filter
-from casewright.llm.queries import ORACLES, QUERIES, RULES
+from casewright.llm.queries import ORACLES, QUERIES, REPORTED, RULES, reported_urls
 from tests.compare import difference
 
 
@@ -12,6 +12,16 @@ def test_query(spark, sf, con):
     assert set(got["verdict"]) == {"block", "allow"} and set(got["rule"].dropna()) == {r.name for r in RULES}
 
 
+def test_list_is_no_host_pattern(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url")
+    extra = [("https://clean.example.com/en/77/?b=2&a=1",), ("http://m.casino-win.example.com/en/77/",), ("http://clean.example.com/en/78",), ("http://clean.example.com/en/77/",),
+             ("http://clean.example.com/en/77/print?utm_source=x",), ("http://casino.example.com/",), ("http://clean.example.com/",), (None,), ("no scheme",), ("http://www.pills.example.com:80",)]
+    own = spark.createDataFrame([(-1 - i, *u) for i, u in enumerate(extra)], pages.schema)
+    got = {r.page_id: r.verdict for r in url_filter.judge(pages.unionByName(own), reported_urls(pages.unionByName(own)), RULES).collect()}
+    assert [got[-1 - i] for i in range(len(extra))] == ["block", "block", "allow", "block", "block", "block", "allow", "allow", "allow", "block"]
+    assert reported_urls(pages.limit(0)).count() == 0
+
+
 def plain_host_path(url):
     _, found, rest = (url or "").partition("://")
     if not found:
