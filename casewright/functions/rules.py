@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from casewright import fixed_values as fv
 from casewright.functions.binding import let
+from casewright.functions.keywords import keyword_counts
 from casewright.functions.text import strip, word_count
 
 
@@ -26,14 +27,8 @@ def contains_any(text: Column, words: Sequence[str]) -> Column:
 
 
 def count_occurrences(text: Column, words: Sequence[str]) -> Column:
-    """Non-overlapping occurrences of each word, summed over the list."""
-
-    def count(t: Column, word: Column) -> Column:
-        gone = F.octet_length(t) - F.octet_length(F.replace(t, word, F.lit("")))
-        return (gone / F.octet_length(word)).cast("long")
-
-    return let(text, lambda t: F.aggregate(
-        _words(words), F.lit(0).cast("long"), lambda total, word: total + count(t, word)))
+    """Non-overlapping occurrences of each word, summed over the list. For several lists see ``keyword_counts``."""
+    return keyword_counts(text, {"n": words})["n"]
 
 
 def first_rule(text: Column, rules: Sequence[tuple[str, Sequence[str]]]) -> Column:
@@ -110,13 +105,9 @@ def with_calib_sentiment(df: DataFrame) -> DataFrame:
     # Two projections: the counts are used several times and must be computed once.
     return (
         df.withColumn("__text", F.lower(F.when(clean != "", clean).otherwise(raw)))
-        .withColumns({
-            "__pos": count_occurrences(text, fv.POSITIVE_WORDS),
-            "__neu": count_occurrences(text, fv.NEUTRAL_WORDS),
-            "__neg": count_occurrences(text, fv.NEGATIVE_WORDS),
-        })
-        .withColumn("calib_sentiment", sentiment_rule(text, F.col("__pos"), F.col("__neu"), F.col("__neg")))
-        .drop("__text", "__pos", "__neu", "__neg")
+        .withColumn("__n", keyword_counts(text, {"pos": fv.POSITIVE_WORDS, "neu": fv.NEUTRAL_WORDS, "neg": fv.NEGATIVE_WORDS}))
+        .withColumn("calib_sentiment", sentiment_rule(text, F.col("__n.pos"), F.col("__n.neu"), F.col("__n.neg")))
+        .drop("__text", "__n")
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.ml.feature import (
     IDF, CountVectorizer, ElementwiseProduct, IndexToString, NGram, Normalizer, RegexTokenizer,
     SQLTransformer, StringIndexer,
 )
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from casewright.functions.text import TOKEN_PATTERN, tokens, unigrams_and_bigrams
 from casewright.operators.labels import class_weights
@@ -20,16 +20,22 @@ from casewright.operators.positions import shuffled_rank
 from casewright.session import stage
 
 MAX_FEATURES = 20_000
+#: Hash buckets of the first pass over the terms.
+TERM_BUCKETS = 1 << 20
 ROWS_PER_PARTITION = 2_000
 
 
 # ---- terms -------------------------------------------------------------------------------
 
 
-def explode_terms(df: DataFrame, text: str) -> DataFrame:
-    """One row per occurrence of a term, unigrams and bigrams."""
-    words = tokens(F.coalesce(F.col(text), F.lit("")))
-    return df.select(words.alias("words")).select(F.explode(unigrams_and_bigrams(F.col("words"))).alias("term"))
+def _terms(df: DataFrame, text: str) -> DataFrame:
+    """One column ``terms``: the unigrams and bigrams of each row."""
+    return df.select(unigrams_and_bigrams(tokens(F.coalesce(F.col(text), F.lit("")))).alias("terms"))
+
+
+def _exploded(terms: DataFrame, values: Column) -> DataFrame:
+    """One row per element. The outer form: for the inner one the optimizer adds a filter that computes the terms twice."""
+    return terms.select(F.explode_outer(values).alias("term")).filter("term IS NOT NULL")
 
 
 def term_statistics(terms: DataFrame) -> DataFrame:
@@ -47,20 +53,41 @@ def term_statistics(terms: DataFrame) -> DataFrame:
         F.sum("c.tf").alias("tf"), F.sum("c.df").alias("df"))
 
 
-def vocabulary(df: DataFrame, text: str, max_features: int = MAX_FEATURES) -> DataFrame:
-    """The most frequent terms of the corpus; ties go to the alphabetically first."""
-    counts = explode_terms(df, text).groupBy("term").agg(F.count(F.lit(1)).alias("tf"))
-    return top_terms(counts, max_features)
+def vocabulary(df: DataFrame, text: str, max_features: int = MAX_FEATURES, buckets: int = TERM_BUCKETS) -> DataFrame:
+    """(term, tf): the most frequent terms of the corpus; ties go to the alphabetically first.
+
+    A first pass counts occurrences by hash bucket: no term is more frequent than its bucket, so at most ``buckets`` rows leave a
+    task. A second pass counts the terms of the buckets that reach a floor, and only those. If ``max_features`` of them reach the
+    floor themselves, all other terms lie below these, and the counts decide; else the floor is halved. The first floor is
+    set a little below the bucket at the cut, less what rare terms put into the middle bucket.
+    """
+    terms = _exploded(_terms(df, text), F.col("terms")).withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"))
+    loads = stage(terms.groupBy("bucket").agg(F.count(F.lit(1)).alias("load")), "term-buckets")
+    n, cut = loads.orderBy(F.desc("load")).limit(max_features).agg(F.count(F.lit(1)), F.min("load")).first()
+    middle = loads.agg(F.percentile_approx("load", 0.5)).first()[0]
+    floor = max(1, (cut - middle) * 4 // 5) if n >= max_features else 1
+    while True:
+        heavy = loads.filter(F.col("load") >= floor).select("bucket")
+        counts = stage(terms.join(F.broadcast(heavy), "bucket", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("tf")), "term-counts")
+        if floor == 1 or counts.filter(F.col("tf") >= floor).count() >= max_features:
+            return _top(counts, max_features)
+        floor //= 2
+
+
+def document_frequency(df: DataFrame, text: str, chosen: DataFrame) -> DataFrame:
+    """``chosen`` (term, and a bounded number of rows) with ``df``, the number of rows that have the term."""
+    listed = F.broadcast(stage(chosen, "vocabulary"))
+    found = _exploded(_terms(df, text), F.array_distinct("terms")).join(listed, "term")
+    return found.groupBy(*chosen.columns).agg(F.count(F.lit(1)).alias("df"))
 
 
-def top_terms(counts: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
-    """The first ``max_features`` rows by (tf descending, term).
+def _top(counts: DataFrame, max_features: int) -> DataFrame:
+    """The first ``max_features`` rows by (tf descending, term) of a staged table.
 
     The frequency at the cut is found first, from the number of terms per
     frequency, so that the final sort sees the chosen terms and the ties at the
     cut, not the candidates of every partition.
     """
-    counts = stage(counts, "term-counts")
     levels = counts.groupBy("tf").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("tf")).limit(max_features).collect()
     cut, total = 0, 0
     for level in levels:

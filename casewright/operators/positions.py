@@ -9,13 +9,13 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from casewright.session import stage
+
 ROWS_PER_BUCKET = 100_000
+BYTES_PER_BUCKET = 256 << 20
 SMALL_ROWS = 100_000
-_EXACT_DOUBLE = 2**53
 
 
 def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
@@ -63,43 +63,49 @@ def file_position(df: DataFrame, name: str = "row_position") -> DataFrame:
 
 def _by_key(df: DataFrame, key: str) -> list[Column]:
     """Order by the key, nulls last, then by the content; ``__tie`` is the content hash."""
-    return [F.col(key).asc_nulls_last(), F.col("__tie"), *[F.col(c) for c in df.columns if c != key]]
+    return [F.col(key).asc_nulls_last(), F.col("__tie"), *[F.col(c) for c in df.columns if c not in (key, "__tie")]]
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row: its texts and 16 for each other column."""
+    return sum([F.coalesce(F.octet_length(c), F.lit(0)).cast("long") if kind in ("string", "binary") else F.lit(16) for c, kind in df.dtypes], F.lit(0))
+
+
+def _ranges(tagged: DataFrame, key: str, ranges: int) -> DataFrame:
+    """``tagged`` (with ``__tie``), staged in sorted ranges; ``__at`` is the range's number << 33 plus the row's place there.
+
+    The ranges are cut in the key's own type, so neighbouring whole numbers beyond 2^53 stay apart. Rows of one key are
+    split by their content hash, and equal rows, which nobody can tell apart, by a salt that is written before it is used.
+    """
+    order = _by_key(tagged, key)
+    salted = stage(tagged.withColumn("__salt", F.xxhash64(F.monotonically_increasing_id())), "rows-to-rank")
+    placed = salted.repartitionByRange(ranges, order[0], "__tie", "__salt").sortWithinPartitions(*order)
+    return stage(placed.drop("__salt").withColumn("__at", F.monotonically_increasing_id()), "ranked-rows")
+
+
+def _placed(tagged: DataFrame, key: str, name: str, rows_per_bucket: int) -> DataFrame:
+    """``tagged`` with the 0-based position along ``_by_key``, in ranges of bounded rows and bytes."""
+    n, size = tagged.agg(F.count(F.lit(1)), F.sum(_row_bytes(tagged))).first()
+    ranges = max(math.ceil(n / rows_per_bucket), math.ceil((size or 0) / BYTES_PER_BUCKET))
+    if ranges <= 1:
+        row = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(*_by_key(tagged, key)))
+        return tagged.withColumn(name, (row - 1).cast("long"))
+    placed = _ranges(tagged, key, ranges).withColumn("__range", F.shiftright("__at", 33))
+    sizes = placed.groupBy("__range").agg(F.count(F.lit(1)).alias("__size"))
+    before = W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)  # a row per range
+    starts = sizes.select("__range", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"))
+    place = F.col("__at").bitwiseAND((1 << 33) - 1)
+    return placed.join(small_side(starts), "__range").withColumn(name, F.col("__start") + place).drop("__range", "__at", "__start")
 
 
 def key_position(
     df: DataFrame, key: str, name: str = "row_position", rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """0-based position in the order of a numeric key; nulls come last, rows with equal keys are ordered by their content.
+    """0-based position in the order of a key; nulls come last, rows with equal keys are ordered by their content.
 
-    Bucket edges are approximate quantiles. A value that fills several quantiles
-    is a hot key: it gets a bucket of its own, split further by the content hash;
-    so do the nulls.
+    Rows move once, to sampled ranges of the order; a hot key, nulls and copies of one row included, fills many ranges.
     """
-    order = _by_key(df, key)
-    tagged = df.withColumn("__tie", F.xxhash64(*df.columns))
-    n, top = tagged.agg(F.count(F.lit(1)), F.max(F.abs(F.col(key).cast("double")))).first()
-    buckets = math.ceil(n / rows_per_bucket)
-    if buckets <= 1:
-        row = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(*order))
-        return tagged.withColumn(name, (row - 1).cast("long")).drop("__tie")
-
-    buckets = min(buckets, 10_000)
-    shares = [i / buckets for i in range(1, buckets)]
-    cuts = tagged.agg(F.percentile_approx(F.col(key).cast("double"), shares, buckets * 10)).first()[0] or []
-    hot = {v for v, nxt in zip(cuts, cuts[1:]) if v == nxt}
-    edges = sorted({-math.inf, math.inf, *cuts, *[float(np.nextafter(v, math.inf)) for v in hot]})
-    if len(edges) < 3:  # no key but nulls
-        edges = [-math.inf, 0.0, math.inf]
-    hot_buckets = [i for i, edge in enumerate(edges[:-1]) if edge in hot] if (top or 0) < _EXACT_DOUBLE else []
-    hot_buckets.append(len(edges) - 1)  # "keep" puts nulls and values that are no numbers there
-    bucketed = Bucketizer(splits=edges, inputCol="__key", outputCol="__bucket", handleInvalid="keep").transform(
-        tagged.withColumn("__key", F.coalesce(F.col(key).cast("double"), F.lit(math.nan))))
-    bits = max(1, math.ceil(math.log2(buckets)))
-    part = F.when(F.col("__bucket").isin(hot_buckets), F.shiftright("__tie", 64 - bits)).otherwise(F.lit(0))
-    part = part + F.when(F.col(key).isNull(), F.lit(1 << 40)).otherwise(F.lit(0))
-    ranked = _add_offsets(
-        bucketed.withColumn("__part", part), [], ["__bucket", "__part"], order, "__rank")
-    return ranked.withColumn(name, F.col("__rank") - 1).drop("__tie", "__key", "__bucket", "__part", "__rank")
+    return _placed(df.withColumn("__tie", F.xxhash64(*df.columns)), key, name, rows_per_bucket).drop("__tie")
 
 
 def shuffled_rank(
@@ -123,11 +129,23 @@ def shuffled_rank(
     return _add_offsets(tagged, [group], ["__prefix"], order, name).drop("__md5", "__prefix")
 
 
-def limit_rows(df: DataFrame, n: int, key: str, heap_rows: int = 10_000) -> DataFrame:
+def limit_rows(df: DataFrame, n: int, key: str, heap_rows: int = 10_000, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """The first ``n`` rows by key, nulls last, equal keys by content.
 
-    Small limits use a heap per task, large ones the distributed position; the rows are the same.
+    Small limits use a heap per task. For large ones only (key, content hash) is ranked, to find the last row that stays; whole
+    rows stay where they are, but for those equal to the last one. Both ways give the same rows.
     """
+    tagged = df.withColumn("__tie", F.xxhash64(*df.columns))
     if n <= heap_rows:
-        return df.withColumn("__tie", F.xxhash64(*df.columns)).orderBy(*_by_key(df, key)).limit(n).drop("__tie")
-    return key_position(df, key, "__position").filter(F.col("__position") < n).drop("__position")
+        return tagged.orderBy(*_by_key(df, key)).limit(n).drop("__tie")
+    ranked = _placed(tagged.select(key, "__tie"), key, "__position", rows_per_bucket)
+    last = ranked.filter(F.col("__position") == n - 1).first()
+    if last is None:
+        return df
+    value, tie = F.lit(last[key]).cast(df.schema[key].dataType), F.col("__tie")
+    same = F.col(key).eqNullSafe(value)
+    earlier = F.col(key).isNotNull() if last[key] is None else F.coalesce(F.col(key) < value, F.lit(False))
+    first = ranked.filter(same & (tie == last["__tie"])).agg(F.min("__position")).first()[0]
+    edge = _placed(tagged.filter(same & (tie == last["__tie"])), key, "__position", rows_per_bucket)
+    return tagged.filter(earlier | (same & (tie < last["__tie"]))).drop("__tie").unionByName(
+        edge.filter(F.col("__position") < n - first).drop("__tie", "__position"))

@@ -1,10 +1,13 @@
 """Calls to embedders and responders: exact batches, halving of a failing batch, the vote of the examples."""
 
 import json
+import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
 from casewright.functions import models
+from casewright.operators import baseline
 
 
 def test_batches_are_full_and_one_bad_text_loses_one_row(spark):
@@ -50,3 +53,24 @@ def test_vote_weighs_by_place():
     assert ask("A", "B", "B")["complaint_type"] == "A"
     assert ask("A", "B", "B", "B")["complaint_type"] == "B"
     assert ask() == {}
+
+
+def test_vocabulary_is_exact_in_two_passes(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(rng.choices(words, [1 / (i + 1) for i in range(400)], k=rng.choice([0, 1, 30, 90]))) for _ in range(120)] + [None, "", "a b c", "w1 " * 3000]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(5)
+    terms = Counter()
+    rows = Counter()
+    for t in texts:
+        found = [w for w in (t or "").split() if len(w) > 1]
+        found += [f"{a} {b}" for a, b in zip(found, found[1:])]
+        terms.update(found)
+        rows.update(set(found))
+    ranked = sorted(terms.items(), key=lambda x: (-x[1], x[0]))
+    for size, buckets in ((50, 1 << 20), (50, 64), (50, 2), (50, 1), (1, 16), (300, 4096), (10**6, 64)):
+        got = baseline.vocabulary(df, "t", size, buckets)
+        assert sorted(((r.term, r.tf) for r in got.collect()), key=lambda x: (-x[1], x[0])) == ranked[:size], (size, buckets)
+    both = {(r.term, r.tf, r.df) for r in baseline.document_frequency(df, "t", baseline.vocabulary(df, "t", 70, 512)).collect()}
+    assert both == {(t, n, rows[t]) for t, n in ranked[:70]}
+    assert baseline.vocabulary(df.limit(0), "t").count() == 0

@@ -47,6 +47,29 @@ def test_limit_and_position_with_null_and_repeated_keys(spark):
     assert positions.key_position(nulls, "k", "pos", rows_per_bucket=10).agg({"pos": "max"}).first()[0] == 61
 
 
+def test_ranges_beyond_2_53_and_of_copies_are_bounded(spark, monkeypatch):
+    hot = 2**53 + 1
+    rows = [(hot, f"v{i}") for i in range(200)] + [(hot + 1, "same")] * 200 + [(hot - 1, "x"), (2**53 + 2, "y"), (None, "z"), (-5, "w")]
+    df = spark.createDataFrame(rows, "k bigint, v string").repartition(4)
+    tagged = df.withColumn("__tie", F.xxhash64(*df.columns))
+    sizes = [r["count"] for r in positions._ranges(tagged, "k", 20).groupBy(F.shiftright("__at", 33)).count().collect()]
+    assert sum(sizes) == len(rows) and max(sizes) <= 60, sizes
+    got = [tuple(r) for r in positions.key_position(df, "k", "pos", rows_per_bucket=20).orderBy("pos").select("pos", "k", "v").collect()]
+    assert [p for p, _, _ in got] == list(range(len(rows)))
+    assert [k for _, k, _ in got] == sorted(k for k, _ in rows if k is not None) + [None]
+    plain = [tuple(r) for r in positions.key_position(df, "k", "pos").orderBy("pos").select("pos", "k", "v").collect()]
+    assert got == plain
+    for n in (1, 150, 300, 403, 404, 999):
+        many = sorted(((r.k, r.v) for r in positions.limit_rows(df, n, "k", heap_rows=0, rows_per_bucket=20).collect()), key=repr)
+        assert many == sorted([(k, v) for _, k, v in plain[:n]], key=repr), n
+    monkeypatch.setattr(positions, "BYTES_PER_BUCKET", 4 << 20)
+    wide = spark.range(24).select("id", F.repeat(F.lit("x"), 1 << 20).alias("v"))
+    seen = []
+    ranges = positions._ranges
+    monkeypatch.setattr(positions, "_ranges", lambda *a: seen.append(a[-1]) or ranges(*a))
+    assert [r.id for r in positions.key_position(wide, "id", "pos").orderBy("pos").select("id").collect()] == list(range(24)) and seen == [7]
+
+
 def test_file_position_over_many_files(spark, tmp_path):
     path = str(tmp_path / "t")
     for start in (0, 100, 150):

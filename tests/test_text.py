@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from casewright import fixed_values as fv
 from casewright.functions import answers, prompts, rules, text as tx
+from casewright.functions.keywords import keyword_counts
 from casewright.operators import prepare
 
 
@@ -141,6 +142,19 @@ def test_count_occurrences(spark):
     assert column(spark, texts, lambda c: rules.count_occurrences(c, fv.NEGATIVE_WORDS)) == [sum(e) for e in expected]
 
 
+def test_keyword_counts(spark):
+    lists = {"a b": ["no", "not", "cannot", "aa", "é", "日本"], "two": ["not", "not", "a"], "none": []}
+    texts = ["cannot", "aaaaa", "no not nnot", "", None, "é日本日本 é", "x" * 100_000 + "aa" * 50_000, "NOT"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = [r.n for r in df.select("i", keyword_counts(F.col("t"), lists).alias("n")).orderBy("i").collect()]
+    assert [None if n is None else list(n) for n in got] == [None if t is None else [sum(t.count(w) for w in words) for words in lists.values()] for t in texts]
+    assert df.limit(0).select(keyword_counts(F.col("t"), lists)).count() == 0
+    plan = df.select(keyword_counts(F.col("t"), lists).alias("n")).select("n.two", "n.none")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    with pytest.raises(ValueError):
+        keyword_counts(F.col("t"), {"x": [""]})
+
+
 def python_parse(text):
     """What a strict parse with the braces fallback gives; None unless an object."""
     import re

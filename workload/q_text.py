@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casewright import fixed_values as fv
 from casewright.functions import answers, prompts, rules, text as tx
+from casewright.functions.keywords import keyword_counts
 from casewright.operators import baseline, joins, prepare
 from casewright.plans import flows
 from workload import roles
@@ -164,11 +165,9 @@ def contains_any(spark: SparkSession, d: str) -> DataFrame:
     CAST({roles.count_sql('t', fv.NEGATIVE_WORDS)} AS BIGINT) AS negative
   FROM (SELECT ticket_id, lower(clean_text) AS t FROM {roles.TICKETS_SQL})""")
 def count_occurrences(spark: SparkSession, d: str) -> DataFrame:
-    lowered = roles.tickets(spark, d).select("ticket_id", F.lower("clean_text").alias("t"))
-    return lowered.select(
-        "ticket_id", rules.count_occurrences(F.col("t"), fv.POSITIVE_WORDS).alias("positive"),
-        rules.count_occurrences(F.col("t"), fv.NEUTRAL_WORDS).alias("neutral"),
-        rules.count_occurrences(F.col("t"), fv.NEGATIVE_WORDS).alias("negative"))
+    lists = {"positive": fv.POSITIVE_WORDS, "neutral": fv.NEUTRAL_WORDS, "negative": fv.NEGATIVE_WORDS}
+    counted = roles.tickets(spark, d).withColumn("n", keyword_counts(F.lower("clean_text"), lists))
+    return counted.select("ticket_id", "n.positive", "n.neutral", "n.negative")
 
 
 _ALL_TEXTS_SQL = f"""(SELECT ticket_id, clean_text, input_text FROM {roles.PHRASE_TICKETS_SQL}
@@ -183,9 +182,9 @@ def sentiment_by_lexicon(spark: SparkSession, d: str) -> DataFrame:
     return rules.with_calib_sentiment(phrases.unionByName(docs)).select("ticket_id", "calib_sentiment")
 
 
-@query(f"SELECT ticket_id, calib_severity FROM {roles.severity_sql(roles.PHRASE_TICKETS_SQL)}")
+@query(f"SELECT ticket_id, calib_severity FROM {roles.severity_sql(roles.PREDICTED_SQL)}")
 def calibrate_severity(spark: SparkSession, d: str) -> DataFrame:
-    return rules.with_calib_severity(roles.phrase_tickets(spark, d)).select("ticket_id", "calib_severity")
+    return rules.with_calib_severity(roles.predicted(spark, d)).select("ticket_id", "calib_severity")
 
 
 @query(f"""SELECT ticket_id, coalesce(pred_sentiment, 'Negative') AS calib_sentiment,
@@ -292,10 +291,10 @@ def fill_prompt(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""SELECT s.ticket_id, v.calib_severity, s.calib_sentiment
-  FROM {roles.sentiment_sql(roles.PHRASE_TICKETS_SQL)} s
-  JOIN {roles.severity_sql(roles.PHRASE_TICKETS_SQL)} v ON v.ticket_id = s.ticket_id""")
+  FROM {roles.sentiment_sql(roles.PREDICTED_SQL)} s
+  JOIN {roles.severity_sql(roles.PREDICTED_SQL)} v ON v.ticket_id = s.ticket_id""")
 def calibrate_tickets(spark: SparkSession, d: str) -> DataFrame:
-    return flows.calibrate(roles.phrase_tickets(spark, d)).select("ticket_id", "calib_severity", "calib_sentiment")
+    return flows.calibrate(roles.predicted(spark, d)).select("ticket_id", "calib_severity", "calib_sentiment")
 
 
 # ---- terms --------------------------------------------------------------------------------------------
@@ -328,6 +327,5 @@ def ngrams_1_2(spark: SparkSession, d: str) -> DataFrame:
   ORDER BY tf DESC, term LIMIT 20000""")
 def count_vectorize(spark: SparkSession, d: str) -> DataFrame:
     """The vocabulary: top 20,000 terms by corpus frequency, with their document frequency."""
-    words = _documents(spark, d).select(tx.tokens(F.col("text")).alias("words"))
-    stats = baseline.term_statistics(words.select(tx.unigrams_and_bigrams(F.col("words")).alias("terms")))
-    return baseline.top_terms(stats)
+    docs = _documents(spark, d)
+    return baseline.document_frequency(docs, "text", baseline.vocabulary(docs, "text"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from casewright import fixed_values as fv
 from casewright.functions.prompts import header_for
+from casewright.functions.text import clean_text
 from casewright.operators import hashed, vectors
 from casewright.plans import flows
 from casewright.session import fresh_path, stage
@@ -65,7 +66,19 @@ def fewshot_lookup_join(spark: SparkSession, d: str) -> DataFrame:
                         F.md5("text").alias("text_md5"))
 
 
-# ---- prompts --------------------------------------------------------------------------------
+# ---- prompts: every document is a ticket --------------------------------------------------------------------------------
+
+
+_BUCKETS_SQL = r"""(SELECT doc_id, CAST(('0x' || md5(token)[1:4]) AS INTEGER) % 64 AS dim, count(*) AS c
+  FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) AS token FROM documents)
+  GROUP BY 1, 2)"""
+
+_VECTORS_SQL = f"""(SELECT doc_id, list(coalesce(c, 0)::DOUBLE ORDER BY dim) AS v
+  FROM (SELECT doc_id, unnest(range(64)) AS dim FROM documents) LEFT JOIN {_BUCKETS_SQL} USING (doc_id, dim) GROUP BY doc_id)"""
+
+_EXAMPLES_SQL = f"""(SELECT doc_id, vec_id, row_number() OVER (PARTITION BY doc_id ORDER BY round(distance, 12), vec_id) AS rank
+  FROM (SELECT doc_id, vec_id, 1 - CASE WHEN list_sum(v) = 0 THEN 0 ELSE list_cosine_similarity(v, CAST(embedding AS DOUBLE[])) END AS distance
+        FROM {_VECTORS_SQL}, embeddings WHERE doc_id <> vec_id))"""
 
 
 def _snippet_sql(root_cause: str, action: str) -> str:
@@ -77,8 +90,8 @@ def _snippet_sql(root_cause: str, action: str) -> str:
 def _prompt_sql(header: str, root_cause: str, action: str) -> str:
     return f"""SELECT e.ticket_id, md5(concat({roles.text_sql(header)}, chr(10), e.examples, chr(10), 'Now classify:', chr(10),
         '```', replace(coalesce(t.clean_text, ''), '```', ''), '```', chr(10))) AS prompt_md5
-      FROM (SELECT n.query_id AS ticket_id, string_agg({_snippet_sql(root_cause, action)}, '' ORDER BY n.rank) AS examples
-            FROM {roles.knn_sql(3)} n JOIN {roles.INDEX_SQL} i ON i.row_index = n.neighbor_id GROUP BY n.query_id) e
+      FROM (SELECT n.doc_id AS ticket_id, string_agg({_snippet_sql(root_cause, action)}, '' ORDER BY n.rank) AS examples
+            FROM {_EXAMPLES_SQL} n JOIN {roles.INDEX_SQL} i ON i.row_index = n.vec_id WHERE n.rank <= 3 GROUP BY n.doc_id) e
       LEFT JOIN {roles.TICKETS_SQL} t ON t.ticket_id = e.ticket_id"""
 
 
@@ -86,7 +99,8 @@ def _prompted(spark: SparkSession, d: str, mode: str, **options) -> DataFrame:
     path = fresh_path(spark, "prompt-index")
     vectors.build_vector_index(roles.vector_index(spark, d), path, "row_index", "text")
     index = readers.read_vector_index(spark, path)
-    tickets = index.select(F.col("row_index").alias("ticket_id"), "embedding", F.col("text").alias("clean_text"))
+    docs = roles.table(spark, d, "documents").select(F.col("doc_id").alias("ticket_id"), "text", clean_text(F.col("text")).alias("clean_text"))
+    tickets = vectors.hashed_embedding(docs, "text").drop("text")
     return flows.fewshot_prompts(tickets, index, 3, mode, **options).select(
         "ticket_id", F.md5("prompt").alias("prompt_md5"))
 
@@ -106,10 +120,6 @@ def prompt_mode(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- embeddings -------------------------------------------------------------------------------
 
-_BUCKETS_SQL = r"""(SELECT doc_id, CAST(('0x' || md5(token)[1:4]) AS INTEGER) % 64 AS dim, count(*) AS c
-  FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) AS token FROM documents)
-  GROUP BY 1, 2)"""
-
 
 @query(f"""SELECT doc_id, dim, round(c / sqrt(sum(c * c) OVER (PARTITION BY doc_id)), 6) AS weight FROM {_BUCKETS_SQL}""")
 def embed_text(spark: SparkSession, d: str) -> DataFrame:

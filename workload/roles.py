@@ -115,6 +115,23 @@ PHRASE_TICKETS_SQL = f"""(
                CASE event_type {_SENTIMENT_CASE} END AS pred_sentiment
         FROM events))"""
 
+
+
+def predicted(spark: SparkSession, folder: str) -> DataFrame:
+    """The phrase tickets, and all documents under negative numbers with predictions by number."""
+    docs, number = tickets(spark, folder), F.col("ticket_id")
+    null = F.lit(None).cast("string")
+    columns = ["ticket_id", "clean_text", "input_text", "pred_complaint_type", "pred_severity", "pred_sentiment"]
+    return phrase_tickets(spark, folder).select(columns).unionByName(docs.select(
+        (-1 - number).alias("ticket_id"), "clean_text", null.alias("input_text"), pick(COMPLAINTS, number).alias("pred_complaint_type"),
+        pick(SEVERITY_VALUES, number).alias("pred_severity"), null.alias("pred_sentiment")))
+
+
+PREDICTED_SQL = f"""(
+  SELECT ticket_id, clean_text, input_text, pred_complaint_type, pred_severity, pred_sentiment FROM {PHRASE_TICKETS_SQL}
+  UNION ALL SELECT -1 - ticket_id, clean_text, NULL, {pick_sql(COMPLAINTS, 'ticket_id')}, {pick_sql(SEVERITY_VALUES, 'ticket_id')}, NULL
+  FROM {TICKETS_SQL})"""
+
 # ---- gold labels on documents ---------------------------------------------------------------
 
 
