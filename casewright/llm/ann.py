@@ -106,8 +106,10 @@ def search(vectors: DataFrame, is_question, k: int = 10, id_col: str = "vec_id",
     parts = max(1, -(-entries.count() // _PART))
     blocks = max(1, -(-asked.count() // _BLOCK))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = entries.select("dims", "entry", "vector", F.pmod(F.xxhash64("entry"), F.lit(parts)).alias("part"), every(blocks).alias("block"))
-    right = asked.select("dims", "row", "vector", every(parts).alias("part"), F.pmod(F.xxhash64("row"), F.lit(blocks)).alias("block"))
+    # Both sides' keys are ints: an int and a long of one value hash differently, and their groups would not meet.
+    dealt = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    left = entries.select("dims", "entry", "vector", dealt("entry", parts).alias("part"), every(blocks).alias("block"))
+    right = asked.select("dims", "row", "vector", every(parts).alias("part"), dealt("row", blocks).alias("block"))
 
     def meet(own: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
         out = []

@@ -94,3 +94,21 @@ def test_components_whose_squares_overflow(spark):
         assert len(near) == len(want)
         assert np.allclose([s for _, s in near], [s for s, _ in want], rtol=1e-12, atol=0)
     assert got[300][0][0] == 301 and ann._distances(np.array([[1.7e308, 0.0]]), np.array([-1.7e308, 0.0]))[0] == np.inf
+
+
+def test_parts_meet_whatever_task_they_are_in(spark, monkeypatch):
+    """Many parts and blocks in tasks that are not merged: a part that misses its questions shows."""
+    monkeypatch.setattr(ann, "_PART", 40)
+    monkeypatch.setattr(ann, "_BLOCK", 3)
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(500)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lambda c: c % 50 == 0).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = collections.defaultdict(set)
+    for r in found:
+        got[r.query_id].add(r.vec_id)
+    want = {rows[i][0]: {v for _, v in near[:10]} for i, near in plain(rows, lambda i: i % 50 == 0).items()}
+    assert set(got) == set(want) and sum(len(got[q] & want[q]) for q in want) >= 0.97 * 10 * len(want)
