@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -26,6 +27,9 @@ _SIDE = {1: 8192, 4: 32768}
 _STEP = 1 << 16
 #: Most texts and bytes of text of one piece of a group whose texts are compared exactly.
 _PIECE, _PIECE_BYTES = 1024, 4 << 20
+#: Hashes below this are small: three in ten, so that a text of its own has more of them than a prefix is long. About so many a text.
+_SMALL, _SMALL_SHINGLES = np.uint64(3 * 2**64 // 10), 96
+_PARITY_BITS = 512
 
 
 def shingle_hashes(text: bytes, words_per_shingle: int) -> np.ndarray:
@@ -251,31 +255,64 @@ def link(fps: DataFrame, probe_bits: int, max_bits: int, radius: int | None = No
     return sent.groupBy("block", "leaf", "base", "ask").applyInPandas(meet, "a long, b long").distinct()
 
 
-def _alike(sets: list[np.ndarray], fps: np.ndarray, side: np.ndarray, max_bits: int, least: float) -> list[tuple[int, int]]:
-    """Pairs at a Jaccard similarity of ``least`` or more that make the same components as all such pairs would.
+def _prefix(size: int, least: float) -> int:
+    """Of two sets at a Jaccard similarity of ``least`` or more the first so many elements share one, whatever the common order."""
+    return size - math.ceil(least * size - 1e-9) + 1
 
-    ``fps`` has a row of parts for each set. If ``side`` has two values only pairs across them are looked at. Those at
-    more than ``max_bits`` and those whose sizes or components decide the matter are not compared.
-    """
-    sizes, group, crossing = np.array([len(s) for s in sets]), np.arange(len(sets)), len(np.unique(side)) > 1
-    found = []
-    for i in range(1, len(sets)):
+
+def _parity(hashes: np.ndarray) -> np.ndarray:
+    """A bit for each of ``_PARITY_BITS`` buckets: whether an odd number of the distinct hashes is in it. Sets differ in as many elements as bits, at least."""
+    odd = np.bincount((hashes >> np.uint64(20)).astype(np.int64) & (_PARITY_BITS - 1), minlength=_PARITY_BITS) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.uint64)
+
+
+def _maybe_alike(sizes: np.ndarray, odd: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Pairs that connect all sets which may, by sizes and parities, have a Jaccard similarity of ``least`` or more."""
+    group, found = np.arange(len(sizes)), []
+    for i in range(1, len(sizes)):
+        differ = np.bitwise_count(odd[:i] ^ odd[i]).sum(axis=1, dtype=np.int64)
         small, large = np.minimum(sizes[:i], sizes[i]), np.maximum(sizes[:i], sizes[i])
-        maybe = (np.bitwise_count(fps[:i] ^ fps[i]).sum(axis=1, dtype=np.int64) <= max_bits) & (small >= least * large)
-        if crossing:
-            maybe &= side[:i] != side[i]
+        maybe = (differ * (1 + least) <= (1 - least) * (sizes[:i] + sizes[i]) + 1e-6) & (small >= least * large - 1e-9)
         for j in np.flatnonzero(maybe).tolist():
-            if group[i] == group[j]:
-                continue
-            both = np.concatenate([sets[i], sets[j]])
-            both.sort(kind="stable")
-            shared = int(np.count_nonzero(both[1:] == both[:-1]))
-            if shared >= least * (len(both) - shared):
+            if group[i] != group[j]:
                 group[group == group[j]] = group[i]
                 found.append((i, j))
     return found
 
 
+def _alike(sets: list[np.ndarray], side: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Pairs at a Jaccard similarity of ``least`` or more that make the same components as all such pairs would.
+
+    If ``side`` has two values only pairs across them are looked at. A set is compared with those that share one of its
+    rarest elements, unless sizes or components decide the matter. Empty sets are alike.
+    """
+    sizes, group, crossing = np.array([len(s) for s in sets]), np.arange(len(sets)), len(np.unique(side)) > 1
+    _, element, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    cuts = np.cumsum(sizes)[:-1]
+    holders: dict[int, list[int]] = {}
+    found = []
+    for i, own in enumerate(np.split(element, cuts)):
+        rarest = own[np.lexsort((own, counts[own]))][:_prefix(len(own), least)]
+        keys = rarest[counts[rarest] > 1].tolist() if len(own) else [-1]
+        near = [holders[k] for k in keys if k in holders]
+        if near:
+            others = np.unique(np.concatenate([np.array(x) for x in near]))
+            small, large = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
+            others = others[(group[others] != group[i]) & (small >= least * large - 1e-9) & ((side[others] != side[i]) | (not crossing))]
+            for j in others.tolist():
+                if group[i] == group[j]:
+                    continue
+                both = np.concatenate([sets[i], sets[j]])
+                both.sort(kind="stable")
+                shared = int(np.count_nonzero(both[1:] == both[:-1]))
+                if shared >= least * (len(both) - shared) - 1e-9:
+                    group[group == group[j]] = group[i]
+                    found.append((i, j))
+        for k in keys:
+            holders.setdefault(k, []).append(i)
+    return found
+
+
 def _held(keys: DataFrame, n: int, name: str) -> Callable[[Column], Column]:
     """A test whether a long is probably among the ``n`` of the one column of ``keys``; it never misses one that is."""
     shared = bloom.share(keys, bloom.build(keys, lambda b: b.column(0).to_numpy().view(np.uint64), bloom.bits_for(n), name)[0])
@@ -287,15 +324,76 @@ def _held(keys: DataFrame, n: int, name: str) -> Callable[[Column], Column]:
     return maybe
 
 
-def confirmed(links: DataFrame, fps: DataFrame, docs: DataFrame, id_col: str, text_col: str, words_per_shingle: int, max_bits: int, least: float) -> DataFrame:
+def sharing(fps: DataFrame, docs: DataFrame, id_col: str, text_col: str, words_per_shingle: int, least: float) -> DataFrame:
+    """(a, b): links within whose components all pairs of texts at a Jaccard similarity of ``least`` or more lie.
+
+    Two such texts share a shingle among the first ``_prefix`` of each, in any order common to all texts. Here those that no
+    other text has come first, as far as a twice-seen filter of the shingles with small hashes knows them; they link nothing
+    and stay where they are. So a text with enough shingles of its own sends none. Of copies one row is read.
+    """
+    n = fps.count()
+    first = _held(fps.select(F.xxhash64("node", "first.id").alias("row")), n, "simhash-first")
+    version = F.xxhash64(text_col)
+    texts = docs.filter(first(F.xxhash64(version, F.col(id_col)))).select(version.alias("node"), F.col(text_col).alias("text"))
+
+    def small(batch: pa.RecordBatch) -> np.ndarray:
+        found = [np.empty(0, np.uint64)]
+        for part in slices([batch]):
+            for t in as_bytes(part.column("text")):
+                own = np.unique(shingle_hashes(t, words_per_shingle))
+                found.append(own[:np.searchsorted(own, _SMALL)])
+        return np.concatenate(found)
+
+    twice = bloom.share(docs, bloom.build(texts, small, bloom.bits_for(n * _SMALL_SHINGLES), "simhash-shingles")[1])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            rows, sizes, odd, keys = [], [], [], []
+            for i, t in enumerate(as_bytes(batch.column("text"))):
+                own = np.unique(shingle_hashes(t, words_per_shingle))
+                known = bloom.holds(twice.value, own[:np.searchsorted(own, _SMALL)])
+                left = _prefix(len(own), least) - int(np.count_nonzero(~known))
+                if left > 0 and len(own):
+                    rows.append(i), sizes.append(len(own)), odd.append(_parity(own))
+                    keys.append(np.delete(own, np.flatnonzero(~known))[:left].view(np.int64))
+            odd = np.array(odd, np.uint64).reshape(-1, len(odds)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(rows, pa.int64())), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64())),
+                                              *(pa.array(odd[:, i]) for i in range(len(odds)))], names=["node", "size", "keys", *odds])
+
+    odds = [f"odd{i}" for i in range(_PARITY_BITS // 64)]
+    kinds = ", ".join(f"{c} long" for c in odds)
+    sets = stage(texts.mapInArrow(send, f"node long, size long, keys array<long>, {kinds}").dropDuplicates(["node"]), "simhash-prefixes")
+    sent = sets.select("node", F.explode("keys").alias("key"))
+    shared = stage(sent.groupBy("key").agg(F.min("node").alias("low"), F.count("*").alias("n")).filter("n > 1"), "simhash-shared")
+    total = shared.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    rows = stage(join_unique(sent, shared, "key", "n", total, "inner"), "simhash-sharing")
+    bundles = max(1, -(-total // _STEP))
+
+    def meet(table: pa.Table) -> pa.Table:
+        key, node, size = (table.column(c).to_numpy() for c in ("key", "node", "size"))
+        odd = np.stack([table.column(c).to_numpy() for c in odds], axis=1).view(np.uint64)
+        order = np.lexsort((node, key))
+        a, b = [], []
+        for own in np.split(order, np.flatnonzero(np.diff(key[order])) + 1):
+            for i, j in _maybe_alike(size[own], odd[own], least):
+                a.append(node[own[i]])
+                b.append(node[own[j]])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    few = rows.filter(F.col("n") <= _PIECE).join(sets.drop("keys"), "node").withColumn("bundle", F.pmod(F.xxhash64("key"), F.lit(bundles)))
+    # A shingle of very many texts links them all; the exact comparison tells them apart.
+    many = rows.filter((F.col("n") > _PIECE) & (F.col("node") != F.col("low"))).select(F.col("node").alias("a"), F.col("low").alias("b"))
+    return few.select("bundle", "key", "node", "size", *odds).groupBy("bundle").applyInArrow(meet, "a long, b long").unionByName(many).distinct()
+
+
+def confirmed(links: DataFrame, fps: DataFrame, docs: DataFrame, id_col: str, text_col: str, words_per_shingle: int, least: float) -> DataFrame:
     """(a, b): links that make the components of all pairs of texts at a Jaccard similarity of ``least`` or more within those of ``links``.
 
-    ``fps`` has a row (``node``, ``first``, parts) for each distinct text. Of each text in ``links`` the row with its first id
+    ``fps`` has a row (``node``, ``first``) for each distinct text. Of each text in ``links`` the row with its first id
     is fetched: a Bloom filter of these rows leaves all others where they are. The texts of a component are compared in one
     task if they are few; else they are cut into pieces, and every piece meets every other. Small components share tasks.
     """
-    parts = [c for c in fps.columns if c.startswith("part")]
-    near = stage(fps.select("node", F.xxhash64("node", "first.id").alias("row"), *parts).join(components(links, "simhash-near"), "node"), "simhash-candidates")
+    near = stage(fps.select("node", F.xxhash64("node", "first.id").alias("row")).join(components(links, "simhash-near"), "node"), "simhash-candidates")
     wanted = _held(near.select("row"), near.count(), "simhash-wanted")
     version = F.xxhash64(text_col)
     rows = docs.filter(wanted(F.xxhash64(version, F.col(id_col)))).select(version.alias("node"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -308,16 +406,15 @@ def confirmed(links: DataFrame, fps: DataFrame, docs: DataFrame, id_col: str, te
     bundle = F.when(F.col("pieces") == 1, F.pmod(F.xxhash64("root", F.lit(2)), F.lit(bundles))).otherwise(F.col("root"))
     sent = (join_unique(texts, loads, "root", "members", total, "inner").withColumn("piece", mine).withColumn("bundle", bundle)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-            .select("bundle", F.least("piece", "other").alias("low"), F.greatest("piece", "other").alias("high"), "root", "node", "piece", "text", *parts))
+            .select("bundle", F.least("piece", "other").alias("low"), F.greatest("piece", "other").alias("high"), "root", "node", "piece", "text"))
 
     def compare(table: pa.Table) -> pa.Table:
         root, node, piece = (table.column(c).to_numpy() for c in ("root", "node", "piece"))
-        fp = np.stack([table.column(c).to_numpy() for c in parts], axis=1).view(np.uint64)
         order = np.lexsort((node, root))
         sets = [np.unique(shingle_hashes(t.as_buffer().to_pybytes(), words_per_shingle)) for t in table.column("text")]
         a, b = [], []
         for rows in np.split(order, np.flatnonzero(np.diff(root[order])) + 1):
-            for i, j in _alike([sets[r] for r in rows], fp[rows], piece[rows], max_bits, least):
+            for i, j in _alike([sets[r] for r in rows], piece[rows], least):
                 a.append(node[rows[i]])
                 b.append(node[rows[j]])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -352,9 +449,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """id, version, parts, component_id and keeper_version for every row of ``docs``.
 
     By default two texts link if the sets of their five-word shingles have a Jaccard similarity of ``least`` or more. The
-    fingerprints, four parts of 64 bits, only find the candidates: pairs at 56 bits or fewer, where 38.8 are expected at
-    0.8, with a block of 16 bits that differs in one bit at most. One part and 4 bits are the classic form, which the
-    bits alone decide.
+    fingerprints, four parts of 64 bits, find most candidates: pairs at 56 bits or fewer, where 38.8 are expected at
+    0.8, with a block of 16 bits that differs in one bit at most. Those that they miss have a rare shingle in common
+    (``sharing``), so no pair is lost. One part and 4 bits are the classic form, which the bits alone decide.
 
     Texts without words, null ones included, have fingerprint zero and are linked like any other. Repeated rows stay
     repeated. An empty table gives an empty one. Only the two named columns are read.
@@ -362,7 +459,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marked = fingerprints(docs, id_col, text_col, words_per_shingle, n_parts)
     if n_parts == 1:
         return classes(marked, probe_bits, max_bits)
-    return classes(marked, probe_bits, max_bits, radius, lambda links, fps: confirmed(links, fps, docs, id_col, text_col, words_per_shingle, max_bits, least))
+
+    def confirm(links: DataFrame, fps: DataFrame) -> DataFrame:
+        every = links.unionByName(sharing(fps, docs, id_col, text_col, words_per_shingle, least))
+        return confirmed(every, fps, docs, id_col, text_col, words_per_shingle, least)
+
+    return classes(marked, probe_bits, max_bits, radius, confirm)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:

@@ -172,3 +172,20 @@ def test_keep_one_leaves_untouched_rows_and_repeats_alone(spark):
     got = sorted(map(str, map(tuple, simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)).collect())))
     assert got == sorted(map(str, [(5, text, "a"), (1, "alone here", "d"), (2, None, "e")]))
     assert simhash.keep_one(spark.createDataFrame(rows[4:5], "doc_id long, text string, source string")).count() == 1
+
+
+def test_short_texts_at_eight_tenths_are_all_linked(spark):
+    """Fingerprints of few shingles are noisy; pairs that they miss are found by their shingles."""
+    rng = np.random.default_rng(11)
+    texts = []
+    for n in (8, 12, 16, 20, 44):
+        for _ in range(80):
+            words = rng.integers(0, 10**6, n).astype(str).tolist()
+            # Words at the ends cost a shingle each; as many as 0.8 allows.
+            more = (n - 4) // 4
+            texts += [" ".join(words), " ".join([*words, *(f"x{w}" for w in words[:more])])]
+    alike = [len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b)) >= 0.8 for a, b in zip(texts[::2], texts[1::2])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    component = {r.id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert all(alike) and len({*component.values()}) == len(alike)
+    assert [component[2 * i + 1] for i in range(len(alike))] == [2 * i for i in range(len(alike))]
