@@ -7,6 +7,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -19,7 +20,7 @@ from casewright.session import stage
 MAX_LENGTH = 2048
 #: Pieces of one length numbered together, about.
 _BUCKET = 500
-#: Words whose ids a task remembers, and the longest such word.
+#: Words whose ids a Python worker remembers, from task to task, and the longest such word.
 _REMEMBERED, _LONGEST = 500_000, 32
 #: Words encoded as one text.
 _TOGETHER = 512
@@ -56,12 +57,10 @@ class _Encoder:
     def _encode(self, parts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self._tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
-    def forget(self) -> None:
-        self._known = {}
-
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self._known) > _REMEMBERED:
-            self._known = {}
+        if len(self._known) > _REMEMBERED:  # the latest words are the rarest
+            for word in list(islice(reversed(self._known), len(self._known) - _REMEMBERED // 2)):
+                del self._known[word]
         known, cut = self._known, []
         words: set[str] = set()  # without white space at their ends, so they are the same anywhere
         others: set[str] = set()
@@ -129,7 +128,6 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
                         ids.append(part)
             columns = [batch.column("id").take(pa.array(rows, pa.int64())), *(pa.array(x, pa.int64()) for x in (start, length, crc, whole))]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(ids, pa.binary())] * keep_ids, names=names)
-        _encoder(tokenizer).forget()  # workers outlive their tasks
 
     kind = narrow.schema["id"].dataType.simpleString()
     return narrow.mapInArrow(run, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * keep_ids)

@@ -107,3 +107,13 @@ def test_odd_rows_and_round_trip(spark, tokenizer, monkeypatch):
             assert sum((p for _, p in sorted(parts[i])), []) == [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1]
     assert len(parts[2]) == 2
     assert packing.pack(docs.limit(0), PATH).count() == 0
+
+
+def test_frequent_words_stay_known(monkeypatch):
+    """A full memory loses its latest words, which are the rarest, and the ids stay the same."""
+    monkeypatch.setattr(packing, "_REMEMBERED", 100)
+    encoder = packing._Encoder(PATH)
+    texts = ["the " + " ".join(f"common{i}" for i in range(40)), *(" ".join(f"rare{k}x{i}" for i in range(60)) for k in range(5))]
+    got = [encoder([t])[0] for t in texts]
+    assert {f"common{i}" for i in range(40)} <= set(encoder._known) and len(encoder._known) <= 160
+    assert got == [encoder._encode([t])[0] for t in texts]
