@@ -27,8 +27,9 @@ _SIDE = {1: 8192, 4: 32768}
 _STEP = 1 << 16
 #: Most texts and bytes of text of one piece of a group whose texts are compared exactly.
 _PIECE, _PIECE_BYTES = 1024, 4 << 20
-#: Hashes below this are small: three in ten, so that a text of its own has more of them than a prefix is long. About so many a text.
-_SMALL, _SMALL_SHINGLES = np.uint64(3 * 2**64 // 10), 96
+#: Hashes below this are small: three in ten, so that a text of its own has more of them than a prefix is long. A text has about 96; the
+#: twice-seen filter is emptier than the once-seen one, and takes a quarter of the usual bits for each.
+_SMALL, _SMALL_SHINGLES = np.uint64(3 * 2**64 // 10), 96 // 4
 _PARITY_BITS = 512
 
 
