@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import heapq
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -21,16 +23,21 @@ MAX_LENGTH = 2048
 #: Pieces of one length numbered together, about.
 _BUCKET = 500
 #: Words whose ids a Python worker remembers, from task to task, and the longest such word.
-_REMEMBERED, _LONGEST = 500_000, 32
+_REMEMBERED, _LONGEST = 200_000, 32
+#: Bytes of text encoded together.
+_STEP_BYTES = 4 << 20
 #: Words encoded as one text.
 _TOGETHER = 512
+#: Letters before a sign or white space that is neither a letter nor a number in any version of Unicode.
+_HEAD = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+(?=[!-/:-@\[-`{-~\t-\r])")
 
 
 class _Encoder:
     """Ids of whole texts as little-endian 32-bit bytes; ids of words that were seen before are not computed again.
 
     The tokenizer never joins characters across a single space that stands between two non-space characters, and such a
-    space belongs to what follows. So a text is cut there, and each part is encoded by itself, with its space.
+    space belongs to what follows. So a text is cut there, and each part is encoded by itself, with its space. Of a part that
+    starts with letters and goes on with a sign, the letters are remembered, as the byte-level pattern cuts between them.
     """
 
     def __init__(self, path: str):
@@ -38,9 +45,28 @@ class _Encoder:
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
         self._known: dict[str, bytes] = {}
+        #: Whether the letters of a word end a token whatever sign follows, as in the byte-level pattern (`` ?\\p{L}+``).
+        self._parts = (self._tokenizer.normalizer is None and self._tokenizer.pre_tokenizer is not None
+                       and json.loads(self._tokenizer.pre_tokenizer.__getstate__()).items() >= {"type": "ByteLevel", "use_regex": True}.items()
+                       and not any(t.content[0].isalpha() or t.content[0].isspace() for t in self._tokenizer.get_added_tokens_decoder().values()))
         #: Ids whose token starts with a space.
         self._spaced = np.array([(self._tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(self._tokenizer.get_vocab_size())])
 
+    def _parted(self, words: list[str]) -> list[bytes]:
+        """``_words``, but only of heads that are not known, which are kept; ends that follow a head are encoded by themselves."""
+        cuts = [_HEAD.match(w) for w in words] if self._parts else [None] * len(words)
+        heads = [m[0] if m else w for m, w in zip(cuts, words)]
+        ends = [w[m.end():] if m else "" for m, w in zip(cuts, words)]
+        new = [h for h in dict.fromkeys(heads) if h not in self._known]
+        self._known.update(zip(new, self._words(new)))
+        follow = list(dict.fromkeys(ends))
+        after = dict(zip(follow, self._encode(follow)))
+        out = [self._known[h] + after[e] for h, e in zip(heads, ends)]
+        for h in new:
+            if len(h) > _LONGEST:
+                del self._known[h]
+        return out
+
     def _words(self, words: list[str]) -> list[bytes]:
         """Ids of each word with a space before it; the words have no space in them, so only their first tokens start with one."""
         out = []
@@ -55,48 +81,62 @@ class _Encoder:
         return out
 
     def _encode(self, parts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self._tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        out = []
+        for at in range(0, len(parts), _TOGETHER):  # an encoding takes far more memory than its ids
+            out += [np.array(e.ids, "<u4").tobytes() for e in self._tokenizer.encode_batch_fast(parts[at:at + _TOGETHER], add_special_tokens=False)]
+        return out
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
+    def __call__(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Ids of each text; a null is an empty text. Words are told apart and put together again by Arrow, so Python sees each distinct one once."""
         if len(self._known) > _REMEMBERED:  # the latest words are the rarest
             for word in list(islice(reversed(self._known), len(self._known) - _REMEMBERED // 2)):
                 del self._known[word]
-        known, cut = self._known, []
-        words: set[str] = set()  # without white space at their ends, so they are the same anywhere
-        others: set[str] = set()
-        for text in texts:
-            first, *rest = text.split(" ")
-            unseen = set(rest).difference(known).difference(words)
-            whole = first != "" and first.strip() == first and "" not in unseen and all([p.strip() == p for p in unseen])
-            if rest and not whole:
-                first, rest = self._joined(first, rest)
-                unseen = {p for p in rest if " " not in p and p.strip() == p}.difference(known)
-                others.update(set(rest).difference(unseen).difference(known))
-            words |= unseen
-            cut.append((first, rest))
-        plain, mixed = list(words), list(others)
-        known.update(zip(plain, self._words(plain)))
-        known.update(zip(mixed, self._encode([" " + p for p in mixed])))
-        starts = self._encode([first for first, _ in cut])
-        out = [start + b"".join(map(known.__getitem__, rest)) for (_, rest), start in zip(cut, starts)]
-        for p in mixed:
-            del known[p]
-        for p in plain:
-            if len(p) > _LONGEST:
-                del known[p]
-        return out
-
-    @staticmethod
-    def _joined(first: str, rest: list[str]) -> tuple[str, list[str]]:
-        """The parts again, those that meet at more white space than one space put together."""
-        parts = [first]
-        for part in rest:
-            before = parts[-1]
-            if part == "" or part[0].isspace() or before == "" or before[-1].isspace():
-                parts[-1] = before + " " + part
-            else:
-                parts.append(part)
-        return parts[0], parts[1:]
+        if not len(texts):
+            return []
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        cut = pa.compute.split_pattern(column.cast(pa.large_string()).fill_null(""), " ")
+        firsts = cut.offsets.to_numpy()[:-1]
+        coded = cut.flatten().dictionary_encode()
+        codes, words = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+
+        # Parts that meet at more white space than one space are one unit.
+        odd = [i for i, w in enumerate(words) if w == "" or w.strip() != w]
+        before, after = np.zeros(len(words), bool), np.zeros(len(words), bool)
+        before[odd], after[odd] = [w == "" or w[0].isspace() for w in map(words.__getitem__, odd)], [w == "" or w[-1].isspace() for w in map(words.__getitem__, odd)]
+        joined = before[codes]
+        joined[1:] |= after[codes[:-1]]
+        joined[firsts] = False
+        at = np.flatnonzero(~joined)
+        ends = np.append(at[1:], len(codes))
+        first = np.searchsorted(at, firsts)  # of each text, among the units
+        unit = codes[at].astype(np.int64)
+        several = ends - at > 1
+        alone = ~several
+        alone[first] = False
+        several[first] = False
+
+        def whole(i: int) -> str:
+            return " ".join([words[c] for c in codes[at[i]:ends[i]].tolist()])
+
+        needed = np.zeros(len(words), bool)
+        needed[unit[alone]] = True
+        known, odd = self._known, set(odd)
+        values = list(map(known.get, words))
+        missing = [i for i in np.flatnonzero(needed).tolist() if values[i] is None]
+        plain, mixed = [i for i in missing if i not in odd], [i for i in missing if i in odd]
+        for i, found in zip(plain, self._parted([words[i] for i in plain])):
+            values[i] = found
+        for i, found in zip(mixed, self._encode([" " + words[i] for i in mixed])):
+            values[i] = found
+        runs = np.flatnonzero(several)
+        unit[runs] = len(values) + np.arange(len(runs))
+        values += self._encode([" " + whole(i) for i in runs.tolist()])
+        unit[first] = len(values) + np.arange(len(first))
+        values += self._encode([whole(i) for i in first.tolist()])
+        ids = pa.array(values, pa.large_binary()).take(pa.array(unit))
+        starts = np.frombuffer(ids.buffers()[1], np.int64)[:len(unit) + 1]
+        data, bounds = memoryview(ids.buffers()[2] or b""), np.append(starts[first], starts[-1]).tolist()
+        return [bytes(data[a:b]) for a, b in zip(bounds, bounds[1:])]
 
 
 @lru_cache(maxsize=2)
@@ -116,9 +156,9 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     names = ["id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * keep_ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, step_bytes=_STEP_BYTES):
             rows, start, length, crc, whole, ids = [], [], [], [], [], []
-            for i, found in enumerate(_encoder(tokenizer)([t or "" for t in batch.column("text").to_pylist()])):
+            for i, found in enumerate(_encoder(tokenizer)(batch.column("text"))):
                 found += end
                 for at in range(0, len(found), 4 * max_length):
                     part = found[at:at + 4 * max_length]

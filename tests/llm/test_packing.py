@@ -109,6 +109,32 @@ def test_odd_rows_and_round_trip(spark, tokenizer, monkeypatch):
     assert packing.pack(docs.limit(0), PATH).count() == 0
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from(" \n'aésTªß²1_%.,|<>-\u0301\u0416"), max_size=30), max_size=4))
+def test_letters_before_a_sign_are_cut_as_the_tokenizer_does(texts):
+    encoder = packing._encoder(PATH)
+    assert [np.frombuffer(g, "<u4").tolist() for g in encoder(texts)] == [encoder._tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_letters_are_encoded_once_whatever_sign_follows(monkeypatch):
+    """And no call of the tokenizer holds many encodings at a time."""
+    sent = []
+    encoder = packing._Encoder(PATH)
+    plain = encoder._tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, parts, **how):
+            sent.append(parts)
+            return plain.encode_batch_fast(parts, **how)
+
+    encoder._tokenizer = Counted()
+    text = "first " + " ".join(f"longword{sign}" for sign in (*".,;:%$#", ".\nnext"))
+    assert encoder([text])[0] == np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert sum(p.count("longword") for parts in sent for p in parts) == 1
+    encoder([f"w{i} x" for i in range(2000)])
+    assert max(map(len, sent)) <= packing._TOGETHER
+
+
 def test_frequent_words_stay_known(monkeypatch):
     """A full memory loses its latest words, which are the rarest, and the ids stay the same."""
     monkeypatch.setattr(packing, "_REMEMBERED", 100)
