@@ -74,3 +74,19 @@ def test_vocabulary_is_exact_in_two_passes(spark):
     both = {(r.term, r.tf, r.df) for r in baseline.document_frequency(df, "t", baseline.vocabulary(df, "t", 70, 512)).collect()}
     assert both == {(t, n, rows[t]) for t, n in ranked[:70]}
     assert baseline.vocabulary(df.limit(0), "t").count() == 0
+
+
+def test_prompts_are_not_copied_as_a_batch(spark):
+    """While calls run, a worker's Arrow memory holds the prompts of one call beside the batch that came."""
+    import pyarrow as pa
+    size, n = 100_000, 200
+    prompts = spark.range(n, numPartitions=1).select("id", F.when(F.col("id") != 7, F.repeat(F.lit("x"), size)).alias("prompt"))
+
+    def responder(sent):
+        return [f"{len(sent)} {pa.total_allocated_bytes()}" for _ in sent]
+
+    found = prompts.select("id", models.respond(F.col("prompt"), responder, 20).alias("r")).select("id", "r.*").orderBy("id").collect()
+    assert [r.raw is None for r in found] == [r.id == 7 for r in found] and not any(r.error for r in found)
+    answers = [tuple(map(int, r.raw.split())) for r in found if r.raw]
+    assert [k for k, _ in answers] == [20] * 180 + [19] * 19
+    assert max(held for _, held in answers) < n * size / 2
