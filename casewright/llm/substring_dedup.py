@@ -20,66 +20,113 @@ _GRAM = 32
 _MERGE_BYTES, _SHARD_BYTES = 2 << 20, 1 << 19
 #: Distinct segments around one gram beyond which its windows are counted one by one instead.
 _HOT_SEGMENTS = 4000
-#: Window starts of one text looked at together.
-_PART = 4 << 20
+#: Window starts looked at together: of one text, or of several short ones. The arrays over them stay in a core's cache.
+_PART = 1 << 16
+#: Ways a window may lie around its anchor that are told apart before a merge.
+_SIDES = 8
 #: Between strings; no byte of UTF-8.
 _END = 0xFF
 _LOW = (1 << 24) - 1
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 #: Anchors expected in a document, for the size of the filters only.
 _ANCHORS = 48
 
 
 # ---- cutting texts into segments ---------------------------------------------------------------
 
-def anchors(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first window start, number of windows, gram) of every segment of a text.
+def anchors(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first window start, number of windows, place of the gram, gram) of every segment of the texts.
 
     Each window of ``length`` bytes has an anchor: of its 32-byte strings, the leftmost one with the smallest hash. Equal
     windows have equal anchors at equal places, so only windows with the same gram can be equal. A segment is a run of
-    neighbouring windows with one anchor.
+    neighbouring windows with one anchor. Short texts are looked at together, as a call costs more than what it does to one.
     """
-    starts, counts, grams = [], [], []
+    found, rows, bases, parts, size = [], [], [], [], 0
+    for i, text in enumerate(texts):
+        for base in range(0, len(text) - length + 1, _PART):
+            part = text[base:base + _PART + length - 1]
+            if size + len(part) > _PART and parts:
+                found.append(_anchors(rows, bases, parts, length))
+                rows, bases, parts, size = [], [], [], 0
+            rows.append(i), bases.append(base), parts.append(part)
+            size += len(part)
+    if parts:
+        found.append(_anchors(rows, bases, parts, length))
+    if not found:
+        return *(np.empty(0, np.int64) for _ in range(4)), np.empty(0, np.uint64)
+    return tuple(map(np.concatenate, zip(*found)))
+
+
+def _anchors(rows: list[int], bases: list[int], parts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
+    """``anchors`` of parts of texts, each of ``length`` bytes or more, as one string; windows over an end do not count."""
+    text = b"".join(parts)
+    sizes = np.array(list(map(len, parts)))
+    ends = np.cumsum(sizes)
     width = length - _GRAM + 1
-    for base in range(0, max(len(text) - length + 1, 0), _PART):
-        part = text[base:base + _PART + length - 1]
-        n = len(part) - _GRAM + 1
-        words = np.ndarray((len(part) - 7,), "<u8", part, 0, (1,))
-        h = np.zeros(n, np.uint64)
-        for i, factor in enumerate((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)):
-            h ^= h >> np.uint64(29)
-            h += words[8 * i:8 * i + n] * np.uint64(factor)
-            h *= np.uint64(0xD6E8FEB86659FD93)
-        h ^= h >> np.uint64(32)
-        keys = (h & np.uint64(~_LOW & (2**64 - 1))) | np.arange(n, dtype=np.uint64)
-        blocks = np.full(-(-n // width) * width, np.uint64(2**64 - 1))
-        blocks[:n] = keys
-        blocks = blocks.reshape(-1, width)
-        up = np.minimum.accumulate(blocks, axis=1).ravel()
-        down = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-        m = len(part) - length + 1
-        least = np.minimum(down[:m], up[width - 1:width - 1 + m])
-        first = np.concatenate([[0], np.flatnonzero(least[1:] != least[:-1]) + 1])
-        starts.append(first + base)
-        counts.append(np.diff(np.append(first, m)))
-        grams.append(h[(least[first] & np.uint64(_LOW)).astype(np.int64)])
-    if not starts:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
-    return np.concatenate(starts), np.concatenate(counts), np.concatenate(grams)
-
-
-def _segments(text: bytes, length: int, *filters: np.ndarray) -> tuple[list[int], list[int], np.ndarray, list[bytes]]:
-    """Start, windows, gram and bytes of the segments whose gram all filters hold."""
-    starts, counts, grams = anchors(text, length)
+    n, m = len(text) - _GRAM + 1, len(text) - length + 1
+    words = np.ndarray((len(text) - 7,), "<u8", text, 0, (1,)).copy()
+    h, other = words[:n] * _FACTORS[0], np.empty(n, np.uint64)
+    for i in range(1, _GRAM // 8):
+        h ^= np.right_shift(h, np.uint64(29), out=other)
+        h += words[8 * i:8 * i + n]
+        h *= _FACTORS[i]
+    h ^= np.right_shift(h, np.uint64(32), out=other)
+    keys = np.bitwise_and(h, np.uint64(2**64 - 1 - _LOW), out=other)
+    keys |= np.arange(n, dtype=np.uint64)
+    span = 1
+    while 2 * span <= width:  # the least key of ``span`` places
+        keys = np.minimum(keys[:-span], keys[span:])
+        span *= 2
+    least = np.minimum(keys[:m], keys[width - span:width - span + m])
+    whole = np.repeat(ends, sizes)[:m] - np.arange(m) >= length
+    edge = np.ones(m, bool)
+    np.not_equal(least[1:], least[:-1], out=edge[1:])
+    edge[1:] |= whole[1:] != whole[:-1]
+    edge[ends[ends < m]] = True
+    first = np.flatnonzero(edge)
+    counts = np.diff(np.append(first, m))[whole[first]]
+    first = first[whole[first]]
+    place = (least[first] & np.uint64(_LOW)).astype(np.int64)
+    part = np.searchsorted(ends, first, "right")
+    moved = np.array(bases) - (ends - sizes)
+    return np.array(rows)[part], first + moved[part], counts, place + moved[part], h[place]
+
+
+def _segments(texts: list[bytes], length: int, *filters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """Text, start, windows, place of the gram in it, gram and bytes of the segments whose gram all filters hold."""
+    rows, starts, counts, places, grams = anchors(texts, length)
     held = np.ones(len(grams), bool)
     for bits in filters:
         held &= bloom.holds(bits, grams)
-    starts, counts, grams = starts[held], counts[held], grams[held]
-    return starts.tolist(), counts.tolist(), grams, [text[a:a + n + length - 1] for a, n in zip(starts.tolist(), counts.tolist())]
+    rows, starts, counts, places, grams = rows[held], starts[held], counts[held], places[held], grams[held]
+    ends = starts + counts + length - 1
+    return rows, starts, counts, places - starts, grams, [texts[i][a:b] for i, a, b in zip(rows.tolist(), starts.tolist(), ends.tolist())]
 
 
-def _key(segment: bytes) -> tuple[int, int]:
-    high = int.from_bytes(xxhash.xxh128_digest(segment), "little")
-    return (high & (2**64 - 1)) - 2**63, (high >> 64) - 2**63
+def _keys(segments: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(map(xxhash.xxh128_digest, segments)), np.int64).reshape(-1, 2)
+
+
+def may_share(segments: list[bytes], places: list[int], length: int) -> np.ndarray:
+    """Whether a segment may have a window in common with another one; ``places`` are those of the grams.
+
+    A window reaches a bytes to the left of its gram. Those with a from k * step to (k + 1) * step - 1 all hold the k * step bytes
+    before the gram, and as many after it as the shortest of them has there; so segments that differ there for every k share none.
+    """
+    width = length - _GRAM + 1
+    step = -(-width // _SIDES)
+    reach = [(a, _GRAM + max(width - step - a, 0)) for a in range(0, width, step)]
+    first: dict[tuple[int, bytes], int] = {}
+    out = np.zeros(len(segments), bool)
+    for i, (segment, at) in enumerate(zip(segments, places)):
+        for left, right in reach:
+            if left > at:
+                break
+            if at + right <= len(segment):
+                other = first.setdefault((left, segment[at - left:at + right]), i)
+                if other != i:
+                    out[i] = out[other] = True
+    return out
 
 
 # ---- merging Burrows-Wheeler transforms -----------------------------------------------------------
@@ -127,7 +174,7 @@ def shard_transform(strings: list[bytes], step: int = 1) -> tuple[np.ndarray, np
     return symbols[suffixes], row[(suffixes - step) % len(text)], suffixes
 
 
-def shared_prefixes(strings: list[bytes], most: int, shard_bytes: int | None = None, step: int | None = None) -> list[np.ndarray]:
+def shared_prefixes(strings: list[bytes], most: int, shard_bytes: int | None = None, step: int | None = None, full: bool = False) -> list[np.ndarray]:
     """For every string and place in it, how many bytes, up to ``most``, its suffix shares with another suffix.
 
     The strings are dealt to shards, each with its own transform. The transforms are merged by refining their interleave:
@@ -138,6 +185,9 @@ def shared_prefixes(strings: list[bytes], most: int, shard_bytes: int | None = N
 
     A symbol is one byte, or 2, 4 or 8 bytes where that divides ``most`` and the strings hold few enough different ones;
     prefixes are then counted in whole symbols. A prefix that runs over the end of a string does not count.
+
+    With ``full`` only prefixes of all ``most`` bytes are looked for, and other places get some smaller number: a round then
+    needs the suffixes from which the rounds to come lead to the start of such a prefix, and reads no others.
     """
     shards, size = [[]], 0
     limit = shard_bytes or _SHARD_BYTES
@@ -161,7 +211,11 @@ def shared_prefixes(strings: list[bytes], most: int, shard_bytes: int | None = N
     del parts, read
     shared = np.zeros(base[-1], np.int16)
     rows = np.arange(base[-1], dtype=np.int32)  # the interleave of no rounds: shard after shard
-    interval = np.zeros(base[-1], np.int32)
+    if full:
+        sizes = np.array([len(strings[i]) + 1 for shard in shards for i in shard], np.int64)
+        within = np.arange(base[-1]) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        rows = rows[(within >= most)[place]]
+    interval = np.zeros(len(rows), np.int32)
     for h in range(width, most + 1, width):
         found = symbol[rows]
         order = np.argsort(found, kind="stable")
@@ -201,9 +255,9 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     1. All texts' anchors fill a once-seen and a twice-seen filter; windows whose gram occurs once cannot repeat.
     2. Segments at the other anchors are listed, and counted by their hash: copies collapse, a segment that is there
        twice repeats as a whole.
-    3. Segments that differ but share a gram are brought together by gram, in groups of bounded size, and the transforms
-       of their shards are merged. Windows of a gram with very many different segments are counted by hash instead, so
-       no group grows with the data.
+    3. Segments that differ but share a gram are brought together by gram, in groups of bounded size. Those that differ from
+       all others around the gram go; the transforms of the others' shards are merged. Windows of a gram with very many
+       different segments are counted by hash instead, so no group grows with the data.
     4. What repeats in a segment is joined back to its places.
     """
     spark = docs.sparkSession
@@ -212,25 +266,18 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     size = bloom.bits_for(narrow.count() * _ANCHORS)
 
     def grams_of(batch: pa.RecordBatch) -> np.ndarray:
-        return np.concatenate([np.empty(0, np.uint64), *(anchors(t, length)[2] for t in as_bytes(batch.column("text")))])
+        return anchors(as_bytes(batch.column("text")), length)[4]
 
     twice = bloom.share(docs, bloom.build(narrow.select("text"), grams_of, size, "substring-filters")[1])
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            rows, first, windows, grams, keys = [], [], [], [np.empty(0, np.uint64)], []
-            for i, text in enumerate(as_bytes(batch.column("text"))):
-                starts, counts, own, parts = _segments(text, length, twice.value)
-                rows += [i] * len(starts)
-                first += starts
-                windows += counts
-                grams.append(own)
-                keys += map(_key, parts)
-            keys = np.array(keys, np.int64).reshape(-1, 2)
-            at = pa.array(rows, pa.int64())
+            rows, first, windows, _, grams, parts = _segments(as_bytes(batch.column("text")), length, twice.value)
+            keys = _keys(parts)
+            at = pa.array(rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(at), batch.column("version").take(at), pa.array(first, pa.int64()), pa.array(windows, pa.int32()),
-                 pa.array(np.concatenate(grams).view(np.int64)), pa.array(keys[:, 0]), pa.array(keys[:, 1])], names=["id", "version", "start", "windows", "gram", "h1", "h2"])
+                [batch.column("id").take(at), batch.column("version").take(at), pa.array(first), pa.array(windows.astype(np.int32)),
+                 pa.array(grams.view(np.int64)), pa.array(keys[:, 0]), pa.array(keys[:, 1])], names=["id", "version", "start", "windows", "gram", "h1", "h2"])
 
     located = stage(narrow.mapInArrow(locate, f"id {kind}, version long, start long, windows int, gram long, h1 long, h2 long"), "substring-places")
     segment = ["gram", "h1", "h2"]
@@ -247,40 +294,39 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in slices(batches):
-            grams, keys, contents = [], [], []
-            for text in as_bytes(batch.column("text")):
-                _, _, own, parts = _segments(text, length, twice.value, several.value)
-                for gram, part in zip(own.view(np.int64).tolist(), parts):
-                    key = xxhash.xxh128_digest(part)
-                    if key not in seen:
-                        if len(seen) > 100_000:  # forgetting only lets a copy through
-                            seen.clear()
-                        seen.add(key)
-                        grams.append(gram), keys.append(_key(part)), contents.append(part)
-            keys = np.array(keys, np.int64).reshape(-1, 2)
-            gram = np.array(grams, np.int64)
+            _, _, _, places, gram, parts = _segments(as_bytes(batch.column("text")), length, twice.value, several.value)
+            fresh = []
+            for i, part in enumerate(parts):
+                key = xxhash.xxh128_digest(part)
+                if key not in seen:
+                    if len(seen) > 100_000:  # forgetting only lets a copy through
+                        seen.clear()
+                    seen.add(key)
+                    fresh.append(i)
+            contents, gram, places = [parts[i] for i in fresh], gram[fresh].view(np.int64), places[fresh].astype(np.int32)
+            keys = _keys(contents)
             mixed = (gram.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
             yield pa.RecordBatch.from_arrays(
                 [pa.array((mixed % np.uint64(groups)).astype(np.int64)), pa.array(bloom.holds(hot.value, gram.view(np.uint64))), pa.array(gram), pa.array(keys[:, 0]), pa.array(keys[:, 1]),
-                 pa.array(contents, pa.binary())], names=["bucket", "hot", *segment, "content"])
+                 pa.array(places), pa.array(contents, pa.binary())], names=["bucket", "hot", *segment, "place", "content"])
 
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.drop_duplicates(["h1", "h2", "gram"])
-        rows = rows[rows.groupby("gram")["gram"].transform("size") > 1].reset_index(drop=True)
+        rows = rows[may_share(rows["content"].tolist(), rows["place"].tolist(), length)].reset_index(drop=True)
         found = []
         if len(rows):
-            for i, shared in enumerate(shared_prefixes(rows["content"].tolist(), length)):
+            for i, shared in enumerate(shared_prefixes(rows["content"].tolist(), length, full=True)):
                 found += [(i, a, b) for a, b in zip(*_runs(shared >= length))]
         found = np.array(found, np.int64).reshape(-1, 3)
         return pd.DataFrame({c: rows[c].to_numpy(np.int64)[found[:, 0]] for c in segment} | {"a": found[:, 1].astype(np.int32), "b": found[:, 2].astype(np.int32)})
 
-    cut_schema = "bucket long, hot boolean, gram long, h1 long, h2 long, content binary"
+    cut_schema = "bucket long, hot boolean, gram long, h1 long, h2 long, place int, content binary"
     pieces = narrow.select("text").mapInArrow(cut, cut_schema)
     if n_crowded:  # then two steps read the pieces
         pieces = stage(pieces, "substring-pieces")
     merged = pieces.filter(~F.col("hot")).groupBy("bucket").applyInPandas(merge, "gram long, h1 long, h2 long, a int, b int")
     if n_crowded:
-        merged = merged.unionByName(_counted_windows(stage(pieces.filter("hot").drop("bucket", "hot").dropDuplicates(segment), "substring-crowded"), length))
+        merged = merged.unionByName(_counted_windows(stage(pieces.filter("hot").drop("bucket", "hot", "place").dropDuplicates(segment), "substring-crowded"), length))
     # A segment that is there twice repeats as a whole, whatever the merge says of its parts.
     partly = merged.groupBy(*segment).agg(F.collect_list(F.struct("a", "b")).alias("runs"))
     whole = F.array(F.struct(F.lit(0).alias("a"), F.col("windows").alias("b")))
@@ -297,13 +343,13 @@ def _counted_windows(crowded: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                rows, first, keys = [], [], []
+                rows, first, windows = [], [], []
                 for i, content in enumerate(part.column("content").to_pylist()):
                     n = len(content) - length + 1
                     rows += [i] * n
                     first += range(n)
-                    keys += [_key(content[a:a + length]) for a in range(n)]
-                keys = np.array(keys, np.int64).reshape(-1, 2)
+                    windows += [content[a:a + length] for a in range(n)]
+                keys = _keys(windows)
                 index = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays([*(part.column(c).take(index) for c in ("gram", "h1", "h2")), pa.array(first, pa.int32()), pa.array(keys[:, 0]), pa.array(keys[:, 1])],
                                                  names=["gram", "h1", "h2", "a", "w1", "w2"])

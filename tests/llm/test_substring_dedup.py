@@ -89,3 +89,44 @@ def test_repeated_rows_and_null_ids(spark):
     n = len(text)
     assert got == {(None, n, n, 1): 2, (1, n + 1, n, 1): 1, (1, 0, 0, 0): 2, (2, 150, 0, 0): 1}
     assert substring_dedup.dedup_substrings(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_segments_that_cannot_share_a_window_are_not_merged():
+    """Against all windows: none that two segments share is lost, and segments that share only the gram go."""
+    rng = random.Random(7)
+    for length in (64, 97, 200):
+        gram = bytes(rng.choices(range(256), k=32))
+        reach = length - 32
+        segments = {}
+        for _ in range(60):
+            left, right = rng.randint(0, reach), rng.randint(0, reach)
+            before, after = b"xy"[rng.randint(0, 1):][:1] * 9 + b"x" * reach, b"z" * (reach - 9) + bytes(rng.choices(b"yz", k=9))
+            segments[before[len(before) - left:] + gram + after[:max(right, reach - left)]] = left
+        windows = {s: {s[a:a + length] for a in range(max(0, p - reach), min(p, len(s) - length) + 1)} for s, p in segments.items()}
+        count = collections.Counter(w for found in windows.values() for w in found)
+        got = substring_dedup.may_share(list(segments), list(segments.values()), length)
+        want = np.array([any(count[w] > 1 for w in found) for found in windows.values()])
+        assert want.any() and not (want & ~got).any()
+    apart = [bytes([65 + i]) * 168 + gram + bytes([97 + i]) * 168 for i in range(9)]
+    assert not substring_dedup.may_share(apart, [168] * 9, 200).any()
+
+
+def test_texts_looked_at_together_have_the_segments_of_each_alone():
+    rng = random.Random(11)
+    texts = [bytes(rng.choices(b"abc ", k=n)) for n in [0, 5, 199, 200, 201, 3000, 64, 900, 200, 70_000, 400] * 4]
+    together = list(zip(*substring_dedup.anchors(texts, 200)))
+    alone = [(i, *row[1:]) for i, t in enumerate(texts) for row in zip(*substring_dedup.anchors([t], 200))]
+    assert together == alone
+    for i, start, windows, place, gram in together:
+        assert 0 <= start <= place and start + windows - 1 <= place <= start + 168 and start + windows + 199 <= len(texts[i])
+    assert [sum(n for i, _, n, _, _ in together if i == k) for k in range(len(texts))] == [max(0, len(t) - 199) for t in texts]
+
+
+def test_full_prefixes_are_those_of_the_whole_merge():
+    """Read from fewer suffixes, in every way to deal the strings to shards; shorter strings and copies included."""
+    rng = random.Random(5)
+    for round_ in range(90):
+        strings = [bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 30))) for _ in range(rng.randint(1, 6))]
+        shard, step = rng.choice([5, 20, 1000]), (None, 1, 2)[round_ % 3]
+        want = [(x >= 12).tolist() for x in substring_dedup.shared_prefixes(strings, 12, shard, step)]
+        assert [(x >= 12).tolist() for x in substring_dedup.shared_prefixes(strings, 12, shard, step, full=True)] == want
