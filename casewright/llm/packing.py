@@ -25,9 +25,9 @@ _BUCKET = 500
 #: Words whose ids a Python worker remembers, from task to task, and the longest such word.
 _REMEMBERED, _LONGEST = 200_000, 32
 #: Bytes of text encoded together.
-_STEP_BYTES = 4 << 20
+_STEP_BYTES = 2 << 20
 #: Words encoded as one text.
-_TOGETHER = 512
+_TOGETHER = 128
 #: Letters before a sign or white space that is neither a letter nor a number in any version of Unicode.
 _HEAD = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+(?=[!-/:-@\[-`{-~\t-\r])")
 
