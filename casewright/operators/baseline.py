@@ -22,7 +22,8 @@ from casewright.session import stage
 MAX_FEATURES = 20_000
 #: Hash buckets of the first pass over the terms.
 TERM_BUCKETS = 1 << 20
-ROWS_PER_PARTITION = 2_000
+#: Rows of a partition of the fit: of a small table, and at most.
+ROWS_PER_PARTITION, MOST_ROWS_PER_PARTITION = 2_000, 50_000
 
 
 # ---- terms -------------------------------------------------------------------------------
@@ -117,6 +118,12 @@ def tfidf_stages(train: DataFrame, text: str, max_features: int = MAX_FEATURES)
     return PipelineModel([filled, words, pairs, grams, counter, smoothed, unit, tidy])
 
 
+def fit_partitions(n: int, cores: int) -> int:
+    """Partitions of ``n`` rows for the fit. Every iteration is a job in which each adds a gradient of classes x features, so few
+    rows belong in few partitions, and many in no more than keep the cores busy and the partitions bounded."""
+    return max(1, min(math.ceil(n / ROWS_PER_PARTITION), max(4 * cores, math.ceil(n / MOST_ROWS_PER_PARTITION))))
+
+
 def logreg_fit(
     train: DataFrame, key: str, text: str, target: str, max_features: int = MAX_FEATURES,
     max_iter: int = 2000, tol: float = 1e-6, featurizer: PipelineModel | None = None,
@@ -129,18 +136,15 @@ def logreg_fit(
     # Staged once: the vocabulary, the IDF, the weights and the features all read these rows.
     train = stage(train.select(key, target, text), "train-rows")
     featurizer = featurizer or tfidf_stages(train, text, max_features)
-    rows = featurizer.transform(class_weights(train, target)).select(key, target, "class_weight", "features").persist()
-    try:
-        n = rows.count()
-        indexer = StringIndexer(inputCol=target, outputCol="target_index", stringOrderType="alphabetAsc").fit(rows)
-        # Every iteration is a job: few rows belong in few partitions.
-        packed = rows.coalesce(max(1, math.ceil(n / ROWS_PER_PARTITION)))
-        model = LogisticRegression(
-            featuresCol="features", labelCol="target_index", weightCol="class_weight", predictionCol="predicted_index",
-            regParam=1.0 / n, elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=tol,
-        ).fit(indexer.transform(packed))
-    finally:
-        rows.unpersist()
+    # Staged, not cached: the fit caches its own blocks of these rows.
+    rows = stage(featurizer.transform(class_weights(train, target)).select(key, target, "class_weight", "features"), "train-features")
+    n = rows.count()
+    indexer = StringIndexer(inputCol=target, outputCol="target_index", stringOrderType="alphabetAsc").fit(rows)
+    packed = rows.coalesce(fit_partitions(n, train.sparkSession.sparkContext.defaultParallelism))
+    model = LogisticRegression(
+        featuresCol="features", labelCol="target_index", weightCol="class_weight", predictionCol="predicted_index",
+        regParam=1.0 / n, elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=tol,
+    ).fit(indexer.transform(packed))
     names = IndexToString(inputCol="predicted_index", outputCol="complaint_pred_raw", labels=indexer.labels)
     return PipelineModel([*featurizer.stages, model, names])
 

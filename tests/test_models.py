@@ -90,3 +90,15 @@ def test_prompts_are_not_copied_as_a_batch(spark):
     answers = [tuple(map(int, r.raw.split())) for r in found if r.raw]
     assert [k for k, _ in answers] == [20] * 180 + [19] * 19
     assert max(held for _, held in answers) < n * size / 2
+
+
+def test_fit_reads_staged_rows_in_bounded_partitions(spark, monkeypatch):
+    """The rows were cached beside the fit's own blocks, and partitions, each with a gradient an iteration, grew with the rows."""
+    seen = []
+    fit = baseline.LogisticRegression.fit
+    monkeypatch.setattr(baseline.LogisticRegression, "fit", lambda self, rows: seen.append(len(spark.sparkContext._jsc.getPersistentRDDs())) or fit(self, rows))
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    rows = spark.createDataFrame([(i, f"word{i % 3} thing", "ab"[i % 2]) for i in range(20)], "id long, text string, target string")
+    baseline.logreg_fit(rows, "id", "text", "target", max_iter=3)
+    assert seen == [before]
+    assert [baseline.fit_partitions(n, 12) for n in (0, 1, 2_001, 40_000, 1_200_000, 6_000_000)] == [1, 1, 2, 20, 48, 120]
