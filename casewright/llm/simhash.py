@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -25,6 +26,9 @@ _LEAF = {1: 4096, 4: 16384}
 #: Most fingerprints on one side of one comparison.
 _SIDE = {1: 8192, 4: 32768}
 _STEP = 1 << 16
+#: Copies of a fingerprint that one round of meetings shuffles, on average. The trees get deeper with the number of fingerprints and the
+#: copies more, so there are more rounds, and what is on disk at once follows the fingerprints.
+_COPIES = 24
 #: Most texts and bytes of text of one piece of a group whose texts are compared exactly.
 _PIECE, _PIECE_BYTES = 1024, 4 << 20
 #: Hashes below this are small: three in ten, so that a text of its own has more of them than a prefix is long. A text has about 96; the
@@ -167,6 +171,28 @@ def plant(fps: DataFrame, radius: int) -> Forest:
     return Forest(*map(list, zip(*trees)))
 
 
+def _copies(forest: Forest, side: int) -> list[int]:
+    """How many rows ``link`` sends to the leaves of each block."""
+    counts = []
+    for homes, visits in zip(forest.homes, forest.visits):
+        bases, askers = -(-homes // side), -(-visits // side)
+        cut = (askers > 1) | (bases > 1)
+        counts.append(int((visits * bases).sum() + (homes * askers)[cut].sum()))
+    return counts
+
+
+def _rounds(copies: list[int], most: int) -> list[list[int]]:
+    """Blocks by round, in order: each round has ``most`` copies or fewer, or one block."""
+    rounds, filled = [], 0
+    for b, n in enumerate(copies):
+        if not rounds or filled + n > most:
+            rounds.append([])
+            filled = 0
+        rounds[-1].append(b)
+        filled += n
+    return rounds
+
+
 def _links(base: np.ndarray, asking: np.ndarray, part: int, probe_bits: int, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows (asking, base) that connect all fingerprints linked here: one for each, not one for each link.
 
@@ -198,7 +224,8 @@ def link(fps: DataFrame, probe_bits: int, max_bits: int, radius: int | None = No
 
     Two link at ``probe_bits`` or fewer in some part and ``max_bits`` or fewer in all. Every fingerprint goes to its home
     leaf in each tree and, as a question, to the leaves its ball reaches into. Leaves that are too large for one task are
-    cut on both sides, and every piece meets every other.
+    cut on both sides, and every piece meets every other. The trees are asked in rounds of about ``_COPIES`` copies of each
+    fingerprint; a round's shuffle files go before the next one.
 
     Of two parts at ``probe_bits`` or fewer bits, some block differs in at most a quarter of them, the ``radius`` if none
     is given. With a smaller one two link only if some block of the four of some part differs in so many bits at most, or
@@ -207,15 +234,16 @@ def link(fps: DataFrame, probe_bits: int, max_bits: int, radius: int | None = No
     parts = [c for c in fps.columns if c.startswith("part")]
     side = _sized(_SIDE, len(parts))
     context = fps.sparkSession.sparkContext
-    shared = context.broadcast(plant(fps, probe_bits // _BLOCKS if radius is None else radius))  # four arrays of at most 65,536 values' leaves for each block
+    planted = plant(fps, probe_bits // _BLOCKS if radius is None else radius)
+    shared = context.broadcast(planted)  # four arrays of at most 65,536 values' leaves for each block
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def send(batches: Iterator[pa.RecordBatch], blocks: list[int]) -> Iterator[pa.RecordBatch]:
         forest = shared.value
         for batch in batches:
             node = batch.column("node").to_numpy()
             fp = np.stack([batch.column(c).to_numpy() for c in parts], axis=1)
             mixed = ((node.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64)
-            for b in range(_BLOCKS * len(parts)):
+            for b in blocks:
                 value = ((fp[:, b // _BLOCKS].view(np.uint64) if len(parts) == 1 else fp[:, b // _BLOCKS].copy().view(np.uint64))
                          >> np.uint64(b % _BLOCKS * _BLOCK_BITS)).astype(np.int64) & ((1 << _BLOCK_BITS) - 1)
                 starts, leaves = forest.starts[b], forest.leaves[b]
@@ -252,8 +280,16 @@ def link(fps: DataFrame, probe_bits: int, max_bits: int, radius: int | None = No
         return pd.DataFrame({"a": a[a != b], "b": b[a != b]})
 
     kinds = ", ".join(f"{c} long" for c in parts)
-    sent = fps.select("node", *parts).mapInArrow(send, f"block int, leaf int, base int, ask int, role byte, node long, {kinds}")
-    return sent.groupBy("block", "leaf", "base", "ask").applyInPandas(meet, "a long, b long").distinct()
+    rounds = _rounds(_copies(planted, side), _COPIES * int(planted.homes[0].sum()))
+
+    def met(blocks: list[int]) -> DataFrame:
+        sent = fps.select("node", *parts).mapInArrow(lambda batches: send(batches, blocks), f"block int, leaf int, base int, ask int, role byte, node long, {kinds}")
+        return sent.groupBy("block", "leaf", "base", "ask").applyInPandas(meet, "a long, b long").distinct()
+
+    if len(rounds) == 1:
+        return met(rounds[0])
+    found = [stage(met(blocks), f"simhash-links-{i}") for i, blocks in enumerate(rounds)]
+    return reduce(DataFrame.unionByName, found).distinct()
 
 
 def _prefix(size: int, least: float) -> int:

@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 import xxhash
@@ -6,6 +8,7 @@ from pyspark.sql import functions as F
 from casewright.llm import simhash
 from casewright.llm.common import table
 from casewright.llm.queries import QUERIES
+from casewright.session import stage
 
 CLASSIC = {"words_per_shingle": 4, "n_parts": 1, "probe_bits": 4, "max_bits": 4}
 
@@ -189,3 +192,36 @@ def test_short_texts_at_eight_tenths_are_all_linked(spark):
     component = {r.id: r.component_id for r in simhash.near_duplicates(docs).collect()}
     assert all(alike) and len({*component.values()}) == len(alike)
     assert [component[2 * i + 1] for i in range(len(alike))] == [2 * i for i in range(len(alike))]
+
+
+def test_trees_are_asked_in_rounds_of_bounded_copies(spark, monkeypatch):
+    """Deeper trees copy a fingerprint more often; what one round shuffles does not grow with them, and the links are the same."""
+    rng = np.random.default_rng(2)
+    per_fp, most = [], []
+    for n in (2_000, 20_000, 200_000):
+        weight = np.bincount(rng.integers(0, 1 << 16, n), minlength=1 << 16).astype(np.int64)
+        forest = simhash.Forest(*map(list, zip(*[simhash._tree(weight, 1, 512)] * 16)))
+        copies = simhash._copies(forest, 1024)
+        rounds = simhash._rounds(copies, 24 * n)
+        assert sorted(b for r in rounds for b in r) == list(range(16))
+        per_fp.append(sum(copies) / n)
+        most.append(max(sum(copies[b] for b in r) for r in rounds) / n)
+    assert per_fp[2] > 3 * per_fp[0] and max(most) <= 24
+    base = rng.integers(0, 2**63, 40, dtype=np.uint64)
+    fps = np.unique(np.concatenate([base, base ^ np.uint64(1 << 7), base ^ np.uint64(3 << 40)])).tolist()
+    rows = spark.createDataFrame([(i, 0, f) for i, f in enumerate(fps)], "id long, version long, part0 long")
+    monkeypatch.setattr(simhash, "_LEAF", {1: 16, 4: 16})
+    monkeypatch.setattr(simhash, "_COPIES", 1)
+    got = {r.id: r.component_id for r in simhash.classes(rows, 4, 4).collect()}
+    assert got == dict(zip(range(len(fps)), smallest(range(len(fps)), plain_components(fps, 4))))
+
+
+def test_staged_writes_leave_no_shuffle_files(spark):
+    held = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ").count(".data")
+    before = held()
+    stage(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count(), "test-shuffles").count()
+    for _ in range(50):
+        if held() <= before + 1:  # that of the count itself
+            break
+        time.sleep(0.1)
+    assert held() <= before + 1
