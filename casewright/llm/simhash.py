@@ -31,6 +31,8 @@ _STEP = 1 << 16
 _COPIES = 24
 #: Most texts and bytes of text of one piece of a group whose texts are compared exactly.
 _PIECE, _PIECE_BYTES = 1024, 4 << 20
+#: Copies of a text that one round of these comparisons shuffles, on average.
+_TEXT_COPIES = 4
 #: Hashes below this are small: three in ten, so that a text of its own has more of them than a prefix is long. A text has about 96; the
 #: twice-seen filter is emptier than the once-seen one, and takes a quarter of the usual bits for each.
 _SMALL, _SMALL_SHINGLES = np.uint64(3 * 2**64 // 10), 96 // 4
@@ -428,7 +430,8 @@ def confirmed(links: DataFrame, fps: DataFrame, docs: DataFrame, id_col: str, te
 
     ``fps`` has a row (``node``, ``first``) for each distinct text. Of each text in ``links`` the row with its first id
     is fetched: a Bloom filter of these rows leaves all others where they are. The texts of a component are compared in one
-    task if they are few; else they are cut into pieces, and every piece meets every other. Small components share tasks.
+    task if they are few; else they are cut into pieces, and every piece meets every other. Small components share tasks. The copies
+    grow with the square of a large component, so pieces meet in rounds of about ``_TEXT_COPIES`` copies of each text, whose shuffle files go.
     """
     near = stage(fps.select("node", F.xxhash64("node", "first.id").alias("row")).join(components(links, "simhash-near"), "node"), "simhash-candidates")
     wanted = _held(near.select("row"), near.count(), "simhash-wanted")
@@ -456,7 +459,16 @@ def confirmed(links: DataFrame, fps: DataFrame, docs: DataFrame, id_col: str, te
                 b.append(node[rows[j]])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return sent.groupBy("bundle", "low", "high").applyInArrow(compare, "a long, b long").distinct()
+    copies = loads.agg(F.coalesce(F.sum(F.col("members") * F.col("pieces")), F.lit(0))).first()[0]
+    rounds = max(1, -(-copies // max(1, _TEXT_COPIES * total)))
+    turn = F.pmod(F.xxhash64("bundle", "low", "high"), F.lit(rounds))
+
+    def met(number: int) -> DataFrame:
+        return sent.filter(turn == number).groupBy("bundle", "low", "high").applyInArrow(compare, "a long, b long").distinct()
+
+    if rounds == 1:
+        return met(0)
+    return reduce(DataFrame.unionByName, [stage(met(i), f"simhash-confirmed-{i}") for i in range(rounds)]).distinct()
 
 
 def classes(marked: DataFrame, probe_bits: int, max_bits: int, radius: int | None = None, confirm: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> DataFrame:

@@ -225,3 +225,16 @@ def test_staged_writes_leave_no_shuffle_files(spark):
             break
         time.sleep(0.1)
     assert held() <= before + 1
+
+
+def test_pieces_of_a_large_group_meet_in_rounds(spark, monkeypatch):
+    """A group of many pieces is compared in several rounds, each with a shuffle of its own, and none of its pairs is lost."""
+    names, plain_stage = [], simhash.stage
+    monkeypatch.setattr(simhash, "stage", lambda df, name: (names.append(name), plain_stage(df, name))[1])
+    monkeypatch.setattr(simhash, "_PIECE", 8)
+    words = [f"w{i}" for i in range(100)]
+    texts = [" ".join([*words, *(f"{k}y{i}" for i in range(3))]) for k in range(64)] + [" ".join([*words[:40], *(f"z{i}" for i in range(60))])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    component = {r.id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert component == {**dict.fromkeys(range(64), 0), 64: 64}
+    assert sum(n.startswith("simhash-confirmed-") for n in names) >= 2
